@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from livepulse.functions.constants import POLLS_PER_HOUR, QUARTER_PREFIX
-from livepulse.functions.lists import parse_list_text
+from livepulse.functions.lists import parse_list_text  # noqa: F401  (re-exported)
 
 
 # --- measures -------------------------------------------------------------------
@@ -59,10 +59,15 @@ def by(star: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> Dat
     return star.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
 
 
-def viewers_on_day(star: DataFrame, day: Column | None = None) -> DataFrame:
-    """Σ sum_viewers on one date key (today by default)."""
+def viewers_on_day(star: DataFrame, day: Column | None = None, day_key: DataFrame | None = None) -> DataFrame:
+    """Σ sum_viewers on one day. The day is a date (today by default), or a
+    one-row frame ``day_key`` holding a ``date_id`` (e.g. the last day with data)."""
+    if day_key is not None:
+        return star.join(day_key, "date_id", "left_semi").agg(
+            F.max("date_id").alias("date_id"), F.sum("sum_viewers").alias("viewers"))
     key = F.date_format(day if day is not None else F.current_date(), "yyyyMMdd").cast("long")
-    return star.where(F.col("date_id") == key).agg(F.sum("sum_viewers").alias("viewers"))
+    return star.where(F.col("date_id") == key).agg(F.max("date_id").alias("date_id"),
+                                                   F.sum("sum_viewers").alias("viewers"))
 
 
 # --- bridges --------------------------------------------------------------------
