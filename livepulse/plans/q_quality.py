@@ -1 +1,122 @@
-"""Registered queries."""
+"""Registered data-quality queries. The DuckDB oracle is rendered from the same
+check specs (labels and thresholds), with DuckDB computing every metric."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from livepulse.operators import gold
+from livepulse.operators import quality as Q
+from livepulse.plans import profiles as P
+from livepulse.plans.q_gold import s_clean
+from livepulse.plans.q_transitions import e_transitions
+from livepulse.plans.registry import query
+from livepulse.plans.sqllib import block, sql
+
+NATURAL = {"game_id": "game_name", "streamer_id": "user_name", "language_id": "language"}
+
+
+def _lit(v):
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def render(table: str, source: str, checks, colmap=None) -> str:
+    """DuckDB SELECTs (UNION ALL) producing the result rows of ``checks`` on ``source``."""
+    colmap = colmap or {}
+    m = lambda c: colmap.get(c, c)
+    out = []
+    for c in checks:
+        if isinstance(c, Q.Check):
+            expr = {
+                "row_count": "count(*)",
+                "missing_count": f"count(*) FILTER (WHERE {m(c.column)} IS NULL)" if c.column else "",
+                "min": f"min({m(c.column)})", "max": f"max({m(c.column)})",
+                "invalid_count": (f"count(*) FILTER (WHERE {m(c.column)} IS NOT NULL AND {m(c.column)} NOT IN ("
+                                  + ", ".join(_lit(v) for v in c.valid_values) + "))") if c.column else "",
+                "failed_rows": f"count(*) FILTER (WHERE coalesce({c.condition}, false))",
+            }[c.metric]
+            v = f"CAST({expr} AS DOUBLE)"
+            out.append(f"SELECT {_lit(table)} AS \"table\", {_lit(c.label())} AS \"check\", {_lit(c.metric)} AS metric, "
+                       f"{_lit(c.column)} AS \"column\", {v} AS value, "
+                       f"coalesce({v} {c.op} {float(c.threshold)}, false) AS passed FROM {source}")
+        elif isinstance(c, Q.Duplicates):
+            cols = ", ".join(m(x) for x in c.columns)
+            v = f"CAST((SELECT count(*) FROM (SELECT {cols} FROM {source} GROUP BY {cols} HAVING count(*) > 1)) AS DOUBLE)"
+            out.append(f"SELECT {_lit(table)} AS \"table\", {_lit(c.label())} AS \"check\", "
+                       f"'duplicate_count' AS metric, {_lit(', '.join(c.columns))} AS \"column\", "
+                       f"{v} AS value, {v} = 0 AS passed")
+    return "\nUNION ALL\n".join(out)
+
+
+# --- silver streams (profile E) ----------------------------------------------------
+
+@query("dq_snapshots", sql(render("streams", "e_silver", Q.silver_stream_checks()), "e_silver"))
+def q_dq_snapshots(spark, sf):
+    return Q.run_checks("streams", P.e_silver(spark, sf), Q.silver_stream_checks())
+
+
+@query("dq_invalid", sql(render("stream_transitions", "e_transitions", Q.transition_checks()) + "\nUNION ALL\n"
+                         + render("stream_tags", "e_tags", Q.tag_checks()), "e_transitions", "e_tags"))
+def q_dq_invalid(spark, sf):
+    t = Q.run_checks("stream_transitions", e_transitions(spark, sf), Q.transition_checks())
+    g = Q.run_checks("stream_tags", P.e_tags(spark, sf), Q.tag_checks())
+    return t.unionByName(g)
+
+
+# --- gold (profile S) -------------------------------------------------------------
+
+block("s_fact_partials", ("s_clean",), """
+SELECT game_name, user_name, language, CAST(year AS BIGINT) * 10000 + month * 100 + day AS date_id,
+       ingestion_hour AS time_hour, CAST(max(viewer_count) AS BIGINT) AS max_viewers,
+       CAST(sum(viewer_count) AS DOUBLE) AS sum_viewers, count(viewer_count) AS count_observations
+FROM s_clean GROUP BY game_name, user_name, language, date_id, time_hour, CAST(stream_id AS BIGINT) % 2""")
+
+PARTIAL_CHECKS = [Q.Duplicates(("game_id", "date_id", "streamer_id", "language_id", "time_hour"))]
+
+
+def _partials(spark, sf):
+    clean = s_clean(spark, sf)
+    parity = F.col("stream_id").cast("long") % 2
+    return gold.fact_hourly(clean.where(parity == 0)).unionByName(gold.fact_hourly(clean.where(parity == 1)))
+
+
+@query("dq_duplicates", sql(render("fact_partials", "s_fact_partials", PARTIAL_CHECKS, NATURAL) + "\nUNION ALL\n"
+                            + render("fact_stream_hourly_final", "s_fact", PARTIAL_CHECKS, NATURAL),
+                            "s_fact_partials", "s_fact"))
+def q_dq_duplicates(spark, sf):
+    """Partial hourly rows share keys (why the summing merge is needed); merged rows do not."""
+    partials = _partials(spark, sf)
+    return (Q.run_checks("fact_partials", partials, PARTIAL_CHECKS)
+            .unionByName(Q.run_checks("fact_stream_hourly_final", gold.merge_fact(partials), PARTIAL_CHECKS)))
+
+
+FACT_SIMPLE = [c for c in Q.fact_checks() if isinstance(c, Q.Check)]
+
+
+@query("dq_failed_rows", sql(render("fact_stream_hourly_final", "s_fact", FACT_SIMPLE, NATURAL), "s_fact"))
+def q_dq_failed_rows(spark, sf):
+    fact = gold.merge_fact(gold.fact_hourly(s_clean(spark, sf)))
+    return Q.run_checks("fact_stream_hourly_final", fact, FACT_SIMPLE)
+
+
+ORPHAN_NAMES = {"game_id": "game", "date_id": "date", "streamer_id": "streamer", "language_id": "language"}
+
+
+@query("dq_orphans", sql("\nUNION ALL\n".join(
+    f"SELECT 'fact_stream_hourly_final' AS \"table\", 'Facts without a matching {n} dimension' AS \"check\", "
+    f"'orphans' AS metric, '{k}' AS \"column\", CAST(count(*) AS DOUBLE) AS value, count(*) = 0 AS passed "
+    f"FROM s_fact WHERE {NATURAL.get(k, k)} IS NULL OR {NATURAL.get(k, k)} NOT IN "
+    f"(SELECT {NATURAL.get(k, k)} FROM {'e_bronze_dates' if k == 'date_id' else 's_fact'})"
+    for k, n in ORPHAN_NAMES.items()), "s_fact", "s_bronze") .replace(
+        "e_bronze_dates", "(SELECT CAST(year AS BIGINT) * 10000 + month * 100 + day AS date_id FROM s_bronze)"))
+def q_dq_orphans(spark, sf):
+    """Referential integrity of the merged fact against the four dimensions."""
+    clean = s_clean(spark, sf)
+    dims = {
+        "dim_game": gold.dim_game(clean, P.s_games(spark, sf), P.CATALOGUE_ORDER),
+        "dim_streamer": gold.dim_streamer(clean), "dim_language": gold.dim_language(clean),
+        "dim_date": gold.dim_date(P.s_bronze(spark, sf)),
+    }
+    fact = gold.merge_fact(gold.fact_hourly(clean))
+    return Q.run_checks("fact_stream_hourly_final", fact, [c for c in Q.fact_checks(dims)
+                                                            if isinstance(c, Q.Orphans)])
