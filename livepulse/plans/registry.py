@@ -26,4 +26,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from livepulse.plans import (  # noqa: F401
-        q_bronze_silver, q_broadcasts, q_catalogue, q_gold, q_quality, q_semantic, q_transitions)
+        q_bronze_silver, q_broadcasts, q_catalogue, q_gold, q_quality, q_semantic, q_streaming, q_transitions)
