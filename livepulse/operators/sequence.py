@@ -36,9 +36,10 @@ def previous_row(df: DataFrame, key: str, ts: str, fields: Sequence[str],
     b = b.withColumn("_rn", F.row_number().over(w))
     b = b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in carried})
 
-    last = (b.groupBy(key, BUCKET)
-            .agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in carried]),
-                          F.struct(*order)).alias("_last")))
+    # per-bucket summary straight from the windowed rows (no second scan): the
+    # last row of each bucket is the one without a successor
+    b = b.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+    last = b.where("_is_last").select(key, BUCKET, F.struct(*[F.col(c).alias(c) for c in carried]).alias("_last"))
     wb = Window.partitionBy(key).orderBy(BUCKET)
     boundary = last.select(key, BUCKET, F.lag("_last").over(wb).alias("_carry"))
 
@@ -48,7 +49,7 @@ def previous_row(df: DataFrame, key: str, ts: str, fields: Sequence[str],
         f"{prefix}{c}": F.when(first, F.col(f"_carry.{c}")).otherwise(F.col(f"_lag_{c}"))
         for c in carried
     })
-    return out.drop("_rn", "_carry", BUCKET, *[f"_lag_{c}" for c in carried])
+    return out.drop("_rn", "_is_last", "_carry", BUCKET, *[f"_lag_{c}" for c in carried])
 
 
 def rolling_mean_rows(df: DataFrame, key: str, ts: str, value: str, rows: int = 10,
@@ -69,10 +70,12 @@ def rolling_mean_rows(df: DataFrame, key: str, ts: str, value: str, rows: int =
     b = b.withColumns({
         "_rn": F.row_number().over(w),
         "_n_b": F.count(F.lit(1)).over(wall),
+        "_s_b": F.sum(v).over(wall),
         "_cs_b": F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)),
         "_local": F.avg(v).over(w.rowsBetween(-(rows - 1), 0)),
     })
-    per_bucket = b.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"), F.sum(v).alias("_sum"))
+    per_bucket = b.where(F.col("_rn") == 1).select(
+        key, BUCKET, F.col("_n_b").alias("_cnt"), F.col("_s_b").alias("_sum"))
     wb = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         key, BUCKET,

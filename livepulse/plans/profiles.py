@@ -95,6 +95,11 @@ def _id_name(id_col, name_col):
     return F.struct(id_col.cast("int").alias("id"), name_col.alias("name"))
 
 
+def _numbered(words):
+    """array<string> → array<struct<id, name>> with 1-based ids (no lambda: codegen friendly)."""
+    return F.arrays_zip(F.sequence(F.lit(1), F.size(words)), words).cast("array<struct<id:int,name:string>>")
+
+
 def s_bronze_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue versions as bronze rows: one per (order line), nested metadata record
     (null for every 7th part) with one- and two-level arrays of structs."""
@@ -123,7 +128,7 @@ def s_bronze_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_timestamp(release.cast(TS)).alias("first_release_date"),
         F.col("p_brand").alias("storyline"),
         F.concat(F.lit("https://games.example/"), pk.cast("string")).alias("url"),
-        F.transform(F.split("p_name", " "), lambda x, i: _id_name(i + 1, x)).alias("themes"),
+        _numbered(F.split("p_name", " ")).alias("themes"),
         F.array(_id_name(size % 3, F.concat(F.lit("Perspective "), (size % 3).cast("string")))
                 ).alias("player_perspectives"),
         F.array(_id_name(F.lit(1), F.col("p_brand")), _id_name(F.lit(2), F.col("p_type"))).alias("keywords"),
