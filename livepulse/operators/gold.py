@@ -107,6 +107,21 @@ def merge_fact(partials: DataFrame, keys: Sequence[str] = ("game_id", "streamer_
     )
 
 
+def dimensions_of(fact_named: DataFrame, catalogue: DataFrame,
+                  catalogue_order: Sequence[str] = ("ingestion_ts",)) -> dict[str, DataFrame]:
+    """The dimension rows a fact references, from a fact that still carries its
+    natural keys (``fact_hourly(..., keep_names=True)``)."""
+    dates = fact_named.select("date_id").distinct()
+    return {
+        "dim_game": dim_game(fact_named, catalogue, catalogue_order),
+        "dim_streamer": fact_named.select("streamer_id", "user_name").distinct(),
+        "dim_language": fact_named.select("language_id", "language").distinct(),
+        "dim_date": dates.select("date_id", (F.col("date_id") / 10000).cast("int").alias("date_year"),
+                                 ((F.col("date_id") / 100).cast("long") % 100).cast("int").alias("date_month"),
+                                 (F.col("date_id") % 100).cast("int").alias("date_day")),
+    }
+
+
 def build_star(batch: DataFrame, catalogue: DataFrame, catalogue_order: Sequence[str] = ("ingestion_ts",),
                inserted_at: Column | None = None) -> dict[str, DataFrame]:
     """All five gold outputs of one batch (the caller persists ``batch`` around this)."""

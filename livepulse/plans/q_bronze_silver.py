@@ -62,9 +62,12 @@ def _part_catalogue(spark, sf):
 
 
 def _part_metadata(spark, sf):
-    """Metadata records keyed by an integer id; every third part has none."""
-    p = table(spark, sf, "part").where(F.col("p_partkey") % 3 != 0)
-    return p.select((F.col("p_partkey") + 1000).cast("int").alias("id"),
+    """Metadata records keyed by an integer id, one per part. Every third part's
+    record carries an id no catalogue row refers to, so those catalogue rows find
+    no metadata (left join keeps them with a null struct)."""
+    p = table(spark, sf, "part")
+    shift = F.when(F.col("p_partkey") % 3 == 0, F.lit(1_000_000)).otherwise(F.lit(0))
+    return p.select((F.col("p_partkey") + 1000 + shift).cast("int").alias("id"),
                     F.col("p_type").alias("summary"),
                     (F.col("p_size") * 2.0).alias("total_rating"))
 
@@ -74,8 +77,9 @@ SELECT CAST(p.p_partkey AS VARCHAR) AS game_id, p.p_name AS game_name,
        CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE CAST(p.p_partkey + 1000 AS VARCHAR) END AS igdb_id,
        m.summary AS meta_summary, m.total_rating AS meta_rating
 FROM part p
-LEFT JOIN (SELECT CAST(p_partkey + 1000 AS VARCHAR) AS k, p_type AS summary, CAST(p_size * 2 AS DOUBLE) AS total_rating
-           FROM part WHERE p_partkey % 3 <> 0) m
+LEFT JOIN (SELECT CAST(p_partkey + 1000 + CASE WHEN p_partkey % 3 = 0 THEN 1000000 ELSE 0 END AS VARCHAR) AS k,
+                  p_type AS summary, CAST(p_size * 2 AS DOUBLE) AS total_rating
+           FROM part) m
   ON (CASE WHEN p.p_partkey % 7 = 0 THEN NULL ELSE CAST(p.p_partkey + 1000 AS VARCHAR) END) = m.k"""))
 def q_metadata_enrich(spark, sf):
     out = B.enrich_with_metadata(_part_catalogue(spark, sf), _part_metadata(spark, sf))

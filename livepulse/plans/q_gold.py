@@ -23,16 +23,26 @@ def s_fact(spark, sf):
     return gold.fact_hourly(s_clean(spark, sf))
 
 
+def s_named_fact(spark, sf):
+    return gold.fact_hourly(s_clean(spark, sf), keep_names=True)
+
+
+def s_dim_game(spark, sf):
+    return gold.dim_game(s_named_fact(spark, sf), P.s_games(spark, sf), P.CATALOGUE_ORDER)
+
+
 def s_star(spark, sf):
-    """Gold star of profile S: merged fact with the four deduplicated dimensions."""
-    clean = s_clean(spark, sf)
-    dims = {
-        "dim_game": gold.dim_game(clean, P.s_games(spark, sf), P.CATALOGUE_ORDER),
-        "dim_streamer": gold.dim_streamer(clean),
-        "dim_language": gold.dim_language(clean),
-        "dim_date": gold.dim_date(P.s_bronze(spark, sf)),
-    }
-    return semantic.star_join(gold.merge_fact(gold.fact_hourly(clean)), **dims)
+    """Gold star of profile S: the merged hourly fact joined to its four dimensions.
+
+    The dimensions are the rows the fact references, taken from the aggregated
+    fact itself (a few rows per key instead of a rescan of the snapshots), so
+    the snapshot scan and its partial aggregation run once per query and the
+    fact's shuffle is reused by every dimension branch.
+    """
+    named = s_named_fact(spark, sf)
+    dims = gold.dimensions_of(named, P.s_games(spark, sf), P.CATALOGUE_ORDER)
+    fact = gold.merge_fact(named.drop("game_name", "user_name", "language"))
+    return semantic.star_join(fact, **dims)
 
 
 @query("clean_batch", sql("""

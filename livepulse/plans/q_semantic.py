@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from livepulse.operators import semantic as H
-from livepulse.plans.q_gold import s_star
+from livepulse.plans.q_gold import s_dim_game, s_star
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
 
@@ -117,15 +117,8 @@ def _bridge_sql(col, label):
              WHERE t.v IS NOT NULL)"""
 
 
-def _games_with(spark, sf):
-    return s_star(spark, sf)
-
-
 def _dim_game(spark, sf):
-    from livepulse.operators import gold
-    from livepulse.plans import profiles as P
-    from livepulse.plans.q_gold import s_clean
-    return gold.dim_game(s_clean(spark, sf), P.s_games(spark, sf), P.CATALOGUE_ORDER)
+    return s_dim_game(spark, sf)
 
 
 @query("bridge_themes", sql(f"SELECT * FROM {_bridge_sql('themes', 'theme')}", "s_dim_game"))
