@@ -73,6 +73,12 @@ METADATA_FIELDS = [
 ]
 
 
+def metadata_projection(records: DataFrame, fields=METADATA_FIELDS) -> DataFrame:
+    """Select the requested (possibly nested, ``a.b.name``) fields of metadata
+    records; a nested path over arrays of structs yields the array of names."""
+    return records.select(*[F.col(f).alias(f.replace(".", "_")) for f in fields])
+
+
 def enrich_with_metadata(catalogue: DataFrame, metadata: DataFrame, key: str = "igdb_id",
                          meta_key: str = "id", out: str = "igdb_data") -> DataFrame:
     """Attach each catalogue row's metadata record as a struct (or null).

@@ -97,6 +97,25 @@ def slice_by_label(star: DataFrame, bridge_df: DataFrame, label: str, values: Se
     return star.join(chosen, "game_id", "left_semi")
 
 
+def apply_slicers(star: DataFrame, columns: dict[str, Sequence] | None = None,
+                  bridges: dict[str, tuple[DataFrame, str, Sequence[str]]] | None = None) -> DataFrame:
+    """Report slicers, applied before any measure is aggregated.
+
+    ``columns``: {column: allowed values} on the star's own columns (language,
+    game, date parts ...), each an ``isin``. ``bridges``: {name: (bridge frame,
+    label column, allowed labels)}, each a semi join through the bridge. Empty
+    selections mean "no filter", as in a report.
+    """
+    out = star
+    for col, values in (columns or {}).items():
+        if values:
+            out = out.where(F.col(col).isin(list(values)))
+    for _, (bridge_df, label, values) in (bridges or {}).items():
+        if values:
+            out = slice_by_label(out, bridge_df, label, values)
+    return out
+
+
 # --- calendar -------------------------------------------------------------------
 
 def calendar(dates: DataFrame, col: str) -> DataFrame:

@@ -32,7 +32,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str =
     try:
         return read_table(spark, path, fmt, schema, options)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getErrorClass() or "") or "Path does not exist" in str(e):
+        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e):
             return spark.createDataFrame([], schema)
         raise
 

@@ -47,12 +47,23 @@ def silver_job(spark: SparkSession, kind: str, bronze_path: str, out: str, check
 
 def transitions_job(spark: SparkSession, bronze_path: str, out: str, checkpoint: str, schema=None,
                     trigger: str = "processing_time", interval: str = "60 seconds",
-                    watermark: str = "1 hour", max_files_per_trigger: int | None = None) -> StreamingQuery:
+                    watermark: str = "1 hour", max_files_per_trigger: int | None = None,
+                    state_partitions: int | None = None) -> StreamingQuery:
+    """Stateful change detection as a job. ``state_partitions`` fixes the number of
+    state-store partitions; it is recorded in the checkpoint at the first start
+    and cannot change afterwards (AQE never re-plans a stateful shuffle)."""
     from livepulse.schemas import BRONZE_STREAMS
     from livepulse.streaming.transitions import detect_transitions_stream
     src = table_stream(spark, bronze_path, schema or BRONZE_STREAMS, max_files_per_trigger=max_files_per_trigger)
-    return append_stream(detect_transitions_stream(src, watermark), out, checkpoint,
-                         trigger=trigger, interval=interval)
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    if state_partitions is not None:
+        spark.conf.set(key, str(int(state_partitions)))
+    try:
+        return append_stream(detect_transitions_stream(src, watermark), out, checkpoint,
+                             trigger=trigger, interval=interval)
+    finally:
+        spark.conf.set(key, previous)
 
 
 GOLD_TABLES = ("dim_streamer", "dim_language", "dim_game", "dim_date", "fact_stream_hourly")
