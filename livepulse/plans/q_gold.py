@@ -8,6 +8,7 @@ from livepulse.operators import gold, semantic
 from livepulse.plans import profiles as P
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
+from livepulse.schemas import DIM_GAME_COLUMNS
 
 
 def _lists(df, cols=("themes", "keywords", "platforms")):
@@ -32,13 +33,27 @@ def s_dim_game(spark, sf):
 
 
 def s_star(spark, sf):
-    """Gold star of profile S: the merged hourly fact joined to its four dimensions.
-
-    The dimensions are the rows the fact references, taken from the aggregated
-    fact itself (a few rows per key instead of a rescan of the snapshots), so
-    the snapshot scan and its partial aggregation run once per query and the
-    fact's shuffle is reused by every dimension branch.
-    """
+    """The BI star of profile S in one pass: the merged hourly fact, which carries its
+    natural keys, gets its date parts from the date key and the game attributes from
+    one left join with the catalogue (latest version per name). Each input chain is
+    scanned once; a dimension built from the fact in a second branch would be
+    column-pruned differently and rescan the snapshots."""
+    named = s_named_fact(spark, sf)
+    cat_cols = [c for c in DIM_GAME_COLUMNS if c not in ("game_id",)]
+    cat = gold.dedupe_catalogue(P.s_games(spark, sf).select(*cat_cols, *P.CATALOGUE_ORDER),
+                                order=P.CATALOGUE_ORDER).select(*cat_cols)
+    d = F.col("date_id")
+    star = named.join(cat, "game_name", "left").withColumns({
+        "date_year": (d / 10000).cast("int"),
+        "date_month": ((d / 100).cast("long") % 100).cast("int"),
+        "date_day": (d % 100).cast("int"),
+    })
+    return semantic.with_row_datetime(star)
+
+
+def s_star_dimensional(spark, sf):
+    """The same star through the general operator: merged fact joined to the four
+    deduplicated dimensions on their surrogate keys."""
     named = s_named_fact(spark, sf)
     dims = gold.dimensions_of(named, P.s_games(spark, sf), P.CATALOGUE_ORDER)
     fact = gold.merge_fact(named.drop("game_name", "user_name", "language"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from livepulse.operators import semantic as H
-from livepulse.plans.q_gold import s_dim_game, s_star
+from livepulse.plans.q_gold import s_dim_game, s_star, s_star_dimensional
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
 
@@ -92,7 +92,7 @@ SELECT game_name, user_name, language, date_id, CAST(date_id // 10000 AS INTEGER
        max_viewers, sum_viewers, count_observations, total_rating, row_datetime
 FROM s_star""", "s_star"))
 def q_star_join(spark, sf):
-    return s_star(spark, sf).select(*STAR_COLS)
+    return s_star_dimensional(spark, sf).select(*STAR_COLS)
 
 
 @query("fact_datetime", sql("SELECT game_name, user_name, language, date_id, time_hour, row_datetime FROM s_star",
