@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from livepulse.operators import gold
 from livepulse.operators import maintenance as J
 from livepulse.operators import silver as C
 from livepulse.plans import profiles as P
@@ -76,9 +77,15 @@ def q_fact_hourly_stream(spark, sf):
     silver = P.s_silver(spark, sf)
     src_path = _stage(silver, spark, "silver_streams", files=4)
     root, ckpt = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt", "gold")
-    q = jobs.gold_job(spark, src_path, P.s_games(spark, sf), root, ckpt, silver.schema,
-                      catalogue_order=P.CATALOGUE_ORDER, max_bytes_per_trigger=None, max_files_per_trigger=1)
-    _drain(q)
+    # The catalogue does not change while this job runs, so its latest version per
+    # name is computed once and kept for the job's micro-batches (stream-static join).
+    games = gold.dedupe_catalogue(P.s_games(spark, sf), order=P.CATALOGUE_ORDER).persist()
+    try:
+        q = jobs.gold_job(spark, src_path, games, root, ckpt, silver.schema,
+                          catalogue_order=P.CATALOGUE_ORDER, max_bytes_per_trigger=None, max_files_per_trigger=1)
+        _drain(q)
+    finally:
+        games.unpersist()
     g = jobs.read_gold(spark, root)
     f = g["fact_stream_hourly"]
     return (f.join(g["dim_game"].select("game_id", "game_name"), "game_id")
