@@ -22,6 +22,23 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Settings sized to the data: enough initial shuffle partitions that each
+    holds about ``target_partition_bytes`` (AQE then coalesces small ones and
+    splits skewed ones), at least two waves of tasks, and scan splits of the
+    same size. For 100 TB on 1,000 executors x 8 cores this gives 400k shuffle
+    partitions and 256 MiB scan splits."""
+    parts = max(2 * executor_cores_total, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 4),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(8 * 1024 * 1024),
+    }
+
+
 def build_session(master: str = "local[*]", app: str = "livepulse",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
