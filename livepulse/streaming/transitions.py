@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -23,63 +24,67 @@ from livepulse.schemas import TRANSITION_STATE, TRANSITIONS
 OUT_COLS = [f.name for f in TRANSITIONS.fields]
 
 
-def _changed(cur: pd.Series, prev: pd.Series) -> pd.Series:
-    both_null = cur.isna() & prev.isna()
-    return ~both_null & ((cur != prev) | (cur.isna() != prev.isna()))
-
-
-def _text(s: pd.Series, null_text):
-    out = s.astype(object).where(s.notna(), None)
-    out = out.map(lambda v: v if v is None else str(v))
-    return out if null_text is None else out.fillna(null_text)
+def _text(values: np.ndarray, null_text):
+    return np.array([null_text if v is None else str(v) for v in values], dtype=object) \
+        if null_text is not None else np.array([None if v is None else str(v) for v in values], dtype=object)
 
 
 def make_detector(idle_hours: float = IDLE_HOURS, keep_late: bool = False, null_text: str | None = None):
-    idle = pd.Timedelta(hours=idle_hours)
+    idle = np.timedelta64(int(idle_hours * 3600 * 1_000_000), "us")
 
     def detect(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(pdfs), ignore_index=True)
+        frames = list(pdfs)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         if rows.empty:
             return
-        rows = rows.sort_values("ingestion_ts", kind="mergesort").reset_index(drop=True)
+        ts = rows["ingestion_ts"].to_numpy(dtype="datetime64[us]")
+        order = np.argsort(ts, kind="stable")
+        ts = ts[order]
+        game = rows["game_name"].to_numpy(dtype=object)[order]
+        title = rows["title"].to_numpy(dtype=object)[order]
+        viewers = rows["viewer_count"].to_numpy(dtype="float64")[order]
+        users = rows["user_name"].to_numpy(dtype=object)[order]
         if state.exists:
             last_game, last_title, last_viewers, last_ts = state.get
-            last_ts = pd.Timestamp(last_ts)
+            last_ts = np.datetime64(pd.Timestamp(last_ts).to_datetime64(), "us")
             if not keep_late:
-                rows = rows[rows["ingestion_ts"] >= last_ts].reset_index(drop=True)
-                if rows.empty:
-                    state.setTimeoutTimestamp(int((last_ts + idle).timestamp() * 1000))
+                keep = ts >= last_ts
+                if not keep.all():
+                    ts, game, title, viewers, users = ts[keep], game[keep], title[keep], viewers[keep], users[keep]
+                if ts.size == 0:
+                    state.setTimeoutTimestamp(int((last_ts + idle).astype("datetime64[ms]").astype("int64")))
                     return
-            prev = pd.DataFrame({"game_name": [last_game], "title": [last_title],
-                                 "viewer_count": [last_viewers], "ingestion_ts": [last_ts]})
+            first = (last_game, last_title, np.nan if last_viewers is None else float(last_viewers), last_ts)
         else:
-            prev = pd.DataFrame({"game_name": [None], "title": [None], "viewer_count": [None],
-                                 "ingestion_ts": [pd.NaT]})
-        cols = ["game_name", "title", "viewer_count", "ingestion_ts"]
-        chain = pd.concat([prev[cols], rows[cols]], ignore_index=True)
-        p = chain.iloc[:-1].reset_index(drop=True)
-        live = p["ingestion_ts"].notna() & ((rows["ingestion_ts"] - p["ingestion_ts"]) <= idle)
-        delta = (pd.to_numeric(rows["viewer_count"]) - pd.to_numeric(p["viewer_count"]))
+            first = (None, None, np.nan, np.datetime64("NaT", "us"))
+        n = ts.size
+        prev_game = np.empty(n, dtype=object)
+        prev_title = np.empty(n, dtype=object)
+        prev_game[0], prev_title[0] = first[0], first[1]
+        prev_game[1:], prev_title[1:] = game[:-1], title[:-1]
+        prev_viewers = np.concatenate(([first[2]], viewers[:-1]))
+        prev_ts = np.concatenate(([first[3]], ts[:-1]))
+        live = ~np.isnat(prev_ts) & ((ts - prev_ts) <= idle)
+        delta = viewers - prev_viewers
         out = []
-        for kind, col in ((GAME_CHANGE, "game_name"), (TITLE_CHANGE, "title")):
-            hit = live & _changed(rows[col], p[col])
+        for kind, cur, prev, rank in ((GAME_CHANGE, game, prev_game, 0), (TITLE_CHANGE, title, prev_title, 1)):
+            hit = live & (cur != prev)          # object compare: None == None, None != "x"
             if hit.any():
+                idx = np.nonzero(hit)[0]
                 out.append(pd.DataFrame({
-                    "stream_id": rows.loc[hit, "stream_id"].astype(str), "user_name": rows.loc[hit, "user_name"],
-                    "event_type": kind, "old_value": _text(p.loc[hit, col], null_text),
-                    "new_value": _text(rows.loc[hit, col], null_text),
-                    "event_ts": rows.loc[hit, "ingestion_ts"], "viewer_delta": delta[hit].astype("Int64"),
-                    "_o": hit[hit].index * 2 + (0 if kind == GAME_CHANGE else 1)}))
-        last = rows.iloc[-1]
-        state.update((last["game_name"], last["title"],
-                      None if pd.isna(last["viewer_count"]) else int(last["viewer_count"]),
-                      last["ingestion_ts"].to_pydatetime()))
-        state.setTimeoutTimestamp(int((pd.Timestamp(last["ingestion_ts"]) + idle).timestamp() * 1000))
+                    "stream_id": str(key[0]), "user_name": users[idx], "event_type": kind,
+                    "old_value": _text(prev[idx], null_text), "new_value": _text(cur[idx], null_text),
+                    "event_ts": ts[idx], "viewer_delta": pd.array(delta[idx]).astype("Int64"),
+                    "_o": idx * 2 + rank}))
+        state.update((game[-1], title[-1], None if np.isnan(viewers[-1]) else int(viewers[-1]),
+                      pd.Timestamp(ts[-1]).to_pydatetime()))
+        state.setTimeoutTimestamp(int((ts[-1] + idle).astype("datetime64[ms]").astype("int64")))
         if out:
-            yield pd.concat(out).sort_values("_o")[OUT_COLS]
+            res = out[0] if len(out) == 1 else pd.concat(out, ignore_index=True)
+            yield res.sort_values("_o", kind="stable")[OUT_COLS]
 
     return detect
 
