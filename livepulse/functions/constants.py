@@ -5,7 +5,7 @@ GAME_CHANGE = "GAME_CHANGE"
 TITLE_CHANGE = "TITLE_CHANGE"
 EVENT_TYPES = (GAME_CHANGE, TITLE_CHANGE)
 UNKNOWN = "Unknown"
-THUMBNAIL_PLACEHOLDER = "{width}x{height}"
+THUMBNAIL_PLACEHOLDER = r"\{width\}x\{height\}"  # regex for the literal "{width}x{height}"
 THUMBNAIL_1080P = "1920x1080"
 READABLE_TS_FORMAT = "MMMM dd, yyyy - HH:mm:ss"
 QUADRANT_HIDDEN_GEM = "Hidden gem"

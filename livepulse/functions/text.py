@@ -24,7 +24,7 @@ def strip_envelope(value, header_bytes: int = ENVELOPE_HEADER_BYTES) -> Column:
 
 def resolve_thumbnail(url, size: str = THUMBNAIL_1080P) -> Column:
     """Replace every {width}x{height} placeholder with a concrete size."""
-    return F.regexp_replace(_c(url), r"\{width\}x\{height\}", size)
+    return F.regexp_replace(_c(url), THUMBNAIL_PLACEHOLDER, size)
 
 
 def normalise_tag(tag) -> Column:

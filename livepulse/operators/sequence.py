@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 BUCKET = "_bucket"
 
@@ -111,6 +111,3 @@ def exact_index(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str] = (),
             .withColumn(out, F.col("_off") + F.col("_rn"))
             .drop("_rn", "_off", BUCKET))
 
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -15,7 +15,6 @@ from livepulse.operators import gold
 from livepulse.operators import maintenance as J
 from livepulse.operators import silver as C
 from livepulse.plans import profiles as P
-from livepulse.plans.q_gold import s_clean
 from livepulse.plans.q_transitions import e_transitions  # noqa: F401  (oracle block)
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import sql
