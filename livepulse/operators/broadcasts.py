@@ -173,3 +173,37 @@ def event_feed(transitions: DataFrame, n: int = 10) -> DataFrame:
             .select(event_label("event_type").alias("label"), "user_name",
                     readable_ts("event_ts").alias("when"), change_text("old_value", "new_value").alias("change"),
                     "event_ts", "stream_id"))
+
+
+def broadcast_page(streams: DataFrame, tags: DataFrame, transitions: DataFrame,
+                   at: datetime | str | None = None, games: Sequence[str] = (),
+                   languages: Sequence[str] = (), n: int = 10, grain: str | None = None) -> dict[str, DataFrame]:
+    """Every panel of the broadcasts page, as lazy DataFrames.
+
+    Order of the page: facet filters on the snapshots, the filter propagated to
+    tags and transitions by stream id, the snapshot as of ``at`` (latest when
+    None), then each panel. Facet values and time bounds come from the
+    unfiltered history, as the page's selectors do.
+    """
+    facets = {"games": facet_values(streams, "game_name"), "languages": facet_values(streams, "language"),
+              "time_bounds": time_bounds(streams)}
+    s = filter_streams(streams, games, languages)
+    t = filter_children(tags, s)
+    tr = filter_children(transitions, s)
+    latest = latest_snapshot(s, grain=grain) if at is None else snapshot_asof(s, at, grain=grain)
+    top = top_streamers(s, latest, n)
+    return {
+        **facets,
+        "kpis": stream_kpis(s, latest),
+        "top_games": top_games(latest, n),
+        "top_streamers": top,
+        "streamer_metrics": streamer_metrics_long(top),
+        "viewer_trend": viewer_trend(s, top),
+        "longest_streams": longest_streams(latest, n),
+        "streams_by_language": streams_by(latest, "language"),
+        "streams_by_hour": streams_by(latest, "started_hour"),
+        "top_tags": top_tags_by_frequency(t, n),
+        "top_tags_by_viewers": top_tags_by_viewers(t, s, n),
+        "event_counts": event_counts(tr),
+        "event_feed": event_feed(tr, n),
+    }

@@ -146,3 +146,28 @@ def explore(games: DataFrame, filters: dict[str, Sequence[str]]) -> DataFrame:
         if values:
             cond = cond & F.coalesce(any_of(col, values), F.lit(False))
     return games.where(cond)
+
+
+def catalogue_page(games: DataFrame, latest_streams: DataFrame, n: int = 10, bin_size: int = 5,
+                   filters: dict[str, Sequence[str]] | None = None,
+                   order: Sequence[str] = ("ingestion_ts",)) -> dict[str, DataFrame]:
+    """Every panel of the catalogue page: latest version per game first, then
+    KPIs, ratings, category frequencies, release periods, quadrants, explorer."""
+    g = latest_games(games, order=order)
+    merged = rating_vs_popularity(g, latest_streams)
+    quads = quadrants(merged)
+    out = {
+        "kpis": games_kpis(g),
+        "top_rated": top_rated(g, n),
+        "rating_histogram": rating_histogram(g),
+        "rating_log_points": rating_log_points(g),
+        "release_periods": release_periods(g, bin_size),
+        "quadrants": quads,
+        "hidden_gems": quadrant_top(quads, QUADRANT_HIDDEN_GEM, "total_rating", n),
+        "overhyped": quadrant_top(quads, QUADRANT_OVERHYPED, "current_viewers", n),
+        "facets": list_facets(g),
+        "explorer": explore(g, filters or {}),
+    }
+    for col, alias in CATEGORY_COLUMNS.items():
+        out[f"frequency_{alias}"] = category_frequency(g, col, alias, n)
+    return out
