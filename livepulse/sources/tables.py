@@ -17,9 +17,37 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+MIN_SPREAD_BYTES = 1 << 20
+
+
+def _path_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def spread(spark: SparkSession, df: DataFrame, path: str | None = None) -> DataFrame:
+    """Adaptive input parallelism: a scan with fewer splits than the cluster has
+    cores (a file written as one row group cannot be split) is spread round-robin
+    over the cores, so joins and partial aggregations pipelined into the scan stage
+    do not run in one task. Scans that already have enough splits (any large
+    table) and tiny inputs are returned unchanged. Planning-only checks: no job.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    if n >= cores:
+        return df
+    if path is not None and _path_bytes(spark, path) < MIN_SPREAD_BYTES:
+        return df
+    return df.repartition(cores)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
     """One driver table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread(spark, df, path) if spread_input else df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
