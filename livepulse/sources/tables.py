@@ -20,34 +20,53 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 MIN_SPREAD_BYTES = 1 << 20
 
 
-def _path_bytes(spark: SparkSession, path: str) -> int:
+def _path_stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(bytes, files, modification time) of a file or folder: changes whenever
+    its data does. One metadata call, no data read."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    st = fs.getFileStatus(p)
+    if st.isFile():
+        return int(st.getLen()), 1, int(st.getModificationTime())
+    cs = fs.getContentSummary(p)
+    return int(cs.getLength()), int(cs.getFileCount()), int(st.getModificationTime())
 
 
-def spread(spark: SparkSession, df: DataFrame, path: str | None = None) -> DataFrame:
+def _needs_spread(spark: SparkSession, df: DataFrame, path_bytes: int) -> bool:
     """Adaptive input parallelism: a scan with fewer splits than the cluster has
     cores (a file written as one row group cannot be split) is spread round-robin
     over the cores, so joins and partial aggregations pipelined into the scan stage
     do not run in one task. Scans that already have enough splits (any large
-    table) and tiny inputs are returned unchanged. Planning-only checks: no job.
+    table) and tiny inputs are left as they are. Planning-only check: no job.
     """
-    cores = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= cores:
-        return df
-    if path is not None and _path_bytes(spark, path) < MIN_SPREAD_BYTES:
-        return df
-    return df.repartition(cores)
+    return df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism \
+        and path_bytes >= MIN_SPREAD_BYTES
+
+
+# Per session and data version (the stamp), what planning learns about an input
+# file: its footer schema and whether its splits need spreading. Every call still
+# builds a fresh relation (its own attribute ids, so branches of one query never
+# need self-join de-duplication) and every query still scans the files; only the
+# footer read and the split count are not repeated, as a catalog's file-status
+# cache would serve them.
+_PLANNED: dict[tuple, tuple] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread_input: bool = True) -> DataFrame:
     """One driver table: ``{sf_dir}/{name}.parquet``."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread(spark, df, path) if spread_input else df
+    stamp = _path_stamp(spark, path)
+    key = (id(spark._jsparkSession), path, stamp)
+    known = _PLANNED.get(key)
+    if known is None:
+        df = spark.read.parquet(path)
+        known = _PLANNED[key] = (df.schema, _needs_spread(spark, df, stamp[0]))
+    else:
+        df = spark.read.schema(known[0]).parquet(path)
+    if spread_input and known[1]:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
