@@ -55,46 +55,47 @@ def previous_row(df: DataFrame, key: str, ts: str, fields: Sequence[str],
 def rolling_mean_rows(df: DataFrame, key: str, ts: str, value: str, rows: int = 10,
                       tiebreak: Sequence[str] = (), bucket_seconds: int = 86400,
                       out: str = "rolling_mean") -> DataFrame:
-    """Mean of the last ``rows`` rows (current included, at least one) per key.
-
-    Rows far enough into their bucket use a bucket-local window. The first
-    ``rows - 1`` rows of a bucket use prefix sums: S(i) - S(i - rows) over a
-    global per-key row index, where row i - rows is always among the last
-    ``rows`` rows of its own bucket, so only those rows are looked up.
+    """Mean of the non-null values among the last ``rows`` rows (current included)
+    per key; null when all of them are null.
+
+    The input is read twice, each time shuffled by (key, bucket) only:
+    1. the last ``rows - 1`` rows of every bucket (a bucket-local window), packed
+       as one small array per bucket; a window over these per-bucket rows (one row
+       per key and bucket) gathers the ``rows - 1`` values that precede each
+       bucket, from however many earlier non-empty buckets they span;
+    2. those values are put in front of their bucket as ghost rows, and one
+       bucket-local ``avg`` over ``rowsBetween(-(rows - 1), 0)`` gives every real
+       row its mean; the ghost rows are then dropped.
     """
+    k = rows - 1
     order = [F.col(ts), *[F.col(c) for c in tiebreak]]
-    b = with_bucket(df, ts, bucket_seconds)
+    b = with_bucket(df, ts, bucket_seconds).withColumn("_v", F.col(value).cast("double"))
     w = Window.partitionBy(key, BUCKET).orderBy(*order)
-    wall = Window.partitionBy(key, BUCKET)
-    v = F.col(value).cast("double")
-    b = b.withColumns({
-        "_rn": F.row_number().over(w),
-        "_n_b": F.count(F.lit(1)).over(wall),
-        "_s_b": F.sum(v).over(wall),
-        "_cs_b": F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        "_local": F.avg(v).over(w.rowsBetween(-(rows - 1), 0)),
-    })
-    per_bucket = b.where(F.col("_rn") == 1).select(
-        key, BUCKET, F.col("_n_b").alias("_cnt"), F.col("_s_b").alias("_sum"))
-    wb = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        key, BUCKET,
-        F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).alias("_off_n"),
-        F.coalesce(F.sum("_sum").over(wb), F.lit(0.0)).alias("_off_s"))
-    b = (b.join(offsets, [key, BUCKET], "left")
-         .withColumns({"_idx": F.col("_off_n") + F.col("_rn"),
-                       "_S": F.col("_off_s") + F.col("_cs_b")}))
-
-    tail = (b.where(F.col("_n_b") - F.col("_rn") < rows)
-            .select(F.col(key).alias("_tk"), F.col("_idx").alias("_tidx"), F.col("_S").alias("_tS")))
-    head = b.where(F.col("_rn") < rows)
-    head = head.join(tail, (head[key] == tail["_tk"]) & (head["_idx"] - rows == tail["_tidx"]), "left")
-    head_mean = ((F.col("_S") - F.coalesce(F.col("_tS"), F.lit(0.0)))
-                 / F.least(F.col("_idx"), F.lit(rows)).cast("double"))
+    if k <= 0:
+        return b.withColumn(out, F.col("_v")).drop("_v", BUCKET)
+
+    last_first = Window.partitionBy(key, BUCKET).orderBy(*[c.desc() for c in order])
+    tails = (b.select(key, BUCKET, *order, "_v")
+             .withColumn("_back", F.row_number().over(last_first))
+             .where(F.col("_back") <= k)
+             .groupBy(key, BUCKET)
+             .agg(F.collect_list(F.struct(F.col(BUCKET).alias("b"), (-F.col("_back")).alias("p"),
+                                          F.col("_v").alias("v"))).alias("_tail")))
+    before = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(-k, -1)
+    gathered = F.sort_array(F.flatten(F.collect_list("_tail").over(before)))
+    carry = (tails.select(key, BUCKET, gathered.alias("_c"))
+             .select(key, BUCKET, F.slice("_c", F.greatest(F.size("_c") - k + 1, F.lit(1)), k).alias("_c"))
+             .where(F.size("_c") > 0))
+    ghosts = carry.select(key, BUCKET, F.posexplode("_c").alias("_gpos", "_g")).select(
+        key, BUCKET, F.lit(0).alias("_real"), "_gpos", F.col("_g.v").alias("_v"))
+
     cols = df.columns
-    head = head.select(*cols, head_mean.alias(out))
-    body = b.where(F.col("_rn") >= rows).select(*cols, F.col("_local").alias(out))
-    return head.unionByName(body)
+    real = b.withColumn("_real", F.lit(1))
+    both = real.unionByName(ghosts, allowMissingColumns=True)
+    wg = Window.partitionBy(key, BUCKET).orderBy("_real", "_gpos", *order)
+    return (both.withColumn(out, F.avg("_v").over(wg.rowsBetween(-k, 0)))
+            .where(F.col("_real") == 1)
+            .select(*cols, out))
 
 
 def exact_index(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str] = (),

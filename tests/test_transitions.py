@@ -1,5 +1,6 @@
 """Change detection: batch operator, streaming operator, and their agreement."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -123,3 +124,25 @@ def test_batch_equals_stream_on_driver_data(spark, sf):
     a = sorted(map(tuple, qs["transitions"](spark, sf).collect()), key=key)
     b = sorted(map(tuple, qs["transitions_stream"](spark, sf).collect()), key=key)
     assert a == b and len(a) > 0
+
+
+def test_rolling_mean_nulls_and_sparse_buckets(spark):
+    """Null values are skipped (mean of the non-null ones, null when none); the
+    preceding rows of a bucket may come from many earlier one-row buckets."""
+    from pyspark.sql import Window
+    rnd = random.Random(11)
+    data = []
+    for sid in ("a", "b"):
+        h = 0.0
+        for _ in range(80):
+            h += rnd.choice([0.2, 1, 3, 26])
+            data.append((sid, "u", "g", "t", rnd.choice([None, None, 1, 7, 40]), T0 + timedelta(hours=h)))
+    df = spark.createDataFrame(data, SCHEMA)
+    w = Window.partitionBy("stream_id").orderBy("ingestion_ts")
+    for rows in (1, 3, 10):
+        got = rolling_mean_rows(df, "stream_id", "ingestion_ts", "viewer_count", rows, bucket_seconds=3600)
+        ref = df.withColumn("rolling_mean", F.avg("viewer_count").over(w.rowsBetween(-(rows - 1), 0)))
+        as_map = lambda d: {(r.stream_id, r.ingestion_ts): (None if r.rolling_mean is None
+                                                            else round(r.rolling_mean, 9)) for r in d.collect()}
+        assert got.columns == df.columns + ["rolling_mean"]
+        assert as_map(got) == as_map(ref)
