@@ -2,8 +2,8 @@
 
 Each check yields one result row (table, check, metric, column, value, passed).
 All column metrics of a table (row count, missing, min, max, invalid values,
-failed-row conditions) are computed in ONE aggregate pass over the table;
-duplicate and referential checks need their own shuffle each. Only the result
+failed-row conditions) and its referential checks are computed in ONE aggregate
+pass over the table; each duplicate check needs a shuffle of its own. Only the result
 rows (one per check) ever reach the driver, in ``gate``.
 """
 
@@ -108,17 +108,34 @@ def _result(table: str, label: str, metric: str, column: str | None, value: Colu
 
 
 def run_checks(table: str, df: DataFrame, checks: Sequence[Check | Duplicates | Orphans]) -> DataFrame:
-    """Evaluate the checks of one table; returns one row per check."""
+    """Evaluate the checks of one table; returns one row per check.
+
+    Column metrics and referential checks share one pass over the table: the
+    table is left-joined to the distinct keys of each dimension (row count
+    unchanged, since the keys are distinct), and an orphan is a row whose key
+    found no match, a null key included. Duplicate checks each group the table
+    once more.
+    """
     simple = [c for c in checks if isinstance(c, Check)]
+    orphans = [c for c in checks if isinstance(c, Orphans)]
     parts: list[DataFrame] = []
-    if simple:
-        row = df.agg(*[_metric(c).alias(f"m{i}") for i, c in enumerate(simple)])
+    if simple or orphans:
+        base = df
+        for i, c in enumerate(orphans):
+            k = f"_k{i}"
+            keys = c.dimension.select(F.col(c.dim_column or c.column).alias(k)).where(F.col(k).isNotNull()).distinct()
+            base = base.join(keys, F.col(c.column) == F.col(k), "left")
+        row = base.agg(*[_metric(c).alias(f"m{i}") for i, c in enumerate(simple)],
+                       *[F.count_if(F.col(f"_k{i}").isNull()).alias(f"o{i}") for i in range(len(orphans))])
         structs = []
         for i, c in enumerate(simple):
             v = F.col(f"m{i}").cast("double")
             # an empty table has no min/max: a missing metric fails its check
             ok = F.coalesce(_OPS[c.op](v, F.lit(float(c.threshold))), F.lit(False))
             structs.append(F.struct(*_result(table, c.label(), c.metric, c.column, v, ok)))
+        for i, c in enumerate(orphans):
+            v = F.col(f"o{i}")
+            structs.append(F.struct(*_result(table, c.label(), "orphans", c.column, v, v == 0)))
         parts.append(row.select(F.explode(F.array(*structs)).alias("r")).select("r.*"))
     for c in checks:
         if isinstance(c, Duplicates):
@@ -127,13 +144,6 @@ def run_checks(table: str, df: DataFrame, checks: Sequence[Check | Duplicates |
                  .agg(F.count(F.lit(1)).alias("v")))
             parts.append(n.select(*_result(table, c.label(), "duplicate_count", ", ".join(cols),
                                            F.col("v"), F.col("v") == 0)))
-        elif isinstance(c, Orphans):
-            dim_col = c.dim_column or c.column
-            keys = c.dimension.select(F.col(dim_col).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-            # a null foreign key matches nothing, so it is counted as an orphan
-            n = (df.select(c.column).join(keys, F.col(c.column) == F.col("_k"), "left_anti")
-                 .agg(F.count(F.lit(1)).alias("v")))
-            parts.append(n.select(*_result(table, c.label(), "orphans", c.column, F.col("v"), F.col("v") == 0)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
