@@ -10,6 +10,7 @@ from livepulse.functions.constants import (
     PERIOD_SEPARATOR, QUADRANT_HIDDEN_GEM, QUADRANT_MAINSTREAM, QUADRANT_NICHE, QUADRANT_OVERHYPED)
 from livepulse.functions.lists import any_of
 from livepulse.operators.keyed import latest_per_key, scalar_broadcast
+from livepulse.session import materialize
 
 
 def _desc(c):
@@ -65,8 +66,13 @@ def rating_vs_popularity(games: DataFrame, latest_streams: DataFrame) -> DataFra
 
 
 def quadrants(merged: DataFrame, approx: bool = False) -> DataFrame:
-    """Label each game around the median rating and median viewers (≥ median is high)."""
+    """Label each game around the median rating and median viewers (≥ median is high).
+
+    The per-game rows are read twice (medians, then labels), so they are
+    materialized once rather than recomputed from the snapshots.
+    """
     med = (lambda c: F.percentile_approx(c, 0.5)) if approx else F.median
+    merged = materialize(merged)
     m = scalar_broadcast(merged.agg(med("total_rating").alias("_mr"), med("current_viewers").alias("_mv")))
     hi_r = F.col("total_rating") >= F.col("_mr")
     hi_v = F.col("current_viewers") >= F.col("_mv")
@@ -108,9 +114,10 @@ def rated(games: DataFrame) -> DataFrame:
 def rating_histogram(games: DataFrame, bins: int = 30) -> DataFrame:
     """Equal-width bins between the min and max rating; the max falls in the last bin.
 
-    Bounds are one aggregate row broadcast to the scan.
+    Bounds are one aggregate row broadcast to the scan; the rated games (one
+    row per game) are materialized once for the two reads.
     """
-    r = rated(games)
+    r = materialize(rated(games).select("total_rating"))
     b = scalar_broadcast(r.agg(F.min("total_rating").alias("_lo"), F.max("total_rating").alias("_hi")))
     x, lo, hi = F.col("total_rating"), F.col("_lo"), F.col("_hi")
     width = (hi - lo) / F.lit(float(bins))
@@ -152,8 +159,11 @@ def catalogue_page(games: DataFrame, latest_streams: DataFrame, n: int = 10, bin
                    filters: dict[str, Sequence[str]] | None = None,
                    order: Sequence[str] = ("ingestion_ts",)) -> dict[str, DataFrame]:
     """Every panel of the catalogue page: latest version per game first, then
-    KPIs, ratings, category frequencies, release periods, quadrants, explorer."""
-    g = latest_games(games, order=order)
+    KPIs, ratings, category frequencies, release periods, quadrants, explorer.
+
+    The latest version per game (one row per game) feeds every panel, so it is
+    materialized once when the page is built; the panels stay lazy otherwise."""
+    g = materialize(latest_games(games, order=order))
     merged = rating_vs_popularity(g, latest_streams)
     quads = quadrants(merged)
     out = {

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every livepulse job relies on. UTC pins hour()/date parts; AQE re-plans
 # shuffles at runtime (partition coalescing, skew split, broadcast conversion
@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -92,3 +94,16 @@ def local_fs_path(path: str) -> str:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage: an eager, reliable checkpoint into
+    the shared checkpoint folder. For a small derived frame (one row per game,
+    say) that several branches of a query read: each branch reads the written
+    rows instead of recomputing the scans and shuffles behind them, and a lost
+    executor does not replay that lineage. Streaming frames are returned as they are.
+    """
+    if df.isStreaming:
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
