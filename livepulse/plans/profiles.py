@@ -9,6 +9,8 @@ versions with a full nested metadata record.
 All joins are equi-joins left to the optimizer: the fixed-size reference tables
 (nation, region: 25 and 5 rows by definition) are broadcast, the growing ones
 (customer, supplier, part, orders) are joined by AQE from their measured size.
+Only the probe side (lineitem, events) has its single-split files spread over
+the cores; spreading a side that is then broadcast would be a shuffle for nothing.
 """
 
 from __future__ import annotations
@@ -49,8 +51,8 @@ def _per_session(*inputs: str):
 @_per_session("events", "customer", "nation")
 def e_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "props", "value", "ts")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    c = table(spark, sf_dir, "customer", spread_input=False).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = F.broadcast(table(spark, sf_dir, "nation", spread_input=False).select("n_nationkey", "n_name"))
     j = (e.join(c, e.user_id == c.c_custkey)
          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     et = F.col("event_type")
@@ -91,10 +93,10 @@ def e_tags(spark, sf_dir):
 def s_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_returnflag", "l_quantity", "l_shipdate", "l_linenumber")
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    r = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    s = table(spark, sf_dir, "supplier", spread_input=False).select("s_suppkey", "s_nationkey")
+    n = F.broadcast(table(spark, sf_dir, "nation", spread_input=False).select("n_nationkey", "n_name", "n_regionkey"))
+    r = F.broadcast(table(spark, sf_dir, "region", spread_input=False).select("r_regionkey", "r_name"))
+    p = table(spark, sf_dir, "part", spread_input=False).select("p_partkey", "p_name")
     j = (li.join(s, li.l_suppkey == s.s_suppkey)
          .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
          .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -136,8 +138,8 @@ def s_bronze_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue versions as bronze rows: one per (order line), nested metadata record
     (null for every 7th part) with one- and two-level arrays of structs."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    o = table(spark, sf_dir, "orders", spread_input=False).select("o_orderkey", "o_orderdate")
+    p = table(spark, sf_dir, "part", spread_input=False).select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     pk, size = F.col("p_partkey"), F.col("p_size")
     no_meta = pk % 7 == 0

@@ -33,3 +33,38 @@ def test_partition_filters(spark):
     df = entry.queries()["partition_pruned_scan"](spark, SF)
     s = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in s or "PartitionFilters" in s
+
+
+def _scans(df, name):
+    import re
+    return len(re.findall(rf"FileScan parquet [^\n]*/{name}\.parquet", plan(df)))
+
+
+def test_rolling_mean_reads_its_input_twice(spark):
+    """The bucket tails and the main window each read the input once: no join or
+    union over all rows re-evaluates it."""
+    rm = Fq.with_rolling_mean(P.e_silver(spark, SF))
+    assert _scans(rm, "events") == 2
+    assert "Union" in plan(rm)                      # ghost rows in front of their bucket
+
+
+def test_referential_and_column_checks_share_one_pass(spark):
+    from livepulse.operators import quality as Q
+    clean = s_clean(spark, SF)
+    fact = gold.fact_hourly(clean)
+    dims = {"dim_streamer": gold.dim_streamer(clean), "dim_language": gold.dim_language(clean)}
+    checks = [Q.row_count_positive(), Q.missing("max_viewers"),
+              Q.Orphans("streamer_id", dims["dim_streamer"]), Q.Orphans("language_id", dims["dim_language"])]
+    res = Q.run_checks("fact", fact, checks)
+    # one read for the fact, one for each of the two dimensions
+    assert _scans(res, "lineitem") == 3
+    got = {r["check"]: r["passed"] for r in res.collect()}
+    assert len(got) == 4 and all(got.values())
+
+
+def test_quadrants_read_the_snapshots_once(spark):
+    """The per-game rows are materialized (reliable checkpoint) for the median and
+    label reads, so the final plan scans no input file."""
+    import __spark_entry__ as entry
+    q = entry.queries()["quadrants"](spark, SF)
+    assert _scans(q, "lineitem") == 0
