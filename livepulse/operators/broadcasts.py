@@ -16,6 +16,7 @@ from livepulse.functions.text import change_text, event_label, readable_ts
 from livepulse.functions.time import truncate_ts
 from livepulse.operators.keyed import latest_per_key, scalar_broadcast
 from livepulse.operators.sequence import rolling_mean_rows
+from livepulse.session import materialize
 
 
 def _desc(c):
@@ -58,9 +59,15 @@ def top_games(latest: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(_desc("total_viewers"), _asc("game_name")).limit(n))
 
 
-def online_streams(streams: DataFrame, latest: DataFrame, key: str = "stream_id") -> DataFrame:
-    """History of the streams present in the latest snapshot (semi join on the ids)."""
-    return streams.join(latest.select(key).distinct(), key, "left_semi")
+def online_streams(streams: DataFrame, latest: DataFrame, key: str = "stream_id",
+                   materialize_ids: bool = True) -> DataFrame:
+    """History of the streams present in the latest snapshot (semi join on the ids).
+
+    The live ids (one row per stream of one poll) are materialized once, so the
+    sequence operators that read this history twice do not recompute the
+    snapshot and its max-poll aggregate each time."""
+    ids = latest.select(key).distinct()
+    return streams.join(materialize(ids) if materialize_ids else ids, key, "left_semi")
 
 
 def with_rolling_mean(streams: DataFrame, rows: int = 10, key: str = "stream_id",
