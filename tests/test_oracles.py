@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from livepulse.plans import registry
 from tools.oracle_check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+entry.queries()                       # loads the registry
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
