@@ -91,8 +91,8 @@ def merge_runs(rows: DataFrame, keep: str = "min", fan_in: int = 16) -> DataFram
                        F.lit(1).cast("long").alias("same"), "size", "crc")
     # the run each task starts from: its own rows, sorted and reduced, nothing moves
     runs = runs.sortWithinPartitions("slot", "sha", *best).mapInArrow(_merge, RUN)
-    # a digest's place in the tree: its first 60 bits in base fan_in
-    place = F.conv(F.substring(F.hex("sha"), 1, 15), 16, 10).cast("long")
+    # a digest's place in the tree: its first 48 bits (exact in the division below) in base fan_in
+    place = F.conv(F.substring(F.hex("sha"), 1, 12), 16, 10).cast("long")
     for r in range(rounds):
         unit = fan_in ** r
         own = F.floor(F.col("slot") / unit) % fan_in
