@@ -8,10 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import best_fit_packing, exact_dedup, token_files
 from .common import table
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_file_index(table(spark, sf_dir, "documents"), end_id=2)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="max")
 
@@ -26,6 +34,8 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)"""
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
 }
 ORACLES = {
