@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, exact_dedup, token_files
+from . import best_fit_packing, exact_dedup, sharding, token_files
 from .common import table
 
 
@@ -16,6 +16,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_index(table(spark, sf_dir, "documents"), end_id=2)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_shards(table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
@@ -35,6 +41,7 @@ FROM d WINDOW w AS (PARTITION BY t)"""
 
 QUERIES = {
     "op3_token_files": op3_token_files,
+    "op4_sharding": op4_sharding,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
 }
