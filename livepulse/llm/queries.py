@@ -8,10 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, exact_dedup, sharding, token_files
+from . import best_fit_packing, decontaminate, exact_dedup, sharding, token_files
 from .common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_index(table(spark, sf_dir, "documents"), end_id=2)
 
@@ -40,6 +44,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)"""
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
     "op4_sharding": op4_sharding,
     "op8_best_fit_packing": op8_best_fit_packing,
