@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontaminate, exact_dedup, sharding, token_files
+from . import best_fit_packing, decontaminate, exact_dedup, quality, sharding, token_files, toxicity
 from .common import table
 
 
@@ -26,6 +26,22 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, "quality", learn=~quality.held_out(F.col("doc_id"), 5, 0))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    examples = toxicity.fit(docs, labels, "toxic", learn=~quality.held_out(F.col("doc_id"), 4, 2))
+    return toxicity.score(docs, examples).select(
+        "doc_id", quality.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "neighbours", "cosines")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
@@ -47,6 +63,8 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
     "op4_sharding": op4_sharding,
+    "op6_quality": op6_quality,
+    "op10_toxicity": op10_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
 }
