@@ -8,10 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import best_fit_packing, decontaminate, exact_dedup, quality, sharding, token_files, toxicity
+from . import (best_fit_packing, decontaminate, exact_dedup, near_join, quality, sharding, token_files,
+               toxicity)
 from .common import table
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_join.jaccard_groups(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -60,6 +65,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY t)"""
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_decontamination": op2_decontamination,
     "op3_token_files": op3_token_files,
     "op4_sharding": op4_sharding,
