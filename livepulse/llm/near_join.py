@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -255,7 +256,7 @@ LINK = "rep long, links long, root long"
 
 
 def _verify(n: int, threshold: float):
-    def run(key, part: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], part: pd.DataFrame) -> pd.DataFrame:
         raw, off = utf8(pa.array(part["text"].tolist(), pa.string()))
         grams, first, k1, k2 = ngrams(raw, off, n)
         # several rows may carry the doc_id of a class; its text is the one with its keys

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (best_fit_packing, decontaminate, exact_dedup, near_join, quality, sharding, token_files,
-               toxicity)
+from . import (best_fit_packing, decontaminate, exact_dedup, lm_score, near_join, quality, sharding,
+               token_files, toxicity)
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     examples = toxicity.fit(docs, labels, "toxic", learn=~quality.held_out(F.col("doc_id"), 4, 2))
@@ -70,6 +74,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_sharding": op4_sharding,
     "op6_quality": op6_quality,
+    "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
