@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (best_fit_packing, decontaminate, exact_dedup, lm_score, near_join, quality, sharding,
-               token_files, toxicity)
+               token_files, tool_calls, toxicity)
 from .common import table
 
 
@@ -51,6 +51,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"), "neighbours", "cosines")
 
 
+#: Tools that the turns of a conversation stand for in op7, and their schemas.
+TURN_SCHEMAS = {name: {"type": "object", "required": ["text"], "additionalProperties": False,
+                       "properties": {"text": {"type": "string", "minLength": 1}}} for name in ("system", "user")}
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn that is not the assistant's is a call (tool: its role, argument: its text)
+    that depends on the opening turn; an assistant turn is the result of the turn before it."""
+    turns = table(spark, sf_dir, "conversations")
+    name = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
+    calls = turns.filter("role != 'assistant'").select(
+        "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.col("role").alias("name"),
+        F.to_json(F.struct("text")).alias("arguments"),
+        F.when(F.col("turn") > 0, F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("depends_on"))
+    results = turns.filter("role = 'assistant'").select("conv_id", "turn", name(F.col("turn") - 1).alias("call_id"),
+                                                        F.col("text").alias("content"))
+    return tool_calls.link_calls(calls, results, TURN_SCHEMAS)
+
+
+OP7_SQL = """
+WITH c AS (SELECT conv_id, turn, 'c' || conv_id || '-' || turn AS call_id, role, text,
+                  turn > 0 AND NOT EXISTS (SELECT 1 FROM conversations o WHERE o.conv_id = x.conv_id AND o.turn = 0
+                                           AND o.role <> 'assistant') AS missing
+           FROM conversations x WHERE role <> 'assistant'),
+r AS (SELECT conv_id, turn, 'c' || conv_id || '-' || (turn - 1) AS call_id, text FROM conversations WHERE role = 'assistant'),
+j AS (SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id,
+             CASE WHEN c.call_id IS NULL THEN NULL WHEN c.turn > 0 AND NOT c.missing THEN 1 ELSE 0 END AS level,
+             coalesce(c.turn, r.turn) AS turn, CASE WHEN c.call_id IS NULL THEN 0 ELSE 1 END AS copies,
+             c.call_id IS NOT NULL AND r.call_id IS NOT NULL AS linked, c.call_id IS NOT NULL AS is_call, c.role, c.text,
+             r.call_id IS NOT NULL AS has_result, r.text AS result, c.missing,
+             list_filter([CASE WHEN c.call_id IS NULL THEN 'result without a call' END,
+                          CASE WHEN c.call_id IS NOT NULL AND c.text IS NULL THEN 'arguments.text: missing' END,
+                          CASE WHEN c.text = '' THEN 'arguments.text: breaks minLength' END,
+                          CASE WHEN c.missing THEN 'missing dependency c' || c.conv_id || '-0' END],
+                         lambda v: v IS NOT NULL) AS problems
+      FROM c FULL JOIN r ON c.conv_id = r.conv_id AND c.call_id = r.call_id),
+l AS (SELECT *, CASE WHEN is_call THEN
+        '{"arguments":{' || CASE WHEN text IS NULL THEN '' ELSE '"text":' || CAST(to_json(text) AS VARCHAR) END || '},"call_id":' || CAST(to_json(call_id) AS VARCHAR)
+        || ',"depends_on":[' || CASE WHEN turn > 0 THEN CAST(to_json('c' || conv_id || '-0') AS VARCHAR) ELSE '' END || '],"name":' || CAST(to_json(role) AS VARCHAR)
+        || ',"problems":' || CAST(to_json(problems) AS VARCHAR) || CASE WHEN has_result THEN ',"result":' || coalesce(CAST(to_json(result) AS VARCHAR), 'null') ELSE '' END || '}'
+      ELSE '{"call_id":' || CAST(to_json(call_id) AS VARCHAR) || ',"problems":' || CAST(to_json(problems) AS VARCHAR) || ',"result":' || coalesce(CAST(to_json(result) AS VARCHAR), 'null') || '}'
+      END AS line FROM j)
+SELECT conv_id, call_id, level, turn, copies, linked, len(problems) = 0 AS valid, line,
+       row_number() OVER (PARTITION BY conv_id ORDER BY level IS NULL, level, turn, call_id, line) - 1 AS place
+FROM l"""
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents"), capacity=2048, end_id=0)
 
@@ -74,6 +121,7 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_sharding": op4_sharding,
     "op6_quality": op6_quality,
+    "op7_tool_calls": op7_tool_calls,
     "op9_lm_score": op9_lm_score,
     "op10_toxicity": op10_toxicity,
     "op8_best_fit_packing": op8_best_fit_packing,
@@ -81,4 +129,5 @@ QUERIES = {
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
+    "op7_tool_calls": OP7_SQL,
 }
