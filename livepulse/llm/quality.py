@@ -149,7 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Colum
         yield batch_of("model binary", model=[model.tobytes()])
 
     model = stored(sample.repartition(1).mapInArrow(learn_task, "model binary"), "quality-model")
-    return np.frombuffer(model.first()["model"], np.float32)
+    row = model.first()      # none where no labelled document exists
+    return np.frombuffer(row["model"], np.float32) if row else np.zeros((1 << shape.bits) + 1, np.float32)
 
 
 def score(docs: DataFrame, model: np.ndarray, shape: Shape | None = None) -> DataFrame:
