@@ -5,8 +5,8 @@ at least ``threshold``, and the groups these links form.
 
 1. Rows with the same words are one *class* (kept as one line from the first shuffle on,
    however many copies there are); only classes are joined.
-2. A class carries a sketch of ``TOKENS`` min-hash tokens (position, value); two sets share a
-   token with a probability equal to their similarity.
+2. A class carries a sketch of ``TOKENS`` min-hash tokens (position, 24-bit value, kept as 16
+   upper and 8 lower bits); two sets share a token with a probability equal to their similarity.
 3. Recursion, as in the chosen-path join (Christiani, Pagh, Sivertsen): in a run, a class
    enters a bucket for each of its tokens that a hash drawn for that bucket's path
    samples, 1 / ``sampling`` on average. Similar sets go on sharing sampled tokens level
@@ -43,10 +43,9 @@ from pyspark.sql import functions as F
 from .common import batch_of, hash_spans, least_labels, mix, stored, text_blocks, utf8, words
 
 TOKENS = 128
-ROW = "doc_id long, k1 long, k2 long, size long, sketch binary"
+ROW = "doc_id long, k1 long, k2 long, size long, hi binary, lo binary"
 NODE = "node long, rep long"
 EDGE = "a long, b long"
-_TABLE = mix(np.arange(1, TOKENS * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(TOKENS, 256)
 _MULTIPLIERS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 MAYBE = 0.60        # sketches that agree this far may belong to a linked pair
 CLOSE = 0.92        # ... this far: partners of the one are linked to the other
@@ -76,26 +75,26 @@ def ngrams(raw: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return grams, np.concatenate([[0], np.cumsum(np.bincount(text[keep], minlength=len(count)))]), *keys
 
 
-def _sketches(grams: np.ndarray, first: np.ndarray) -> list[bytes | None]:
-    size = np.diff(first)
-    some = np.flatnonzero(size)
-    out: list[bytes | None] = [None] * len(size)
+def _sketches(grams: np.ndarray, first: np.ndarray) -> tuple[list[bytes | None], list[bytes | None]]:
+    """Upper 16 and lower 8 bits of each text's min-hash values; None without n-grams."""
+    some = np.flatnonzero(np.diff(first))
+    hi: list[bytes | None] = [None] * (len(first) - 1)
+    lo = hi.copy()
     if len(some):
-        values = np.empty((len(some), TOKENS), np.uint8)
+        values = np.empty((len(some), TOKENS), np.uint32)
         for i, a in enumerate(_MULTIPLIERS):
-            h = np.minimum.reduceat(grams * a, first[some])
-            values[:, i] = mix(h) >> np.uint64(56)
-        for t, v in zip(some, values):
-            out[t] = v.tobytes()
-    return out
+            values[:, i] = mix(np.minimum.reduceat(grams * a, first[some])) >> np.uint64(40)
+        for t, h, v in zip(some, (values >> 8).astype("<u2"), (values & 255).astype(np.uint8)):
+            hi[t], lo[t] = h.tobytes(), v.tobytes()
+    return hi, lo
 
 
 def _rows(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw, off in text_blocks(batches):
             grams, first, k1, k2 = ngrams(raw, off, n)
-            yield batch_of(ROW, doc_id=part.column("doc_id"), k1=k1, k2=k2, size=np.diff(off),
-                           sketch=_sketches(grams, first))
+            hi, lo = _sketches(grams, first)
+            yield batch_of(ROW, doc_id=part.column("doc_id"), k1=k1, k2=k2, size=np.diff(off), hi=hi, lo=lo)
     return run
 
 
@@ -108,9 +107,14 @@ def runs_needed(threshold: float, sampling: float, depth: int, target: float) ->
     return math.ceil(math.log(1 - target) / math.log(1 - alive))
 
 
-def _tokens(sketch: pa.Array) -> np.ndarray:
-    values = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(-1, TOKENS)
-    return _TABLE[np.arange(TOKENS), values]
+def _lows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, TOKENS)
+
+
+def _tokens(part: pa.RecordBatch) -> np.ndarray:
+    hi = np.frombuffer(b"".join(part.column("hi").to_pylist()), "<u2").reshape(-1, TOKENS)
+    place = np.arange(1, TOKENS + 1, dtype=np.uint64) << np.uint64(24)
+    return mix(place + (hi.astype(np.uint64) << np.uint64(8)) + _lows(part.column("lo")))
 
 
 def _first_level(runs: int, below: np.uint64):
@@ -120,7 +124,7 @@ def _first_level(runs: int, below: np.uint64):
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 part = b.slice(lo, 4096)
-                token, rep = _tokens(part.column("sketch")), part.column("rep").to_numpy()
+                token, rep = _tokens(part), part.column("rep").to_numpy()
                 for seed in seeds:
                     row, j = np.nonzero(token * (seed | np.uint64(1)) < below)
                     yield batch_of(NODE, node=mix(token[row, j] + seed).view(np.int64), rep=rep[row])
@@ -132,7 +136,7 @@ def _next_level(below: np.uint64):
         for b in batches:
             for lo in range(0, b.num_rows, 4096):
                 part = b.slice(lo, 4096)
-                token, rep = _tokens(part.column("sketch")), part.column("rep").to_numpy()
+                token, rep = _tokens(part), part.column("rep").to_numpy()
                 node = part.column("node").to_numpy().view(np.uint64)
                 row, j = np.nonzero(token * (mix(node) | np.uint64(1))[:, None] < below)
                 yield batch_of(NODE, node=mix(node[row] * np.uint64(3) + token[row, j]).view(np.int64), rep=rep[row])
@@ -140,13 +144,13 @@ def _next_level(below: np.uint64):
 
 
 def _leaf_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """reps array<long>, sketches array<binary> of each small bucket: a spanning forest of
+    """reps array<long>, sketches array<binary> (lower bits) of each small bucket: a spanning forest of
     the pairs whose sketches agree."""
     need = math.ceil(MAYBE * TOKENS)
     for b in batches:
         size = np.diff(b.column("reps").offsets.to_numpy())
         rep = b.column("reps").flatten().to_numpy()
-        values = np.frombuffer(b"".join(b.column("sketches").flatten().to_pylist()), np.uint8).reshape(-1, TOKENS)
+        values = _lows(b.column("sketches").flatten())
         start = np.cumsum(size) - size
         edges: list[tuple[int, int]] = []
         lo = 0
@@ -183,11 +187,12 @@ def _leaf_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, depth: int) -> DataFrame:
-    """The recursion. ``reps``: stored rows (rep, sketch). Edges (a, b) that connect all
+    """The recursion. ``reps``: stored rows (rep, hi, lo). Edges (a, b) that connect all
     classes whose sketches met and agreed."""
     below = np.uint64(int(2 ** 64 / (sampling * TOKENS)))
     level = stored(reps.mapInArrow(_first_level(runs, below), NODE), "path-level")
-    sketch = reps.select(F.col("rep").alias("_rep"), "sketch")
+    low = reps.select(F.col("rep").alias("_rep"), F.col("lo").alias("sketch"))
+    whole = reps.select(F.col("rep").alias("_rep"), "hi", "lo")
     edges = []
     for d in range(1, depth + 1):
         buckets = stored(level.groupBy("node").agg(
@@ -195,20 +200,20 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
             .filter("n > 1").withColumnRenamed("node", "_node"), "path-buckets")
         inside = level.join(buckets, F.col("node") == F.col("_node"))
         small = inside.filter(F.col("n") <= leaf).select("node", "rep") \
-            .join(sketch, F.col("rep") == F.col("_rep")) \
+            .join(low, F.col("rep") == F.col("_rep")) \
             .groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("sketch").alias("sketches"))
         edges.append(stored(small.select("reps", "sketches").mapInArrow(_leaf_edges, EDGE).distinct(), "path-edges"))
         if buckets.filter(F.col("n") > leaf).isEmpty():
             break
         large = inside.filter(F.col("n") > leaf).select("node", "rep", "leader") \
-            .join(sketch, F.col("rep") == F.col("_rep")).drop("_rep")
-        lead = sketch.select(F.col("_rep").alias("_leader"), F.col("sketch").alias("lead"))
-        large = stored(large.join(lead, F.col("leader") == F.col("_leader")).mapInArrow(
-            _against_leader, "node long, rep long, leader long, agree double, sketch binary"), "path-large")
+            .join(whole, F.col("rep") == F.col("_rep")).drop("_rep")
+        lead = low.select(F.col("_rep").alias("_leader"), F.col("sketch").alias("lead"))
+        large = stored(large.join(lead, F.col("leader") == F.col("_leader")).mapInArrow(_against_leader, LARGE),
+                       "path-large")
         edges.append(large.filter((F.col("agree") >= (MAYBE if d < depth else 0.0)) & (F.col("rep") != F.col("leader")))
                      .select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
         if d < depth:     # the last level links what is left to its leader: the exact comparison decides
-            level = stored(large.filter(F.col("agree") < CLOSE).select("node", "rep", "sketch")
+            level = stored(large.filter(F.col("agree") < CLOSE).select("node", "rep", "hi", "lo")
                            .mapInArrow(_next_level(below), NODE), "path-level")
     out = edges[0]
     for e in edges[1:]:
@@ -216,13 +221,14 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
     return out
 
 
+LARGE = "node long, rep long, leader long, agree double, hi binary, lo binary"
+
+
 def _against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        own, lead = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, TOKENS)
-                     for c in ("sketch", "lead"))
-        agree = np.where(b.column("rep").to_numpy() == b.column("leader").to_numpy(), 0.0, (own == lead).mean(1))
-        yield batch_of("node long, rep long, leader long, agree double, sketch binary", node=b.column("node"),
-                       rep=b.column("rep"), leader=b.column("leader"), agree=agree, sketch=b.column("sketch"))
+        agree = (_lows(b.column("lo")) == _lows(b.column("lead"))).mean(1)
+        agree[b.column("rep").to_numpy() == b.column("leader").to_numpy()] = 0.0
+        yield batch_of(LARGE, agree=agree, **{c: b.column(c) for c in ("node", "rep", "leader", "hi", "lo")})
 
 
 def exact_links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
@@ -300,10 +306,10 @@ def jaccard_groups(docs: DataFrame, n: int = 5, threshold: float = 0.8, target:
                         F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     rows = stored(texts.mapInArrow(_rows(n), ROW), "join-rows")
     classes = stored(rows.filter("doc_id is not null").groupBy("k1", "k2").agg(
-        F.min("doc_id").alias("copy_id"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+        F.min("doc_id").alias("copy_id"), F.first("size").alias("size"), F.first("hi").alias("hi"), F.first("lo").alias("lo"))
         .withColumn("rep", F.monotonically_increasing_id()), "join-classes")
-    reps = classes.filter("sketch is not null")
-    edges = candidate_edges(reps.select("rep", "sketch"), runs_needed(threshold, sampling, depth, target),
+    reps = classes.filter("lo is not null")
+    edges = candidate_edges(reps.select("rep", "hi", "lo"), runs_needed(threshold, sampling, depth, target),
                             sampling, leaf, depth)
     coarse = least_labels(edges, "coarse-groups")
     sized = coarse.join(reps.select("rep", "copy_id", "size", "k1", "k2"), F.col("id") == F.col("rep"))
