@@ -69,8 +69,11 @@ SILVER_GAMES = T.StructType([
 ] + [_f(c, T.ArrayType(S)) for c in SILVER_GAMES_LISTS])
 
 # State kept per stream by the change detector.
+# Baseline of a stream (poll times as microseconds), then its polls the watermark has not passed yet.
 TRANSITION_STATE = T.StructType([
-    _f("last_game", S), _f("last_title", S), _f("last_viewers", L), _f("last_ts", TS),
+    _f("last_game", S), _f("last_title", S), _f("last_viewers", L), _f("last_us", L),
+    _f("held_us", T.ArrayType(L)), _f("held_game", T.ArrayType(S)), _f("held_title", T.ArrayType(S)),
+    _f("held_viewers", T.ArrayType(L)), _f("held_user", T.ArrayType(S)),
 ])
 
 # --- gold (star schema) ---------------------------------------------------------

@@ -3,12 +3,13 @@
 bronze: broker records → decoded rows, partitioned by poll date.
 silver: bronze table read as a stream → enriched snapshots / tags / catalogue.
 gold:   silver snapshots read as a rate-limited stream → per micro-batch star
-        schema, written under ``batch_id=<id>`` so a replayed batch overwrites
-        its own output (idempotent); readers merge partial rows on read.
+        schema, written under ``query_id=<id>/batch_id=<id>`` so a replayed batch
+        overwrites its own output (idempotent); readers merge partial rows on read.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,49 +20,53 @@ from livepulse.operators import bronze as B
 from livepulse.operators import gold
 from livepulse.operators import silver as C
 from livepulse.schemas import BRONZE_GAMES, WIRE_GAME, WIRE_STREAM
+from livepulse.session import path_exists
 from livepulse.sources.streams import append_stream, table_stream, trigger_options
+from livepulse.sources.tables import write_append
 
 
 def bronze_streams_job(broker: DataFrame, out: str, checkpoint: str, encoding: str = "json",
-                       avro_schema: str | None = None, trigger: str = "default") -> StreamingQuery:
+                       avro_schema: str | None = None, trigger: str = "default", fmt: str = "parquet") -> StreamingQuery:
     decoded = B.decode_envelope(broker, WIRE_STREAM, encoding=encoding, avro_schema=avro_schema)
-    return append_stream(B.bronze_streams(decoded), out, checkpoint,
+    return append_stream(B.bronze_streams(decoded), out, checkpoint, fmt=fmt,
                          partition_by=("year", "month", "day"), trigger=trigger)
 
 
 def bronze_games_job(broker: DataFrame, out: str, checkpoint: str, encoding: str = "json",
-                     avro_schema: str | None = None, trigger: str = "default") -> StreamingQuery:
+                     avro_schema: str | None = None, trigger: str = "default", fmt: str = "parquet") -> StreamingQuery:
     decoded = B.decode_envelope(broker, WIRE_GAME, encoding=encoding, avro_schema=avro_schema)
-    return append_stream(B.bronze_games(decoded), out, checkpoint, trigger=trigger)
+    return append_stream(B.bronze_games(decoded), out, checkpoint, fmt=fmt, trigger=trigger)
 
 
 def silver_job(spark: SparkSession, kind: str, bronze_path: str, out: str, checkpoint: str,
                schema=None, trigger: str = "processing_time", interval: str = "60 seconds",
-               max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """One of the silver streams: kind is 'streams', 'tags' or 'games'."""
+               max_files_per_trigger: int | None = None, fmt: str = "parquet") -> StreamingQuery:
+    """One of the silver streams: kind is 'streams', 'tags' or 'games'; ``fmt`` is the table
+    format of both sides."""
     from livepulse.schemas import BRONZE_STREAMS
     src_schema = schema or (BRONZE_GAMES if kind == "games" else BRONZE_STREAMS)
-    src = table_stream(spark, bronze_path, src_schema, max_files_per_trigger=max_files_per_trigger)
+    src = table_stream(spark, bronze_path, src_schema, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
     op = {"streams": C.silver_streams, "tags": C.stream_tags, "games": C.silver_games}[kind]
-    return append_stream(op(src), out, checkpoint, trigger=trigger, interval=interval)
+    return append_stream(op(src), out, checkpoint, fmt=fmt, trigger=trigger, interval=interval)
 
 
 def transitions_job(spark: SparkSession, bronze_path: str, out: str, checkpoint: str, schema=None,
                     trigger: str = "processing_time", interval: str = "60 seconds",
                     watermark: str = "1 hour", max_files_per_trigger: int | None = None,
-                    state_partitions: int | None = None) -> StreamingQuery:
+                    state_partitions: int | None = None, fmt: str = "parquet") -> StreamingQuery:
     """Stateful change detection as a job. ``state_partitions`` fixes the number of
-    state-store partitions; it is recorded in the checkpoint at the first start
-    and cannot change afterwards (AQE never re-plans a stateful shuffle)."""
+    state-store partitions (None: the session's shuffle partitions); it is recorded in
+    the checkpoint at the first start and cannot change afterwards (AQE never re-plans a
+    stateful shuffle), so size it for the keys expected, not for today's."""
     from livepulse.schemas import BRONZE_STREAMS
     from livepulse.streaming.transitions import detect_transitions_stream
-    src = table_stream(spark, bronze_path, schema or BRONZE_STREAMS, max_files_per_trigger=max_files_per_trigger)
+    src = table_stream(spark, bronze_path, schema or BRONZE_STREAMS, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
     key = "spark.sql.shuffle.partitions"
     previous = spark.conf.get(key)
     if state_partitions is not None:
         spark.conf.set(key, str(int(state_partitions)))
     try:
-        return append_stream(detect_transitions_stream(src, watermark), out, checkpoint,
+        return append_stream(detect_transitions_stream(src, watermark), out, checkpoint, fmt=fmt,
                              trigger=trigger, interval=interval)
     finally:
         spark.conf.set(key, previous)
@@ -70,27 +75,44 @@ def transitions_job(spark: SparkSession, bronze_path: str, out: str, checkpoint:
 GOLD_TABLES = ("dim_streamer", "dim_language", "dim_game", "dim_date", "fact_stream_hourly")
 
 
-def gold_batch_writer(catalogue: DataFrame, root: str, catalogue_order: Sequence[str] = ("ingestion_ts",),
-                      fmt: str = "parquet", parallel_writes: int = 4):
-    """foreachBatch function: build the star of one micro-batch and write it keyed by batch id.
+def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id a streaming checkpoint has given its query; None before the first start."""
+    if not path_exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+        return None
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
+def gold_batch_writer(catalogue: DataFrame, root: str, checkpoint: str, catalogue_order: Sequence[str] = ("ingestion_ts",),
+                      fmt: str = "parquet", options: dict | None = None, parallel_writes: int = 4):
+    """foreachBatch function: build the star of one micro-batch and write it.
 
     The batch is persisted once for its five outputs and released in ``finally``.
     The fact is written first (its job fills the cache); the four dimensions,
     which only read the cached batch, are then written as concurrent jobs from
     ``parallel_writes`` driver threads, and the first failure is raised after all
-    of them have ended. Each output overwrites ``<table>/batch_id=<id>``, so a
-    replayed batch replaces its own rows. ``inserted_at`` carries the batch id as
-    the row version, so the replacing-merge read is deterministic.
+    of them have ended. Each output overwrites
+    ``<table>/query_id=<id of the checkpoint>/batch_id=<id>``, so a replayed batch replaces
+    its own rows and a query with another checkpoint cannot take its place. ``inserted_at``
+    carries the batch id as the row version, so the replacing-merge read is deterministic.
+
+    With ``options`` the outputs are appended through a connector instead (``fmt`` its name,
+    the table name in option ``dbtable``); it must merge partial rows on read, and a
+    replayed batch is then told apart by its columns query_id and batch_id only.
     """
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        query_id = checkpoint_query_id(batch_df.sparkSession, checkpoint)
         batch_df.persist()
         try:
             outputs = gold.build_star(batch_df, catalogue, catalogue_order,
                                       inserted_at=F.lit(int(batch_id)).cast("long"))
 
             def save(name: str) -> None:
+                if options is not None:
+                    marked = outputs[name].withColumns({"query_id": F.lit(query_id), "batch_id": F.lit(int(batch_id))})
+                    write_append(marked, fmt=fmt, options={**options, "dbtable": name})
+                    return
                 (outputs[name].write.format(fmt).mode("overwrite")
-                 .save(f"{root.rstrip('/')}/{name}/batch_id={batch_id}"))
+                 .save(f"{root.rstrip('/')}/{name}/query_id={query_id}/batch_id={batch_id}"))
 
             save("fact_stream_hourly")
             dims = [n for n in GOLD_TABLES if n != "fact_stream_hourly"]
@@ -105,13 +127,25 @@ def gold_batch_writer(catalogue: DataFrame, root: str, catalogue_order: Sequence
 
 def gold_job(spark: SparkSession, silver_path: str, catalogue: DataFrame, root: str, checkpoint: str,
              silver_schema, catalogue_order: Sequence[str] = ("ingestion_ts",),
-             max_bytes_per_trigger: int | None = 1_000_000, max_files_per_trigger: int | None = None,
-             trigger: str = "available_now") -> StreamingQuery:
-    """Catch-up job: process everything new in silver, then stop (``availableNow``)."""
-    src = table_stream(spark, silver_path, silver_schema, max_bytes_per_trigger=max_bytes_per_trigger,
+             max_bytes_per_trigger: int | None = None, max_files_per_trigger: int | None = None,
+             trigger: str = "available_now", fmt: str = "parquet", sink_fmt: str | None = None,
+             sink_options: dict | None = None) -> StreamingQuery:
+    """Catch-up job: process everything new in silver, then stop (``availableNow``). The caller
+    chooses the size of a micro-batch. A root that a query with another checkpoint has
+    written is refused: its rows would be counted twice."""
+    if sink_options is None and path_exists(spark, f"{root.rstrip('/')}/fact_stream_hourly"):
+        own = checkpoint_query_id(spark, checkpoint)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/fact_stream_hourly")
+        there = {x.getPath().getName().removeprefix("query_id=") for x in
+                 folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+                 if x.getPath().getName().startswith("query_id=")}
+        if there - {own}:
+            raise ValueError(f"{root} holds rows of another query {sorted(there - {own})}; go on with its checkpoint, "
+                             "or write a new start to a new root")
+    src = table_stream(spark, silver_path, silver_schema, fmt=fmt, max_bytes_per_trigger=max_bytes_per_trigger,
                        max_files_per_trigger=max_files_per_trigger)
     w = (src.writeStream.outputMode("update")
-         .foreachBatch(gold_batch_writer(catalogue, root, catalogue_order))
+         .foreachBatch(gold_batch_writer(catalogue, root, checkpoint, catalogue_order, sink_fmt or fmt, sink_options))
          .option("checkpointLocation", checkpoint))
     return w.trigger(**trigger_options(trigger)).start()
 
@@ -122,6 +156,6 @@ def read_gold(spark: SparkSession, root: str, fmt: str = "parquet") -> dict[str,
     t = {name: spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}") for name in GOLD_TABLES}
     keys = {"dim_streamer": ["streamer_id"], "dim_language": ["language_id"], "dim_game": ["game_id"],
             "dim_date": ["date_id"]}
-    out = {n: gold.latest_by_version(t[n].drop("batch_id"), keys[n], "inserted_at") for n in keys}
+    out = {n: gold.latest_by_version(t[n].drop("query_id", "batch_id"), keys[n], "inserted_at") for n in keys}
     out["fact_stream_hourly"] = gold.merge_fact(t["fact_stream_hourly"])
     return out

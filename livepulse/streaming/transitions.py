@@ -1,12 +1,16 @@
 """Stateful change detection over a stream of snapshots.
 
-Keyed by stream id with ``applyInPandasWithState``: the state holds the last
-game, title, viewer count and poll time of each stream. Within a micro-batch a
-stream's rows are sorted by poll time and compared with the previous row
-(vectorised with pandas shifts, no per-row Python loop); rows older than the
-stored poll time are late and dropped. Expiry is an event-time timer at
-last poll + idle limit, so it works under ``availableNow``; the idle gap is also
-checked on arrival, because a timer only fires once the watermark passes it.
+Keyed by stream id with ``applyInPandasWithState``. Polls may arrive in any order
+within the watermark's delay: a poll is held in the state until the watermark passes
+it, and only then compared with the stream's previous poll, so the events are those of
+the batch detector whatever the order of files. A timer at the oldest held poll
+releases held polls when no more data arrives for that stream; without held polls the timer
+is the idle limit, and it is never set at or before the watermark (the state is removed
+instead). Polls later than the watermark's delay never reach the function: Spark drops
+them and counts them in the query progress, see :func:`dropped_rows`.
+
+A poll leaves the state one watermark delay after its time; ``availableNow`` therefore ends
+with the newest polls still held, and the next run continues from there.
 """
 
 from __future__ import annotations
@@ -16,90 +20,110 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from livepulse.functions.constants import GAME_CHANGE, IDLE_HOURS, TITLE_CHANGE
 from livepulse.schemas import TRANSITION_STATE, TRANSITIONS
 
 OUT_COLS = [f.name for f in TRANSITIONS.fields]
+HELD = ["us", "game", "title", "viewers", "user"]
+
+
+def _texts(values: np.ndarray, null_text: str | None) -> np.ndarray:
+    return values if null_text is None else np.where(values == None, null_text, values)  # noqa: E711 (elementwise)
+
+
+def _events(key: str, polls: dict[str, np.ndarray], idle_us: int, null_text: str | None) -> pd.DataFrame | None:
+    """Events between neighbouring polls (sorted by time; the first one is the baseline)."""
+    near = np.diff(polls["us"]) <= idle_us
+    out = []
+    for kind, col, rank in ((GAME_CHANGE, "game", 0), (TITLE_CHANGE, "title", 1)):
+        value = polls[col]
+        at = np.flatnonzero(near & (value[1:] != value[:-1])) + 1      # None equals None
+        if len(at):
+            delta = polls["viewers"][at] - polls["viewers"][at - 1]
+            out.append(pd.DataFrame({
+                "stream_id": key, "user_name": polls["user"][at], "event_type": kind,
+                "old_value": _texts(value[at - 1], null_text), "new_value": _texts(value[at], null_text),
+                "event_ts": polls["us"][at].astype("datetime64[us]"),
+                "viewer_delta": pd.array(delta).astype("Int64"), "_o": at * 2 + rank}))
+    if not out:
+        return None
+    res = out[0] if len(out) == 1 else pd.concat(out, ignore_index=True)
+    return res.sort_values("_o", kind="stable")[OUT_COLS]
+
 
+def _arrays(us, game, title, viewers, user) -> dict[str, np.ndarray]:
+    return {"us": np.asarray(us, np.int64), "game": np.array(game, object), "title": np.array(title, object),
+            "viewers": np.array(viewers, np.float64), "user": np.array(user, object)}     # a null count is NaN
 
-def _text(values: np.ndarray, null_text):
-    return np.array([null_text if v is None else str(v) for v in values], dtype=object) \
-        if null_text is not None else np.array([None if v is None else str(v) for v in values], dtype=object)
 
+def _plain(viewers: np.ndarray) -> list:
+    null = np.isnan(viewers)
+    return np.where(null, None, np.where(null, 0, viewers).astype(np.int64).astype(object)).tolist()
 
-def make_detector(idle_hours: float = IDLE_HOURS, keep_late: bool = False, null_text: str | None = None):
-    idle = np.timedelta64(int(idle_hours * 3600 * 1_000_000), "us")
+
+def make_detector(idle_hours: float = IDLE_HOURS, null_text: str | None = None):
+    idle_us = int(idle_hours * 3600 * 1_000_000)
 
     def detect(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        frames = list(pdfs)
-        rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        if rows.empty:
-            return
-        ts = rows["ingestion_ts"].to_numpy(dtype="datetime64[us]")
-        order = np.argsort(ts, kind="stable")
-        ts = ts[order]
-        game = rows["game_name"].to_numpy(dtype=object)[order]
-        title = rows["title"].to_numpy(dtype=object)[order]
-        viewers = rows["viewer_count"].to_numpy(dtype="float64")[order]
-        users = rows["user_name"].to_numpy(dtype=object)[order]
+        mark_ms = state.getCurrentWatermarkMs()
+        parts, based = [], False
         if state.exists:
-            last_game, last_title, last_viewers, last_ts = state.get
-            last_ts = np.datetime64(pd.Timestamp(last_ts).to_datetime64(), "us")
-            if not keep_late:
-                keep = ts >= last_ts
-                if not keep.all():
-                    ts, game, title, viewers, users = ts[keep], game[keep], title[keep], viewers[keep], users[keep]
-                if ts.size == 0:
-                    state.setTimeoutTimestamp(int((last_ts + idle).astype("datetime64[ms]").astype("int64")))
-                    return
-            first = (last_game, last_title, np.nan if last_viewers is None else float(last_viewers), last_ts)
-        else:
-            first = (None, None, np.nan, np.datetime64("NaT", "us"))
-        n = ts.size
-        prev_game = np.empty(n, dtype=object)
-        prev_title = np.empty(n, dtype=object)
-        prev_game[0], prev_title[0] = first[0], first[1]
-        prev_game[1:], prev_title[1:] = game[:-1], title[:-1]
-        prev_viewers = np.concatenate(([first[2]], viewers[:-1]))
-        prev_ts = np.concatenate(([first[3]], ts[:-1]))
-        live = ~np.isnat(prev_ts) & ((ts - prev_ts) <= idle)
-        delta = viewers - prev_viewers
-        out = []
-        for kind, cur, prev, rank in ((GAME_CHANGE, game, prev_game, 0), (TITLE_CHANGE, title, prev_title, 1)):
-            hit = live & (cur != prev)          # object compare: None == None, None != "x"
-            if hit.any():
-                idx = np.nonzero(hit)[0]
-                out.append(pd.DataFrame({
-                    "stream_id": str(key[0]), "user_name": users[idx], "event_type": kind,
-                    "old_value": _text(prev[idx], null_text), "new_value": _text(cur[idx], null_text),
-                    "event_ts": ts[idx], "viewer_delta": pd.array(delta[idx]).astype("Int64"),
-                    "_o": idx * 2 + rank}))
-        state.update((game[-1], title[-1], None if np.isnan(viewers[-1]) else int(viewers[-1]),
-                      pd.Timestamp(ts[-1]).to_pydatetime()))
-        state.setTimeoutTimestamp(int((ts[-1] + idle).astype("datetime64[ms]").astype("int64")))
-        if out:
-            res = out[0] if len(out) == 1 else pd.concat(out, ignore_index=True)
-            yield res.sort_values("_o", kind="stable")[OUT_COLS]
+            game, title, viewers, us, *held = state.get
+            based = us is not None
+            if based:
+                parts.append(_arrays([us], [game], [title], [viewers], [None]))
+            parts.append(_arrays(*held))
+        if not state.hasTimedOut:
+            parts += (_arrays(p["us"], p["game_name"], p["title"], p["viewer_count"], p["user_name"]) for p in pdfs)
+        polls = {c: np.concatenate([p[c] for p in parts]) for c in HELD}
+        order = np.argsort(polls["us"], kind="stable")                  # the baseline is older than any held poll
+        polls = {c: v[order] for c, v in polls.items()}
+        settled = int(np.searchsorted(polls["us"], mark_ms * 1000, "right"))
+        if settled > based:
+            events = _events(str(key[0]), {c: v[:settled] for c, v in polls.items()}, idle_us, null_text)
+            if events is not None:
+                yield events
+        waiting = len(order) - settled
+        # the next moment something happens: a held poll settles, or the stream has been idle too long
+        due_us = int(polls["us"][settled]) if waiting else int(polls["us"][settled - 1]) + idle_us
+        if not waiting and due_us <= mark_ms * 1000:
+            if state.exists:
+                state.remove()
+            return
+        last = (None,) * 4 if not settled else (
+            polls["game"][settled - 1], polls["title"][settled - 1], _plain(polls["viewers"][settled - 1:settled])[0],
+            int(polls["us"][settled - 1]))
+        held = {c: v[settled:] for c, v in polls.items()}
+        state.update((*last, held["us"].tolist(), held["game"].tolist(), held["title"].tolist(),
+                      _plain(held["viewers"]), held["user"].tolist()))
+        state.setTimeoutTimestamp(max(-(-due_us // 1000), mark_ms + 1))
 
     return detect
 
 
 def detect_transitions_stream(snapshots: DataFrame, watermark: str = "1 hour",
-                              idle_hours: float = IDLE_HOURS, keep_late: bool = False,
-                              null_text: str | None = None) -> DataFrame:
+                              idle_hours: float = IDLE_HOURS, null_text: str | None = None) -> DataFrame:
     """Streaming change detection; snapshots need stream_id, user_name, game_name,
-    title, viewer_count, ingestion_ts. The poll time is cast to a zone-aware
-    timestamp, which the watermark requires."""
-    s = (snapshots.select("stream_id", "user_name", "game_name", "title",
+    title, viewer_count, ingestion_ts. Rows without a stream id or poll time cannot be
+    ordered and are left out. ``watermark`` is how late a poll may arrive; a poll's events
+    appear once the watermark has passed it."""
+    s = (snapshots.select("stream_id", "user_name", F.col("game_name").cast("string").alias("game_name"),
+                          F.col("title").cast("string").alias("title"),
                           F.col("viewer_count").cast("long").alias("viewer_count"),
                           F.col("ingestion_ts").cast("timestamp").alias("ingestion_ts"))
          .where(F.col("stream_id").isNotNull() & F.col("ingestion_ts").isNotNull())
+         .withColumn("us", F.unix_micros("ingestion_ts"))
          .withWatermark("ingestion_ts", watermark))
     return s.groupBy("stream_id").applyInPandasWithState(
-        make_detector(idle_hours, keep_late, null_text), TRANSITIONS, TRANSITION_STATE, "append",
+        make_detector(idle_hours, null_text), TRANSITIONS, TRANSITION_STATE, "append",
         GroupStateTimeout.EventTimeTimeout)
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark's delay, summed over the progress the query
+    still remembers (``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) if isinstance(op, dict) else int(op.numRowsDroppedByWatermark)
+               for p in query.recentProgress for op in (p["stateOperators"] if isinstance(p, dict) else p.stateOperators))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from livepulse.operators.sequence import exact_index, previous_row, rolling_mean_rows
 from livepulse.operators.transitions import detect_transitions
 from livepulse.session import scratch_dir
-from livepulse.streaming.transitions import detect_transitions_stream
+from livepulse.streaming.transitions import detect_transitions_stream, dropped_rows
 
 SCHEMA = "stream_id string, user_name string, game_name string, title string, viewer_count long, ingestion_ts timestamp"
 T0 = datetime(2024, 1, 1)
@@ -78,41 +78,71 @@ def test_bucket_boundaries_match_plain_window(spark):
     assert a == b
 
 
-def _run_stream(spark, batches, **kw):
+def _run_stream(spark, batches, close=True, **kw):
+    """One file and one run per batch; ``close``: a last row of another stream moves the watermark on."""
+    from livepulse.schemas import TRANSITIONS
     src = scratch_dir(spark, "test", "src")
     out, ckpt = scratch_dir(spark, "test", "out"), scratch_dir(spark, "test", "ckpt")
-    results = []
-    schema = None
-    for i, b in enumerate(batches):
+    dropped = 0
+    if close:
+        batches = [*batches, [("closing", "u", "g", "t", 0, T0 + timedelta(days=400))]]
+    for b in batches:
         df = spark.createDataFrame(b, SCHEMA)
-        schema = df.schema
         df.coalesce(1).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(schema).parquet(src)
+        stream = spark.readStream.schema(df.schema).parquet(src)
         q = (detect_transitions_stream(stream, **kw).writeStream.format("parquet")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-        q.awaitTermination(300)
-        assert not q.isActive
-    from livepulse.schemas import TRANSITIONS
+        assert q.awaitTermination(300)
+        dropped += dropped_rows(q)
     results = spark.read.schema(TRANSITIONS).parquet(out)
-    return sorted((r.event_type, r.old_value, r.new_value, r.viewer_delta, r.event_ts)
-                  for r in results.collect())
+    found = [(r.event_type, r.old_value, r.new_value, r.viewer_delta, r.event_ts) for r in results.collect()]
+    return sorted(found, key=lambda r: (r[4], r[0])), dropped
+
+
+def as_rows(events):
+    return sorted(((e.event_type, e.old_value, e.new_value, e.viewer_delta, e.event_ts) for e in events.collect()),
+                  key=lambda r: (r[4], r[0]))
 
 
-def test_stream_equals_batch_and_drops_late_rows(spark):
+def test_stream_equals_batch_in_any_order(spark):
     b1 = rows((2, "g2", "t1", 5), (0, "g1", "t1", 1), (1, "g1", "t2", 3))      # out of order in a batch
-    b2 = rows((3, "g3", "t2", 9), (0.5, "gX", "tX", 0))                        # late row in a later batch
-    got = _run_stream(spark, [b1, b2])
-    exp = sorted((e[0], e[1], e[2], e[3], e[4]) for e in [
-        ("TITLE_CHANGE", "t1", "t2", 2, T0 + timedelta(hours=1)),
-        ("GAME_CHANGE", "g1", "g2", 2, T0 + timedelta(hours=2)),
-        ("TITLE_CHANGE", "t2", "t1", 2, T0 + timedelta(hours=2)),
-        ("GAME_CHANGE", "g2", "g3", 4, T0 + timedelta(hours=3)),
-        ("TITLE_CHANGE", "t1", "t2", 4, T0 + timedelta(hours=3))])
+    b2 = rows((3, "g3", "t2", 9), (0.5, "gX", "tX", 0))                        # an old poll in a later batch
+    df = spark.createDataFrame(b1 + b2, SCHEMA)
+    exp = as_rows(detect_transitions(df))
+    for batches in ([b1, b2], [b2, b1], [b2[:1], b1, b2[1:]]):
+        got, dropped = _run_stream(spark, batches, watermark="4 hours")
+        assert got == exp and dropped == 0
+
+
+def test_late_rows_are_dropped_and_counted(spark):
+    """A file 13 h late and one inside the lateness: the first is counted, the second takes part."""
+    on_time = [rows((0, "a", "t", 1)), rows((20, "b", "t", 2))]
+    inside, late = rows((19.5, "c", "t", 3)), rows((7, "z", "t", 9))
+    got, dropped = _run_stream(spark, [*on_time, inside, late], watermark="1 hour")
+    exp = as_rows(detect_transitions(spark.createDataFrame([r for b in (*on_time, inside) for r in b], SCHEMA)))
     assert got == exp
+    assert dropped == 1
+
+
+def test_weekly_files_out_of_order_survive(spark):
+    """Files in the order 0, 2, 1, 3: the state's timers never lie behind the watermark."""
+    weeks = [rows(*[(24 * 7 * w + h, f"g{(w + h) % 3}", "t", h) for h in range(0, 40, 10)]) for w in range(4)]
+    got, dropped = _run_stream(spark, [weeks[k] for k in (0, 2, 1, 3)], watermark="1 hour")
+    assert dropped == len(weeks[1])                                       # two weeks late: more than the lateness
+    got, dropped = _run_stream(spark, [weeks[k] for k in (0, 2, 1, 3)], watermark="40 days")
+    exp = as_rows(detect_transitions(spark.createDataFrame([r for w in weeks for r in w], SCHEMA)))
+    assert dropped == 0 and got == exp and exp
+
+
+def test_nulls_compare_and_are_kept(spark):
+    got, _ = _run_stream(spark, [rows((0, None, "t", None), (1, "b", "t", 4), (2, None, "t", 5))], watermark="1 hour")
+    assert [g[1:4] for g in sorted(got, key=lambda g: g[4])] == [(None, "b", None), ("b", None, 1)]
+    text, _ = _run_stream(spark, [rows((0, None, "t", 1), (1, "b", "t", 4))], watermark="1 hour", null_text="None")
+    assert [(g[1], g[2]) for g in text] == [("None", "b")]
 
 
 def test_stream_idle_gap_on_arrival(spark):
-    got = _run_stream(spark, [rows((0, "a", "t", 1)), rows((13, "b", "t", 1)), rows((14, "c", "t", 1))])
+    got, _ = _run_stream(spark, [rows((0, "a", "t", 1)), rows((13, "b", "t", 1)), rows((14, "c", "t", 1))])
     assert [(g[1], g[2]) for g in got] == [("b", "c")]
 
 
