@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from livepulse.session import scratch_dir
+from livepulse.session import drop_dir, path_exists, scratch_dir
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -26,48 +26,71 @@ def on_date(df: DataFrame, d: date) -> DataFrame:
     return df.where(partition_predicate(d.year, d.month, d.day))
 
 
-def _path_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def _file_bytes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Bytes of the files behind ``df`` per value of ``cols`` (partition columns)."""
+    files = df.select(*cols, F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size"))
+    return files.distinct().groupBy(*cols).agg(F.sum("_size").alias("_bytes"))
 
 
-def compact(spark: SparkSession, path: str, fmt: str = "parquet", partition_cols: tuple = (),
+def compact(spark: SparkSession, path: str, fmt: str = "parquet", partition_cols: Sequence[str] = (),
             year: int | None = None, month: int | None = None, day: int | None = None,
-            target_file_bytes: int = TARGET_FILE_BYTES, files: int | None = None) -> int:
-    """Rewrite a table (or only its partitions matching year/month/day) into fewer,
-    larger files; rows are unchanged. Returns the number of output tasks.
-
-    Table formats with their own command (``fmt="delta"``) use OPTIMIZE. For
-    plain files the selected rows are written to a staging folder under the
-    shared checkpoint root, then swapped in with a dynamic partition overwrite,
-    which replaces exactly the partitions present in the staging data. Rows are
-    spread round-robin (balanced tasks even when one day holds most rows).
+            target_file_bytes: int = TARGET_FILE_BYTES) -> None:
+    """Rewrite a table (or only its partitions matching year/month/day) into files of
+    about ``target_file_bytes``; rows are unchanged.
+
+    Table formats with their own command (``fmt="delta"``) use OPTIMIZE. For plain files
+    every partition is given ceil(its bytes / target) salts, rows are shuffled once by
+    (partition, salt), so an output file belongs to one partition and a large
+    partition is written by many tasks; a dynamic partition overwrite replaces exactly
+    the partitions rewritten when the job commits. An unpartitioned table is staged under the
+    shared checkpoint root first and the overwrite is not atomic: readers must wait.
+
+    Nothing may write to the selected partitions meanwhile: rows appended between read and
+    commit would be lost. A folder that a stream has written (it lists its files in
+    ``_spark_metadata``) is refused, and one that a stream reads must not be compacted
+    either, because the stream would read the rewritten files as new data; use a
+    transactional table format for both.
     """
-    where = partition_predicate(year, month, day)
     if fmt == "delta":
         clause = ""
         parts = [f"{n} = {int(v)}" for n, v in (("year", year), ("month", month), ("day", day)) if v is not None]
         if parts:
             clause = " WHERE " + " AND ".join(parts)
         spark.sql(f"OPTIMIZE delta.`{path}`{clause}")
-        return 0
+        return
+    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        raise ValueError(f"{path} is the sink of a stream; compacting it would make it unreadable. "
+                         "Write the stream to a transactional format, or copy the table first.")
+    cols = list(partition_cols)
     df = spark.read.format(fmt).load(path)
-    if partition_cols:
-        df = df.where(where)
-    n = files or max(1, math.ceil(_path_bytes(spark, path) / target_file_bytes))
+    if cols:
+        df = df.where(partition_predicate(year, month, day))
+    sizes = _file_bytes(df, cols).withColumn("_salts", F.ceil(F.col("_bytes") / target_file_bytes).cast("int"))
+    tasks = sizes.agg(F.sum("_salts")).first()[0]
+    if not tasks:
+        return
+    names = df.columns
+    salt = F.pmod(F.xxhash64(*names), F.col("_salts"))
+    if cols:
+        keyed = sizes.select(*[F.col(c).alias(f"_p_{c}") for c in cols], "_salts")
+        on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in cols]
+        out = df.join(F.broadcast(keyed), on)           # one row per partition of the table
+        (out.repartition(int(tasks), *cols, salt).sortWithinPartitions(*cols).select(*names)
+         .write.format(fmt).partitionBy(*cols).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").save(path))
+        return
     staging = scratch_dir(spark, "compact")
-    # 1) copy the selected rows out (a job cannot overwrite the path it reads)
-    df.write.format(fmt).mode("overwrite").save(staging)
-    # 2) write them back compacted: n balanced tasks, grouped by partition inside each task
-    out = spark.read.format(fmt).load(staging).repartition(n)
-    if partition_cols:
-        (out.sortWithinPartitions(*partition_cols).write.format(fmt).partitionBy(*partition_cols)
-         .mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path))
-    else:
-        out.write.format(fmt).mode("overwrite").save(path)
-    return n
+    df.repartition(int(tasks)).write.format(fmt).save(staging)
+    spark.read.format(fmt).schema(df.schema).load(staging).coalesce(int(tasks)) \
+        .write.format(fmt).mode("overwrite").save(path)
+    drop_dir(spark, staging)
+
+
+def files_per_partition(spark: SparkSession, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """Number of data files of each partition."""
+    df = spark.read.format(fmt).load(path)
+    return df.select(*partition_cols, F.col("_metadata.file_path").alias("_path")).distinct() \
+        .groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("files"))
 
 
 def maintenance_args(layer: str, year: int | None = None, month: int | None = None,

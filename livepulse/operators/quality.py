@@ -173,16 +173,19 @@ def run_gated(validate_before: Callable[[], DataFrame], load: Callable[[], objec
 
 # --- the rule sets of the pipeline -------------------------------------------------
 
+def _between(column: str, low: float, high: float) -> list[Check]:
+    return [min_at_least(column, low, f"{column} not below {low:g}"),
+            max_at_most(column, high, f"{column} not above {high:g}")]
+
+
 def silver_stream_checks() -> list[Check]:
     return [
-        row_count_positive("Ensure streams data is arriving from bronze"),
-        missing("stream_id", "Stream ID is the primary key and must exist"),
+        row_count_positive("snapshots exist"),
+        missing("stream_id", "every snapshot names its stream"),
         missing("user_name"), missing("ingestion_ts"), missing("started_at"),
-        min_at_least("viewer_count", 0, "Viewer count cannot be negative"),
-        min_at_least("stream_time_seconds", 0,
-                     "Uptime logic must not yield negative seconds (started_at > ingestion_ts)"),
-        min_at_least("started_hour", 0, "Started hour must be 0 or greater"),
-        max_at_most("started_hour", 23, "Started hour must be 23 or less"),
+        min_at_least("viewer_count", 0, "no viewer count under zero"),
+        min_at_least("stream_time_seconds", 0, "no stream polled before it started"),
+        *_between("started_hour", 0, 23),
     ]
 
 
@@ -190,28 +193,59 @@ def tag_checks() -> list[Check]:
     return [missing("stream_id"), missing("tag_name")]
 
 
+def game_checks() -> list[Check]:
+    return [missing("game_id"), missing("game_name")]
+
+
 def transition_checks() -> list[Check]:
     return [
         missing("stream_id"), missing("event_ts"),
-        invalid("event_type", ["GAME_CHANGE", "TITLE_CHANGE"], "Event types must be strictly categorical"),
-        missing("new_value", "A transition must always have a new value"),
+        invalid("event_type", ["GAME_CHANGE", "TITLE_CHANGE"], "only the two known kinds of change"),
+        missing("new_value", "a change says what it changed to"),
     ]
 
 
+def dim_game_checks() -> list:
+    return [missing("game_id"), missing("game_name"), Duplicates(("game_id",)), *_between("total_rating", 0, 100)]
+
+
+def dim_date_checks() -> list:
+    return [missing("date_id"), Duplicates(("date_id",)), *_between("date_month", 1, 12), *_between("date_day", 1, 31)]
+
+
+def dim_streamer_checks() -> list:
+    return [missing("streamer_id"), Duplicates(("streamer_id",)), missing("user_name")]
+
+
+def dim_language_checks() -> list:
+    return [missing("language_id"), Duplicates(("language_id",)), missing("language")]
+
+
+DIMENSION_CHECKS = {"dim_game": dim_game_checks, "dim_date": dim_date_checks,
+                    "dim_streamer": dim_streamer_checks, "dim_language": dim_language_checks}
+
+
 def fact_checks(dims: dict[str, DataFrame] | None = None) -> list:
     keys = ("game_id", "date_id", "streamer_id", "language_id", "time_hour")
     checks: list = [missing(k) for k in keys] + [
         Duplicates(keys),
-        min_at_least("time_hour", 0, "Hour must be 0 or greater"),
-        max_at_most("time_hour", 23, "Hour must be 23 or less"),
-        min_at_least("count_observations", 1, "A fact row cannot exist without at least one observation"),
-        min_at_least("max_viewers", 0, "The maximum number of viewers must be 0 or greater"),
-        min_at_least("sum_viewers", 0, "The total number of viewers must be 0 or greater"),
-        failed_rows("sum_viewers < max_viewers", "Sum of viewers is less than the max observed"),
+        *_between("time_hour", 0, 23),
+        min_at_least("count_observations", 1, "every fact row was observed"),
+        min_at_least("max_viewers", 0, "no peak under zero"),
+        min_at_least("sum_viewers", 0, "no viewer sum under zero"),
+        failed_rows("sum_viewers < max_viewers", "the sum holds the peak"),
     ]
     for dim_name, col in (("dim_game", "game_id"), ("dim_date", "date_id"),
                           ("dim_streamer", "streamer_id"), ("dim_language", "language_id")):
         if dims and dim_name in dims:
-            checks.append(Orphans(col, dims[dim_name],
-                                  name=f"Facts without a matching {dim_name.split('_')[1]} dimension"))
+            checks.append(Orphans(col, dims[dim_name], name=f"{col} known to {dim_name}"))
     return checks
+
+
+def run_gold_checks(tables: dict[str, DataFrame]) -> DataFrame:
+    """All gold rules: each dimension's own and the fact's, with its dimensions."""
+    dims = {k: v for k, v in tables.items() if k.startswith("dim_")}
+    out = run_checks("fact_stream_hourly_final", tables["fact_stream_hourly"], fact_checks(dims))
+    for name, df in dims.items():
+        out = out.unionByName(run_checks(f"{name}_final", df, DIMENSION_CHECKS[name]()))
+    return out

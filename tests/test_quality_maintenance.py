@@ -58,19 +58,64 @@ def test_maintenance_args():
     assert J.nightly_args(datetime(2024, 3, 1, 2))["month"] == 2
 
 
-def test_compaction_preserves_rows(spark):
+def _small_files(spark, files=20, rows=5000):
     path = scratch_dir(spark, "test", "compact")
-    df = spark.range(0, 5000).select(F.col("id"), (F.lit(2024)).alias("year"), (F.col("id") % 2 + 1).alias("month"),
+    df = spark.range(0, rows).select(F.col("id"), (F.lit(2024)).alias("year"), (F.col("id") % 2 + 1).alias("month"),
                                      (F.col("id") % 3 + 1).alias("day"))
-    df.repartition(20).write.partitionBy("year", "month", "day").parquet(path)
-    before = spark.read.parquet(path).groupBy("month", "day").agg(F.count("*").alias("n"), F.sum("id").alias("s"))
-    exp = sorted(map(tuple, before.collect()))
-    n_files_before = len(spark.read.parquet(path).inputFiles())
-    J.compact(spark, path, partition_cols=("year", "month", "day"), year=2024, month=1, files=1)
-    after = spark.read.parquet(path)
-    got = sorted(map(tuple, after.groupBy("month", "day").agg(F.count("*").alias("n"),
-                                                               F.sum("id").alias("s")).collect()))
-    assert got == exp
-    assert len(after.inputFiles()) < n_files_before
-    month2 = [f for f in after.inputFiles() if "month=2" in f]
-    assert len(month2) == 3 * 20 or len(month2) > 3  # untouched partitions keep their files
+    df.repartition(files).write.partitionBy("year", "month", "day").parquet(path)
+    return path
+
+
+def _content(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).groupBy("month", "day").agg(F.count("*"), F.sum("id")).collect()))
+
+
+DAYS = ("year", "month", "day")
+
+
+def test_compaction_leaves_one_small_file_per_partition(spark):
+    path = _small_files(spark)
+    exp = _content(spark, path)
+    J.compact(spark, path, partition_cols=DAYS, year=2024, month=1)
+    files = {(r.month, r.day): r.files for r in J.files_per_partition(spark, path, DAYS).collect()}
+    assert [files[1, d] for d in (1, 2, 3)] == [1, 1, 1] and all(files[2, d] == 20 for d in (1, 2, 3))
+    J.compact(spark, path, partition_cols=DAYS)
+    assert {r.files for r in J.files_per_partition(spark, path, DAYS).collect()} == {1}
+    assert _content(spark, path) == exp
+
+
+def test_compaction_of_one_day_with_small_target(spark):
+    """A partition larger than the target gets several files, and only its own bytes count."""
+    path = _small_files(spark, files=4, rows=30_000)
+    exp = _content(spark, path)
+    before = {(r.month, r.day): r.files for r in J.files_per_partition(spark, path, DAYS).collect()}
+    size = {(r.month, r.day): r._bytes for r in J._file_bytes(spark.read.parquet(path), DAYS).collect()}
+    J.compact(spark, path, partition_cols=DAYS, year=2024, month=2, day=3, target_file_bytes=size[2, 3] // 2)
+    after = {(r.month, r.day): r.files for r in J.files_per_partition(spark, path, DAYS).collect()}
+    assert 2 <= after.pop((2, 3)) <= 3
+    assert all(before[k] == n for k, n in after.items()) and _content(spark, path) == exp
+
+
+def test_compaction_refuses_a_stream_sink(spark):
+    src, out, ckpt = (scratch_dir(spark, "test", x) for x in ("src", "out", "ckpt"))
+    spark.range(10).write.parquet(src)
+    stream = spark.readStream.schema("id long").parquet(src)
+    stream.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
+    with pytest.raises(ValueError, match="sink of a stream"):
+        J.compact(spark, out)
+    assert spark.read.parquet(out).count() == 10
+
+
+def test_compaction_of_an_unpartitioned_table_through_the_cli(spark):
+    from livepulse import cli
+    path = scratch_dir(spark, "test", "games")
+    spark.range(100).withColumnRenamed("id", "game_id").repartition(10).write.parquet(path)
+    assert cli.run(["compact", "--layer", "bronze", "--path", path, "--year", "2024", "--month", "1"], spark) == 0
+    back = spark.read.parquet(path)
+    assert back.count() == 100 and len(back.inputFiles()) == 1
+
+
+def test_dimension_rules(spark):
+    d = spark.createDataFrame([(1, "a", 50.0), (1, None, 101.0), (None, "b", -1.0)], "game_id long, game_name string, total_rating double")
+    res = {r.check: r.value for r in Q.run_checks("dim_game", d, Q.dim_game_checks()).collect() if not r.passed}
+    assert len(res) == 5
