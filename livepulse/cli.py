@@ -1,18 +1,20 @@
 """Command line for the pipeline's jobs (what a scheduler invokes).
 
   python -m livepulse.cli silver  --kind streams --bronze PATH --out PATH --checkpoint PATH [--once]
-  python -m livepulse.cli transitions --bronze PATH --out PATH --checkpoint PATH [--once]
-  python -m livepulse.cli gold    --silver PATH --games PATH --out PATH --checkpoint PATH
+  python -m livepulse.cli transitions --bronze PATH --out PATH --checkpoint PATH --state-partitions N [--once]
+  python -m livepulse.cli gold    --silver PATH --games PATH --out PATH --checkpoint PATH [--gate]
   python -m livepulse.cli validate --layer silver --streams PATH --tags PATH --transitions PATH --games PATH
   python -m livepulse.cli compact --layer bronze --path PATH --year 2026 --month 7 [--day 9]
 
-The broker ingest needs the broker connector on the classpath; it is started
-from code (``streaming.jobs.bronze_streams_job``) with the broker frame.
+  python -m livepulse.cli ingest  --servers H:P --streams-topic T --games-topic T --out PATH --checkpoint PATH
+
+The ingest needs the broker connector on the classpath. ``--format`` names the table format.
 """
 
 from __future__ import annotations
 
 import argparse
+import functools
 import sys
 
 from pyspark.sql import SparkSession
@@ -31,14 +33,17 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--bronze", required=True)
     t.add_argument("--out", required=True)
     t.add_argument("--checkpoint", required=True)
-    t.add_argument("--state-partitions", type=int, default=8)
+    t.add_argument("--state-partitions", type=int, required=True, help="fixed for ever by the checkpoint")
+    t.add_argument("--watermark", default="1 hour")
     t.add_argument("--once", action="store_true")
     g = sub.add_parser("gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--games", required=True)
     g.add_argument("--out", required=True)
     g.add_argument("--checkpoint", required=True)
-    g.add_argument("--max-bytes-per-trigger", type=int, default=1_000_000)
+    g.add_argument("--max-bytes-per-trigger", type=int, help="table formats that support it")
+    g.add_argument("--max-files-per-trigger", type=int)
+    g.add_argument("--gate", action="store_true", help="validate silver, load, validate gold")
     v = sub.add_parser("validate")
     v.add_argument("--layer", choices=["silver", "gold"], required=True)
     for name in ("streams", "tags", "transitions", "games", "gold-root"):
@@ -49,10 +54,35 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--year", type=int)
     c.add_argument("--month", type=int)
     c.add_argument("--day", type=int)
-    c.add_argument("--format", default="parquet")
+    i = sub.add_parser("ingest")
+    i.add_argument("--servers", required=True)
+    i.add_argument("--streams-topic", required=True)
+    i.add_argument("--games-topic", required=True)
+    i.add_argument("--out", required=True)
+    i.add_argument("--checkpoint", required=True)
+    i.add_argument("--encoding", choices=["json", "avro"], default="json")
+    i.add_argument("--source-format", default="kafka")
+    for x in (s, t, g, v, c, i):
+        x.add_argument("--format", default="parquet", help="table format on disk")
     return p
 
 
+def _silver_checks(spark, args):
+    from livepulse.operators import quality as Q
+    read = lambda path: spark.read.format(args.format).load(path)
+    parts = [Q.run_checks("streams", read(args.streams), Q.silver_stream_checks()),
+             Q.run_checks("stream_tags", read(args.tags), Q.tag_checks()),
+             Q.run_checks("stream_transitions", read(args.transitions), Q.transition_checks()),
+             Q.run_checks("games", read(args.games), Q.game_checks())]
+    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def _gold_checks(spark, root, fmt):
+    from livepulse.operators import quality as Q
+    from livepulse.streaming import jobs
+    return Q.run_gold_checks(jobs.read_gold(spark, root, fmt))
+
+
 def run(argv: list[str], spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
     if args.cmd == "compact":
@@ -62,44 +92,58 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     from livepulse.streaming import jobs
     trig = "available_now" if getattr(args, "once", False) else "processing_time"
-    if args.cmd == "silver":
-        jobs.silver_job(spark, args.kind, args.bronze, args.out, args.checkpoint, trigger=trig).awaitTermination()
+    if args.cmd == "ingest":
+        from livepulse.sources.streams import await_any, broker_stream
+        make = {"streams": jobs.bronze_streams_job, "games": jobs.bronze_games_job}
+        for kind, topic in (("streams", args.streams_topic), ("games", args.games_topic)):
+            make[kind](broker_stream(spark, args.servers, topic, fmt=args.source_format), f"{args.out}/{kind}",
+                       f"{args.checkpoint}/{kind}", encoding=args.encoding, fmt=args.format)
+        await_any(spark)
+    elif args.cmd == "silver":
+        jobs.silver_job(spark, args.kind, args.bronze, args.out, args.checkpoint, trigger=trig,
+                        fmt=args.format).awaitTermination()
     elif args.cmd == "transitions":
-        jobs.transitions_job(spark, args.bronze, args.out, args.checkpoint, trigger=trig,
-                             state_partitions=args.state_partitions).awaitTermination()
+        jobs.transitions_job(spark, args.bronze, args.out, args.checkpoint, trigger=trig, fmt=args.format,
+                             watermark=args.watermark, state_partitions=args.state_partitions).awaitTermination()
     elif args.cmd == "gold":
-        silver = spark.read.parquet(args.silver)
-        games = spark.read.parquet(args.games)
-        jobs.gold_job(spark, args.silver, games, args.out, args.checkpoint, silver.schema,
-                      max_bytes_per_trigger=args.max_bytes_per_trigger).awaitTermination()
-    elif args.cmd == "validate":
         from livepulse.operators import quality as Q
-        if args.layer == "silver":
-            parts = [Q.run_checks("streams", spark.read.parquet(args.streams), Q.silver_stream_checks()),
-                     Q.run_checks("stream_tags", spark.read.parquet(args.tags), Q.tag_checks()),
-                     Q.run_checks("stream_transitions", spark.read.parquet(args.transitions),
-                                  Q.transition_checks()),
-                     Q.run_checks("games", spark.read.parquet(args.games),
-                                  [Q.missing("game_id"), Q.missing("game_name")])]
-            halt = True
+        silver = spark.read.format(args.format).load(args.silver)
+        games = spark.read.format(args.format).load(args.games)
+
+        def load():
+            jobs.gold_job(spark, args.silver, games, args.out, args.checkpoint, silver.schema, fmt=args.format,
+                          max_bytes_per_trigger=args.max_bytes_per_trigger,
+                          max_files_per_trigger=args.max_files_per_trigger).awaitTermination()
+
+        if args.gate:
+            failed = Q.run_gated(lambda: Q.run_checks("streams", silver, Q.silver_stream_checks()).unionByName(
+                Q.run_checks("games", games, Q.game_checks())), load, lambda: _gold_checks(spark, args.out, args.format))
+            _report(failed)
         else:
-            g = jobs.read_gold(spark, args.gold_root)
-            dims = {k: v for k, v in g.items() if k.startswith("dim_")}
-            parts = [Q.run_checks("fact_stream_hourly_final", g["fact_stream_hourly"], Q.fact_checks(dims))]
-            halt = False
-        res = parts[0]
-        for x in parts[1:]:
-            res = res.unionByName(x)
-        failed = Q.gate(res, halt=halt)
-        for f in failed:
-            print(f"FAILED {f['table']}: {f['check']} (value {f['value']})")
+            load()
+    elif args.cmd == "validate":
+        from livepulse.operators import quality as Q
+        silver_layer = args.layer == "silver"
+        res = _silver_checks(spark, args) if silver_layer else _gold_checks(spark, args.gold_root, args.format)
+        _report(Q.gate(res, halt=silver_layer))
     elif args.cmd == "compact":
         from livepulse.operators.maintenance import compact
-        parts = ("year", "month", "day") if args.layer == "bronze" else ()
         for path in args.path:
-            compact(spark, path, args.format, parts, req["year"], req["month"], req["day"])
+            names = spark.read.format(args.format).load(path).columns
+            dated = args.layer == "bronze" and {"year", "month", "day"} <= set(names)   # the games table has no dates
+            compact(spark, path, args.format, ("year", "month", "day") if dated else (),
+                    *((req["year"], req["month"], req["day"]) if dated else (None, None, None)))
     return 0
 
 
+def _report(failed: list[dict]) -> None:
+    for f in failed:
+        print(f"FAILED {f['table']}: {f['check']} (value {f['value']})")
+
+
+def main() -> int:
+    return run(sys.argv[1:])
+
+
 if __name__ == "__main__":
-    sys.exit(run(sys.argv[1:]))
+    sys.exit(main())

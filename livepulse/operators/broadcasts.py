@@ -27,30 +27,59 @@ def _asc(c):
     return F.col(c).asc_nulls_last()
 
 
-def latest_snapshot(df: DataFrame, ts: str = "ingestion_ts", grain: str | None = None) -> DataFrame:
+def _day_key(c: Column) -> Column:
+    return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+
+
+def _between_polls(df: DataFrame, ts: str, low: DataFrame, grain: str | None, closed: bool) -> DataFrame:
+    """Rows of ``df`` from the scalar ``low`` on (``closed``: only within its grain). The bounds are
+    scalar subqueries on the raw time column, so they move below the joins that made ``df`` and
+    reach the scan; a table partitioned by year/month/day is pruned by them too."""
+    def bound(expr: Column) -> Column:
+        return low.select(expr.alias("v")).scalar()
+
+    at = F.col("_low")
+    cond = F.col(ts) >= bound(at)
+    if closed:
+        end = at if grain is None else at + F.expr(f"INTERVAL 1 {grain.upper()}")
+        cond = cond & ((F.col(ts) == bound(at)) if grain is None else (F.col(ts) < bound(end)))
+    if {"year", "month", "day"} <= set(df.columns):
+        day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+        cond = cond & (day >= bound(_day_key(at)))
+        if closed:
+            cond = cond & (day <= bound(_day_key(end)))
+    return df.where(cond)
+
+
+def latest_snapshot(df: DataFrame, ts: str = "ingestion_ts", grain: str | None = None,
+                    polls: DataFrame | None = None) -> DataFrame:
     """Rows of the most recent poll (ts equal to the global max, after truncation to ``grain``).
 
-    The max is a one-row aggregate broadcast back to the scan.
+    ``polls``: a frame whose column ``ts`` has the same maximum and is cheaper to read (the raw
+    table behind ``df``); by default the maximum is taken from ``df``.
     """
-    t = truncate_ts(ts, grain)
-    top = scalar_broadcast(df.agg(F.max(t).alias("_max")))
-    return df.join(top, t == F.col("_max"), "left_semi")
+    source = df if polls is None else polls
+    low = source.select(F.col(ts)).agg(truncate_ts(F.max(ts), grain).alias("_low"))
+    return _between_polls(df, ts, low, grain, closed=False)
 
 
 def snapshot_asof(df: DataFrame, at: datetime | str | Column, ts: str = "ingestion_ts",
-                  grain: str | None = None, per_stream: bool = False, key: str = "stream_id") -> DataFrame:
+                  grain: str | None = None, per_stream: bool = False, key: str = "stream_id",
+                  polls: DataFrame | None = None) -> DataFrame:
     """Snapshot as of time ``at``: the latest poll at or before it; when ``at`` is
     before the first poll, the earliest poll. A naive ``at`` is UTC.
 
     ``per_stream`` instead keeps each stream's own latest row at or before ``at``.
+    ``polls`` as in :func:`latest_snapshot` (the same set of poll times).
     """
     at_c = at if isinstance(at, Column) else F.lit(at).cast("timestamp")
-    t = truncate_ts(ts, grain)
     if per_stream:
         before = df.where(F.col(ts) <= at_c)
         return latest_per_key(before, [key], [ts])
-    pick = scalar_broadcast(df.agg(F.coalesce(F.max(F.when(F.col(ts) <= at_c, t)), F.min(t)).alias("_pick")))
-    return df.join(pick, t == F.col("_pick"), "left_semi")
+    t = truncate_ts(ts, grain)
+    source = (df if polls is None else polls).select(F.col(ts))
+    low = source.agg(F.coalesce(F.max(F.when(F.col(ts) <= at_c, t)), F.min(t)).alias("_low"))
+    return _between_polls(df, ts, low, grain, closed=True)
 
 
 def top_games(latest: DataFrame, n: int = 10) -> DataFrame:
@@ -144,12 +173,15 @@ def _n_unique(c: str) -> Column:
 
 
 def stream_kpis(streams: DataFrame, latest: DataFrame, approx_median: bool = False) -> DataFrame:
-    """Unique streams and users over the history; sum and median viewers of the latest poll."""
-    hist = streams.agg(_n_unique("stream_id").alias("unique_streams"),
-                       _n_unique("user_name").alias("unique_streamers"))
+    """Unique streams and users over the history; sum and median viewers of the latest poll.
+    Nothing selected gives 0 for each."""
+    pairs = streams.select("stream_id", "user_name").distinct()      # small before the exact counts
+    hist = pairs.agg(_n_unique("stream_id").alias("unique_streams"),
+                     _n_unique("user_name").alias("unique_streamers"))
     med = (F.percentile_approx("viewer_count", 0.5) if approx_median else F.median("viewer_count"))
     now = latest.agg(F.sum("viewer_count").alias("current_viewers"), med.cast("double").alias("median_viewers"))
-    return hist.crossJoin(scalar_broadcast(now))
+    both = hist.crossJoin(scalar_broadcast(now))                      # two one-row aggregates
+    return both.select(*[F.coalesce(c, F.lit(0)).cast(both.schema[c].dataType).alias(c) for c in both.columns])
 
 
 def streamer_metrics_long(top: DataFrame) -> DataFrame:
@@ -161,8 +193,8 @@ def streamer_metrics_long(top: DataFrame) -> DataFrame:
 
 
 def viewer_trend(streams: DataFrame, top: DataFrame) -> DataFrame:
-    """History of the top users, in time order (the top list is n rows: broadcast)."""
-    return (streams.join(F.broadcast(top.select("user_name")), "user_name", "left_semi")
+    """History of the top users, in time order."""
+    return (streams.join(top.select("user_name"), "user_name", "left_semi")
             .select("user_name", "ingestion_ts", "viewer_count").orderBy("ingestion_ts", "user_name"))
 
 
@@ -185,7 +217,8 @@ def event_feed(transitions: DataFrame, n: int = 10) -> DataFrame:
 def broadcast_page(streams: DataFrame, tags: DataFrame, transitions: DataFrame,
                    at: datetime | str | None = None, games: Sequence[str] = (),
                    languages: Sequence[str] = (), n: int = 10, grain: str | None = None) -> dict[str, DataFrame]:
-    """Every panel of the broadcasts page, as lazy DataFrames.
+    """Every panel of the broadcasts page as a DataFrame. Building it runs one job, which
+    computes the ids of the live streams; the panels themselves are lazy.
 
     Order of the page: facet filters on the snapshots, the filter propagated to
     tags and transitions by stream id, the snapshot as of ``at`` (latest when

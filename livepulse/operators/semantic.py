@@ -72,10 +72,10 @@ def viewers_on_day(star: DataFrame, day: Column | None = None, day_key: DataFram
 
 # --- bridges --------------------------------------------------------------------
 
-def bridge(dim_game: DataFrame, list_col: str, out: str | None = None) -> DataFrame:
-    """game_id × label pairs from a list column: explode, distinct, no nulls."""
+def bridge(dim_game: DataFrame, list_col: str, out: str | None = None, key: str = "game_id") -> DataFrame:
+    """game × label pairs from a list column: explode, distinct, no nulls."""
     name = out or list_col
-    return (dim_game.select("game_id", F.explode(list_col).alias(name))
+    return (dim_game.select(key, F.explode(list_col).alias(name))
             .where(F.col(name).isNotNull()).distinct())
 
 
@@ -85,16 +85,26 @@ def bridge_from_text(dim_game: DataFrame, text_col: str, out: str | None = None)
     return bridge(parsed, "_l", out or text_col)
 
 
-def by_label(star: DataFrame, bridge_df: DataFrame, label: str, measures: dict[str, Column]) -> DataFrame:
+def per_game(fact: DataFrame, key: str = "game_id") -> DataFrame:
+    """The fact's three measures merged to one row per game (max of max, sums of sums): what a
+    bridge join needs, however many fact rows a popular game has."""
+    return fact.groupBy(key).agg(F.max("max_viewers").alias("max_viewers"), F.sum("sum_viewers").alias("sum_viewers"),
+                                 F.sum("count_observations").alias("count_observations"))
+
+
+def by_label(fact: DataFrame, bridge_df: DataFrame, label: str, measures: dict[str, Column],
+             key: str = "game_id") -> DataFrame:
     """Measures per bridge label: a game counts once under each of its labels, so
-    label totals overlap and must not be summed."""
-    return star.join(bridge_df, "game_id").groupBy(label).agg(*[m.alias(n) for n, m in measures.items()])
+    label totals overlap and must not be summed. ``measures`` are over max_viewers,
+    sum_viewers and count_observations, which merge, so games are merged before the join."""
+    return per_game(fact, key).join(bridge_df, key).groupBy(label).agg(*[m.alias(n) for n, m in measures.items()])
 
 
-def slice_by_label(star: DataFrame, bridge_df: DataFrame, label: str, values: Sequence[str]) -> DataFrame:
+def slice_by_label(star: DataFrame, bridge_df: DataFrame, label: str, values: Sequence[str],
+                   key: str = "game_id") -> DataFrame:
     """Slicer through a bridge: fact rows whose game has any of the labels (semi join)."""
-    chosen = bridge_df.where(F.col(label).isin(list(values))).select("game_id")
-    return star.join(chosen, "game_id", "left_semi")
+    chosen = bridge_df.where(F.col(label).isin(list(values))).select(key)
+    return star.join(chosen, key, "left_semi")
 
 
 def apply_slicers(star: DataFrame, columns: dict[str, Sequence] | None = None,
@@ -112,7 +122,8 @@ def apply_slicers(star: DataFrame, columns: dict[str, Sequence] | None = None,
             out = out.where(F.col(col).isin(list(values)))
     for _, (bridge_df, label, values) in (bridges or {}).items():
         if values:
-            out = slice_by_label(out, bridge_df, label, values)
+            key = next(c for c in bridge_df.columns if c != label)
+            out = slice_by_label(out, bridge_df, label, values, key)
     return out
 
 
@@ -158,13 +169,10 @@ def last_group(df: DataFrame, order_col: str, measure: str) -> DataFrame:
 
 
 def top_n_filter(star: DataFrame, key: str, score: Column, n: int) -> DataFrame:
-    """Rows whose ``key`` is among the top n by ``score`` (subquery filter as a semi join).
-
-    The top-n list has n rows by construction, so it is broadcast.
-    """
+    """Rows whose ``key`` is among the top n by ``score`` (subquery filter as a semi join)."""
     top = (star.groupBy(key).agg(score.alias("_score"))
            .orderBy(F.col("_score").desc_nulls_last(), F.col(key)).limit(n).select(key))
-    return star.join(F.broadcast(top), key, "left_semi")
+    return star.join(top, key, "left_semi")
 
 
 def rank_within(df: DataFrame, part: str, score: str, out: str = "rank", tiebreak: str | None = None) -> DataFrame:

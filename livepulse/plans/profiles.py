@@ -6,53 +6,24 @@ Profile S (lineitem ⋈ supplier ⋈ nation ⋈ region ⋈ part): coarse snapsho
 whose hourly groups hold many rows; lineitem ⋈ orders ⋈ part gives catalogue
 versions with a full nested metadata record.
 
-All joins are equi-joins left to the optimizer: the fixed-size reference tables
-(nation, region: 25 and 5 rows by definition) are broadcast, the growing ones
-(customer, supplier, part, orders) are joined by AQE from their measured size.
-Only the probe side (lineitem, events) has its single-split files spread over
-the cores; spreading a side that is then broadcast would be a shuffle for nothing.
+All joins are equi-joins left to the optimizer, which broadcasts a side only when
+its measured size allows it.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from livepulse.operators.bronze import with_partition_columns
 from livepulse.operators.silver import silver_games, silver_streams, stream_tags
-from livepulse.sources.tables import _path_stamp, table
+from livepulse.sources.tables import table
 
 TS = "timestamp"
 
-# A view is a lazy plan: it is built once per session and version of its input
-# files (stamps), not once per query; every query still scans the files.
-MEMO = True
-
-
-def _per_session(*inputs: str):
-    def wrap(fn):
-        built: dict[tuple, DataFrame] = {}
-
-        @functools.wraps(fn)
-        def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-            if not MEMO:
-                return fn(spark, sf_dir)
-            root = sf_dir.rstrip("/")
-            key = (id(spark._jsparkSession), root,
-                   tuple(_path_stamp(spark, f"{root}/{t}.parquet") for t in inputs))
-            if key not in built:
-                built[key] = fn(spark, sf_dir)
-            return built[key]
-        return view
-    return wrap
-
-
-@_per_session("events", "customer", "nation")
 def e_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "props", "value", "ts")
-    c = table(spark, sf_dir, "customer", spread_input=False).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    n = F.broadcast(table(spark, sf_dir, "nation", spread_input=False).select("n_nationkey", "n_name"))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (e.join(c, e.user_id == c.c_custkey)
          .join(n, F.col("c_nationkey") == F.col("n_nationkey")))
     et = F.col("event_type")
@@ -74,29 +45,25 @@ def e_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session("events", "customer", "nation")
 def e_bronze(spark, sf_dir):
     return with_partition_columns(e_snapshots(spark, sf_dir))
 
 
-@_per_session("events", "customer", "nation")
 def e_silver(spark, sf_dir):
     return silver_streams(e_bronze(spark, sf_dir))
 
 
-@_per_session("events", "customer", "nation")
 def e_tags(spark, sf_dir):
     return stream_tags(e_snapshots(spark, sf_dir))
 
 
-@_per_session("lineitem", "supplier", "nation", "region", "part")
 def s_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_partkey", "l_returnflag", "l_quantity", "l_shipdate", "l_linenumber")
-    s = table(spark, sf_dir, "supplier", spread_input=False).select("s_suppkey", "s_nationkey")
-    n = F.broadcast(table(spark, sf_dir, "nation", spread_input=False).select("n_nationkey", "n_name", "n_regionkey"))
-    r = F.broadcast(table(spark, sf_dir, "region", spread_input=False).select("r_regionkey", "r_name"))
-    p = table(spark, sf_dir, "part", spread_input=False).select("p_partkey", "p_name")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = (li.join(s, li.l_suppkey == s.s_suppkey)
          .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
          .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -114,12 +81,10 @@ def s_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session("lineitem", "supplier", "nation", "region", "part")
 def s_bronze(spark, sf_dir):
     return with_partition_columns(s_snapshots(spark, sf_dir))
 
 
-@_per_session("lineitem", "supplier", "nation", "region", "part")
 def s_silver(spark, sf_dir):
     return silver_streams(s_bronze(spark, sf_dir))
 
@@ -133,13 +98,12 @@ def _numbered(words):
     return F.arrays_zip(F.sequence(F.lit(1), F.size(words)), words).cast("array<struct<id:int,name:string>>")
 
 
-@_per_session("lineitem", "orders", "part")
 def s_bronze_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue versions as bronze rows: one per (order line), nested metadata record
     (null for every 7th part) with one- and two-level arrays of structs."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    o = table(spark, sf_dir, "orders", spread_input=False).select("o_orderkey", "o_orderdate")
-    p = table(spark, sf_dir, "part", spread_input=False).select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     pk, size = F.col("p_partkey"), F.col("p_size")
     no_meta = pk % 7 == 0
@@ -179,7 +143,6 @@ def s_bronze_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session("lineitem", "orders", "part")
 def s_games(spark, sf_dir):
     """Silver catalogue (17 columns + version_tiebreak)."""
     return silver_games(s_bronze_games(spark, sf_dir), extra=("version_tiebreak",))

@@ -9,6 +9,7 @@ from livepulse.plans import profiles as P
 from livepulse.plans.q_transitions import e_transitions
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import block, sql
+from livepulse.sources.tables import table
 
 GRAIN = "day"          # profile E polls carry unique stamps; a "poll" is one day
 AS_OF = "2024-01-15 12:00:00"
@@ -39,8 +40,13 @@ def silver(spark, sf):
     return P.e_silver(spark, sf)
 
 
+def polls(spark, sf):
+    """Poll times from the raw table alone: every event becomes a snapshot."""
+    return table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ingestion_ts"))
+
+
 def latest(spark, sf):
-    return Fq.latest_snapshot(silver(spark, sf), grain=GRAIN)
+    return Fq.latest_snapshot(silver(spark, sf), grain=GRAIN, polls=polls(spark, sf))
 
 
 def top(spark, sf):
@@ -61,7 +67,7 @@ WHERE date_trunc('day', ingestion_ts) = (
   SELECT coalesce(max(CASE WHEN ingestion_ts <= TIMESTAMP '{AS_OF}' THEN date_trunc('day', ingestion_ts) END),
                   min(date_trunc('day', ingestion_ts))) FROM e_silver)""", "e_silver"))
 def q_snapshot_asof(spark, sf):
-    return Fq.snapshot_asof(silver(spark, sf), AS_OF, grain=GRAIN).select(*SNAP_COLS)
+    return Fq.snapshot_asof(silver(spark, sf), AS_OF, grain=GRAIN, polls=polls(spark, sf)).select(*SNAP_COLS)
 
 
 @query("top_games", sql(f"""

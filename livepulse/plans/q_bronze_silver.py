@@ -9,7 +9,7 @@ from livepulse.operators import silver as C
 from livepulse.plans import profiles as P
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
-from livepulse.schemas import WIRE_STREAM
+from livepulse.schemas import WIRE_GAME, WIRE_STREAM
 from livepulse.sources.tables import table
 
 
@@ -107,3 +107,25 @@ SILVER_GAME_LISTS = ("themes", "player_perspectives", "keywords", "game_modes",
 def q_silver_games(spark, sf):
     g = C.silver_games(P.s_bronze_games(spark, sf), extra=("version_tiebreak",))
     return g.withColumns({c: F.array_join(c, "|", "NULL") for c in SILVER_GAME_LISTS})
+
+
+def game_messages(spark, sf):
+    """Catalogue versions encoded as broker messages: 5-byte header + JSON record with the
+    nested metadata; the version rides along in the message key."""
+    g = P.s_bronze_games(spark, sf)
+    record = F.struct(F.col("game_id").alias("id"), F.col("game_name").alias("name"), "igdb_id", "igdb_data")
+    return g.select(F.concat(F.unhex(F.lit("0000000001")), F.encode(F.to_json(record), "UTF-8")).alias("value"),
+                    F.col("ingestion_ts").alias("timestamp"), F.col("version_tiebreak").alias("key"))
+
+
+GAME_COLS = ["ingestion_ts", "game_id", "game_name", "igdb_id", "total_rating", "first_release_date"]
+GAME_LISTS = ["themes", "keywords", "game_modes", "platforms", "platform_families", "platform_types"]
+
+
+@query("bronze_games", sql(f"""
+SELECT {", ".join(GAME_COLS)}, {", ".join(f"{lj(c)} AS {c}" for c in GAME_LISTS)} FROM s_games""", "s_games"))
+def q_bronze_games(spark, sf):
+    """The nested catalogue record through the wire: decode, bronze projection, silver flattening."""
+    decoded = B.decode_envelope(game_messages(spark, sf), WIRE_GAME)
+    out = C.silver_games(B.bronze_games(decoded))
+    return out.select(*GAME_COLS, *[F.array_join(c, "|", "NULL").alias(c) for c in GAME_LISTS])

@@ -9,6 +9,7 @@ from livepulse.plans import profiles as P
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
 from livepulse.schemas import DIM_GAME_COLUMNS
+from livepulse.session import materialize
 
 
 def _lists(df, cols=("themes", "keywords", "platforms")):
@@ -20,7 +21,7 @@ def s_clean(spark, sf):
 
 
 def s_fact(spark, sf):
-    """Hourly fact keyed by surrogate ids, collapsed by the summing-merge read."""
+    """Hourly fact keyed by surrogate ids."""
     return gold.fact_hourly(s_clean(spark, sf))
 
 
@@ -52,12 +53,18 @@ def s_star(spark, sf):
 
 
 def s_star_dimensional(spark, sf):
-    """The same star through the general operator: merged fact joined to the four
-    deduplicated dimensions on their surrogate keys."""
-    named = s_named_fact(spark, sf)
+    """The same star through the general operator: hourly fact joined to the four
+    dimensions on their surrogate keys. The fact is written once (an eager checkpoint) and the
+    dimensions are derived from it, so the snapshots are read once."""
+    named = materialize(s_named_fact(spark, sf))
     dims = gold.dimensions_of(named, P.s_games(spark, sf), P.CATALOGUE_ORDER)
-    fact = gold.merge_fact(named.drop("game_name", "user_name", "language"))
-    return semantic.star_join(fact, **dims)
+    return semantic.star_join(named.drop("game_name", "user_name", "language"), **dims)
+
+
+def s_catalogue(spark, sf, *columns):
+    """Latest catalogue row per game name."""
+    return gold.dedupe_catalogue(P.s_games(spark, sf).select("game_name", *columns, *P.CATALOGUE_ORDER),
+                                 order=P.CATALOGUE_ORDER).select("game_name", *columns)
 
 
 @query("clean_batch", sql("""

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from livepulse.operators import semantic as H
-from livepulse.plans.q_gold import s_dim_game, s_star, s_star_dimensional
+from livepulse.plans.q_gold import s_catalogue, s_dim_game, s_named_fact, s_star, s_star_dimensional
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
+from livepulse.session import materialize
 
 R6 = lambda c: F.round(c, 6)
 
@@ -106,10 +107,15 @@ SELECT max(date_id) AS date_id, sum(sum_viewers) AS viewers FROM s_fact
 WHERE date_id = (SELECT max(date_id) FROM s_fact)""", "s_fact"))
 def q_viewers_on_day(spark, sf):
     """Σ viewers on the as-of day; here the as-of day is the last day with data."""
-    star = s_star(spark, sf)
-    last = star.agg(F.max("date_id").alias("date_id"))
-    day = F.to_date(last["date_id"].cast("string"), "yyyyMMdd")
-    return H.viewers_on_day(star, day=None, day_key=F.broadcast(last)).select("date_id", "viewers")
+    by_day = H.by(s_named_fact(spark, sf), ["date_id"], _m(viewers=F.sum("sum_viewers")))
+    return H.last_group(by_day, "date_id", "viewers").select("date_id", "viewers")
+
+
+@query("viewers_on_date", sql("""
+SELECT max(date_id) AS date_id, sum(sum_viewers) AS viewers FROM s_fact WHERE date_id = 19970101""", "s_fact"))
+def q_viewers_on_date(spark, sf):
+    """Σ viewers on a given calendar day (today is the default of the operator)."""
+    return H.viewers_on_day(s_named_fact(spark, sf), day=F.lit("1997-01-01").cast("date")).select("date_id", "viewers")
 
 
 def _bridge_sql(col, label):
@@ -134,9 +140,13 @@ SELECT b.{label}, {measures} FROM s_fact f JOIN {_bridge_sql(col, label)} b ON f
 GROUP BY b.{label}""", "s_fact", "s_dim_game")
 
 
+def _labels(spark, sf, col, label):
+    """Bridge by game name from the catalogue alone; games without facts drop out in the join."""
+    return H.bridge(s_catalogue(spark, sf, col), col, label, key="game_name")
+
+
 def _by_label(spark, sf, col, label, measures):
-    star = s_star(spark, sf)
-    return H.by_label(star, H.bridge(_dim_game(spark, sf), col, label), label, measures)
+    return H.by_label(s_named_fact(spark, sf), _labels(spark, sf, col, label), label, measures, key="game_name")
 
 
 @query("bi_by_theme", _by_label_sql("themes", "theme", f"{AVG} AS avg_viewers, max(max_viewers) AS max_viewers"))
@@ -167,17 +177,43 @@ SELECT language, {AVG} AS avg_viewers FROM s_fact
 WHERE game_name IN (SELECT game_name FROM {_bridge_sql('themes', 'theme')} WHERE theme IN ('red', 'blue'))
 GROUP BY language""", "s_fact", "s_dim_game"))
 def q_slicer_theme(spark, sf):
-    star = s_star(spark, sf)
-    sliced = H.slice_by_label(star, H.bridge(_dim_game(spark, sf), "themes", "theme"), "theme", THEMES)
+    sliced = H.apply_slicers(s_named_fact(spark, sf), bridges={"theme": (_labels(spark, sf, "themes", "theme"), "theme", THEMES)})
+    return H.by(sliced, ["language"], _m(avg_viewers=R6(H.avg_viewers())))
+
+
+@query("slicer_keyword", sql(f"""
+SELECT language, {AVG} AS avg_viewers FROM s_fact
+WHERE game_name IN (SELECT game_name FROM {_bridge_sql('keywords', 'keyword')} WHERE keyword IN ('Brand#11', 'Brand#22'))
+GROUP BY language""", "s_fact", "s_dim_game"))
+def q_slicer_keyword(spark, sf):
+    sliced = H.apply_slicers(s_named_fact(spark, sf), bridges={
+        "keyword": (_labels(spark, sf, "keywords", "keyword"), "keyword", ("Brand#11", "Brand#22"))})
     return H.by(sliced, ["language"], _m(avg_viewers=R6(H.avg_viewers())))
 
 
+@query("slicer_language", sql(f"""
+SELECT user_name, {AVG} AS avg_viewers FROM s_fact WHERE language IN ('ASIA', 'EUROPE') GROUP BY user_name""", "s_fact"))
+def q_slicer_language(spark, sf):
+    sliced = H.apply_slicers(s_named_fact(spark, sf), columns={"language": ("ASIA", "EUROPE"), "game_name": ()})
+    return H.by(sliced, ["user_name"], _m(avg_viewers=R6(H.avg_viewers())))
+
+
+@query("slicer_game", sql(f"""
+SELECT language, {AVG} AS avg_viewers FROM s_fact
+WHERE game_name IN (SELECT game_name FROM s_fact GROUP BY game_name ORDER BY game_name LIMIT 5) GROUP BY language""", "s_fact"))
+def q_slicer_game(spark, sf):
+    """Slicer by game: the five first names, as a user would pick them from the facet."""
+    fact = s_named_fact(spark, sf)
+    names = [r[0] for r in fact.select("game_name").distinct().orderBy("game_name").limit(5).collect()]
+    return H.by(H.apply_slicers(fact, columns={"game_name": names}), ["language"], _m(avg_viewers=R6(H.avg_viewers())))
+
+
 @query("slicer_date", sql(f"""
 SELECT language, {AVG} AS avg_viewers FROM s_fact WHERE date_id // 10000 = {SLICE_YEAR}
 GROUP BY language""", "s_fact"))
 def q_slicer_date(spark, sf):
-    star = s_star(spark, sf).where(F.col("date_year") == SLICE_YEAR)
-    return H.by(star, ["language"], _m(avg_viewers=R6(H.avg_viewers())))
+    fact = s_named_fact(spark, sf).withColumn("date_year", (F.col("date_id") / 10000).cast("int"))
+    return H.by(H.apply_slicers(fact, columns={"date_year": (SLICE_YEAR,)}), ["language"], _m(avg_viewers=R6(H.avg_viewers())))
 
 
 @query("parse_list_text", sql(f"""
@@ -226,8 +262,12 @@ SELECT c."Year", c."QuarterNo", c."MonthNo", c."Day", sum(s.sum_viewers) AS view
 FROM s_star s JOIN ({CAL_SQL}) c ON CAST(s.row_datetime AS DATE) = c."Date"
 GROUP BY ROLLUP (c."Year", c."QuarterNo", c."MonthNo", c."Day")""", "s_star"))
 def q_calendar_rollup(spark, sf):
-    star = s_star(spark, sf)
-    joined = star.join(_calendar(spark, sf, star), F.to_date("row_datetime") == F.col("Date"))
+    """One row per day first: the calendar join and the five-level rollup then see days, not facts."""
+    days = H.with_row_datetime(s_named_fact(spark, sf).groupBy("date_id").agg(
+        F.sum("sum_viewers").alias("sum_viewers"), F.sum("count_observations").alias("count_observations"))
+        .withColumn("time_hour", F.lit(0)))
+    days = materialize(days)                    # read twice: the calendar's bounds and the totals
+    joined = days.join(_calendar(spark, sf, days), F.to_date("row_datetime") == F.col("Date"))
     return H.hierarchy_totals(joined, _m(viewers=F.sum("sum_viewers"),
                                          observations=F.sum("count_observations")))
 

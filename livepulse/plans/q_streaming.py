@@ -18,19 +18,16 @@ from livepulse.plans import profiles as P
 from livepulse.plans.q_transitions import e_transitions  # noqa: F401  (oracle block)
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import sql
-from livepulse.schemas import STREAM_TAGS
-from livepulse.session import scratch_dir
+from livepulse.schemas import STREAM_TAGS, TRANSITIONS
+from livepulse.session import drop_dir, materialize, scratch_dir
 from livepulse.sources.streams import append_stream, table_stream
 from livepulse.streaming import jobs
 from livepulse.streaming.transitions import detect_transitions_stream
 
-STREAM_TIMEOUT_S = 600
-
-
-def _stage(df, spark, name, partition_by=(), files=None):
+def _stage(df, spark, name, partition_by=()):
+    """Write a job's input at the width of its plan."""
     path = scratch_dir(spark, "stage", name)
-    out = df.repartition(files) if files else df
-    w = out.write.mode("overwrite")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
@@ -38,10 +35,7 @@ def _stage(df, spark, name, partition_by=(), files=None):
 
 
 def _drain(q):
-    q.awaitTermination(STREAM_TIMEOUT_S)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream {q.name} did not drain in {STREAM_TIMEOUT_S}s")
+    q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
@@ -50,41 +44,55 @@ def _drain(q):
 def q_stream_tags_stream(spark, sf):
     """Bronze table read incrementally as a stream → exploded tags → append sink."""
     bronze = P.e_bronze(spark, sf)
-    src_path = _stage(bronze, spark, "bronze_streams", files=4)
+    src_path = _stage(bronze, spark, "bronze_streams")
     out, ckpt = scratch_dir(spark, "silver", "stream_tags"), scratch_dir(spark, "ckpt", "stream_tags")
-    src = table_stream(spark, src_path, bronze.schema, max_files_per_trigger=1)
+    src = table_stream(spark, src_path, bronze.schema)
     _drain(append_stream(C.stream_tags(src), out, ckpt, trigger="available_now"))
+    drop_dir(spark, src_path)
     return spark.read.schema(STREAM_TAGS).parquet(out)
 
 
 @query("transitions_stream", sql("SELECT * FROM e_transitions", "e_transitions"))
 def q_transitions_stream(spark, sf):
-    """Stateful streaming detector over the snapshots; equals the batch detector."""
+    """Stateful streaming detector over snapshots that arrive in no order at all: polls are
+    dealt over the staged files by a hash, so each of the several micro-batches holds polls of all
+    times. A last file moves the watermark past the data, which settles every poll."""
     snaps = P.e_snapshots(spark, sf)
-    src_path = _stage(snaps, spark, "snapshots", files=1)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src_path = _stage(snaps.repartition(width, F.xxhash64("stream_id", "ingestion_ts")), spark, "snapshots")
+    span = snaps.agg(F.max("ingestion_ts").alias("last"),
+                     F.timestamp_diff("SECOND", F.min("ingestion_ts"), F.max("ingestion_ts")).alias("seconds")).first()
+    delay = (span["seconds"] or 0) + 86_400
+    closing = spark.range(1).select(*[
+        (F.lit("closing") if f.name == "stream_id" else
+         F.lit(span["last"]).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay + 86_400))
+         if f.name == "ingestion_ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in snaps.schema])
+    closing.write.mode("append").parquet(src_path)
     out, ckpt = scratch_dir(spark, "silver", "transitions"), scratch_dir(spark, "ckpt", "transitions")
-    src = table_stream(spark, src_path, snaps.schema)
-    _drain(append_stream(detect_transitions_stream(src), out, ckpt, trigger="available_now"))
-    from livepulse.schemas import TRANSITIONS
+    src = table_stream(spark, src_path, snaps.schema, max_files_per_trigger=-(-width // 3))
+    _drain(append_stream(detect_transitions_stream(src, f"{delay} seconds"), out, ckpt, trigger="available_now"))
+    drop_dir(spark, src_path)
     return spark.read.schema(TRANSITIONS).parquet(out)
 
 
 @query("fact_hourly_stream", sql("SELECT * FROM s_fact", "s_fact"))
 def q_fact_hourly_stream(spark, sf):
-    """Gold catch-up over silver in several size-capped micro-batches; partial hourly
-    rows of different batches are merged on read."""
+    """Gold catch-up over silver in several micro-batches; partial hourly rows of different
+    batches are merged on read."""
     silver = P.s_silver(spark, sf)
-    src_path = _stage(silver, spark, "silver_streams", files=4)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    src_path = _stage(silver.repartition(width), spark, "silver_streams")
     root, ckpt = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt", "gold")
     # The catalogue does not change while this job runs, so its latest version per
     # name is computed once and kept for the job's micro-batches (stream-static join).
     games = gold.dedupe_catalogue(P.s_games(spark, sf), order=P.CATALOGUE_ORDER).persist()
     try:
         q = jobs.gold_job(spark, src_path, games, root, ckpt, silver.schema,
-                          catalogue_order=P.CATALOGUE_ORDER, max_bytes_per_trigger=None, max_files_per_trigger=1)
+                          catalogue_order=P.CATALOGUE_ORDER, max_files_per_trigger=-(-width // 3))
         _drain(q)
     finally:
         games.unpersist()
+    drop_dir(spark, src_path)
     g = jobs.read_gold(spark, root)
     f = g["fact_stream_hourly"]
     return (f.join(g["dim_game"].select("game_id", "game_name"), "game_id")
@@ -110,17 +118,28 @@ def q_partition_pruned_scan(spark, sf):
     return J.on_date(t, d).select("stream_id", "ingestion_ts", "viewer_count", "year", "month", "day")
 
 
+SMALL_FILES = 8       # per day, before compaction
+
+
 @query("compaction_preserves", sql("""
-SELECT year, month, day, count(*) AS rows, sum(viewer_count) AS viewers FROM e_bronze GROUP BY year, month, day""",
+SELECT year, month, day, count(*) AS rows, sum(viewer_count) AS viewers, true AS fewer_files, 1 AS files_after
+FROM e_bronze GROUP BY year, month, day""",
     "e_bronze"))
 def q_compaction_preserves(spark, sf):
-    """Many small files per day → compact one month, then the rest → same rows per day."""
-    path = _stage(P.e_bronze(spark, sf), spark, "bronze_small_files", partition_by=("year", "month", "day"),
-                  files=16)
-    first = spark.read.parquet(path).agg(F.min("year").alias("y"), F.min("month").alias("m")).first()
-    args = J.maintenance_args("bronze", first["y"], first["m"])
-    J.compact(spark, path, partition_cols=("year", "month", "day"), year=args["year"], month=args["month"])
-    J.compact(spark, path, partition_cols=("year", "month", "day"))
-    t = spark.read.parquet(path)
-    return t.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("rows"),
-                                                 F.sum("viewer_count").alias("viewers"))
+    """Several small files per day → compact the first month, then the rest → same rows per day, and
+    as few files as the day's bytes need."""
+    cols = ("year", "month", "day")
+    salted = P.e_bronze(spark, sf).repartition(*cols, F.pmod(F.xxhash64("stream_id", "ingestion_ts"), F.lit(SMALL_FILES)))
+    path = _stage(salted.sortWithinPartitions(*cols), spark, "bronze_small_files", partition_by=cols)
+    before = J.files_per_partition(spark, path, cols).withColumnRenamed("files", "files_before")
+    before = materialize(before)               # counted before anything is rewritten
+    first = spark.read.parquet(path).agg(F.min(F.struct("year", "month")).alias("m")).first()["m"]
+    args = J.maintenance_args("bronze", first["year"], first["month"])
+    J.compact(spark, path, partition_cols=cols, year=args["year"], month=args["month"])
+    J.compact(spark, path, partition_cols=cols)
+    after = J.files_per_partition(spark, path, cols).withColumnRenamed("files", "files_after")
+    rows = spark.read.parquet(path).groupBy(*cols).agg(F.count(F.lit(1)).alias("rows"),
+                                                       F.sum("viewer_count").alias("viewers"))
+    return rows.join(before, list(cols)).join(after, list(cols)).select(
+        *cols, "rows", "viewers", (F.col("files_after") <= F.col("files_before")).alias("fewer_files"),
+        F.col("files_after").cast("int").alias("files_after"))

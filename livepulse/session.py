@@ -41,11 +41,18 @@ def scale_conf(input_bytes: int, executor_cores_total: int,
     }
 
 
-def build_session(master: str = "local[*]", app: str = "livepulse",
-                  shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "livepulse", shuffle_partitions: int | None = None,
+                  extra: dict | None = None, input_bytes: int | None = None, total_cores: int = 1) -> SparkSession:
+    """A session with the library's settings. ``input_bytes`` (with ``total_cores``) sizes
+    shuffles and splits by :func:`scale_conf`; ``shuffle_partitions`` sets their number outright;
+    without either Spark's own defaults hold. ``master`` None: as the launcher says."""
+    builder = SparkSession.builder.appName(app)
+    builder = builder.master(master) if master else builder
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes is not None:
+        conf.update(scale_conf(input_bytes, total_cores))
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -83,17 +90,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder this library made."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
+def ship_package(spark: SparkSession) -> None:
+    """Send the library to the executors, for sessions started without ``--py-files`` or
+    an installed package: functions that run in Python workers are loaded by module name."""
+    import shutil
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_dir(spark, "package") + "/livepulse.zip"      # shared: executors fetch it from there
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(os.path.join(folder, "livepulse"), "zip", os.path.dirname(root),
+                                      os.path.basename(root))
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        dest = path(target)
+        dest.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(path(f"file://{archive}"), dest)
+    spark.sparkContext.addPyFile(target)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -3,4 +3,4 @@
 from livepulse.sources.tables import (  # noqa: F401
     read_or_empty, read_table, register_views, table, write_append)
 from livepulse.sources.streams import (  # noqa: F401
-    append_stream, await_any, broker_stream, idempotent_batch_writer, table_stream, trigger_options)
+    append_stream, await_any, broker_stream, table_stream, trigger_options)

@@ -66,7 +66,9 @@ def test_gold_batch_replay_is_idempotent(spark):
                                     "total_rating double, total_rating_count int, first_release_date timestamp, "
                                     "themes array<string>, keywords array<string>, platforms array<string>")
     root = scratch_dir(spark, "test", "gold")
-    write = jobs.gold_batch_writer(cat, root)
+    ckpt = scratch_dir(spark, "test", "gold_ckpt")
+    spark.createDataFrame([('{"id":"q1"}',)], "value string").write.text(f"{ckpt}/metadata")
+    write = jobs.gold_batch_writer(cat, root, ckpt)
     write(batch, 0)
     write(batch, 1)
     write(batch, 1)          # replay of batch 1 after a failure

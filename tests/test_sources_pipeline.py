@@ -80,7 +80,8 @@ def test_pipeline_end_to_end(spark):
                          state_partitions=4).awaitTermination(300)
     from livepulse.operators.transitions import detect_transitions
     got = spark.read.schema(TRANSITIONS).parquet(tr)
-    exp = detect_transitions(b)
+    newest = b.agg(F.max("ingestion_ts")).first()[0]                 # polls of the last hour are still held
+    exp = detect_transitions(b).where(F.col("event_ts") <= F.lit(newest) - F.expr("INTERVAL 1 HOUR"))
     assert got.count() == exp.count() > 0
     assert got.exceptAll(exp.select(*got.columns)).count() == 0
 
@@ -100,3 +101,55 @@ def test_pipeline_end_to_end(spark):
             "count_observations"]
     assert g["fact_stream_hourly"].select(*cols).exceptAll(one_shot.select(*cols)).count() == 0
     assert g["fact_stream_hourly"].count() == one_shot.count()
+
+    # a fresh checkpoint on the same root would count every row again
+    with pytest.raises(ValueError, match="another query"):
+        jobs.gold_job(spark, silver, catalogue, gold_root, scratch_dir(spark, "test", "fresh"), s.schema)
+    # the same checkpoint goes on: nothing new, nothing twice
+    jobs.gold_job(spark, silver, catalogue, gold_root, gold_ckpt, s.schema).awaitTermination(300)
+    assert jobs.read_gold(spark, gold_root)["fact_stream_hourly"].agg(F.sum("count_observations")).first()[0] == \
+        one_shot.agg(F.sum("count_observations")).first()[0]
+
+
+def test_games_ingest_end_to_end(spark):
+    """Nested catalogue records: broker-shaped frame → bronze games → silver games."""
+    from livepulse.plans.q_bronze_silver import game_messages
+    from livepulse.schemas import BRONZE_GAMES
+    msgs, bronze, silver = (scratch_dir(spark, "test", x) for x in ("game_msgs", "bronze_games", "silver_games"))
+    game_messages(spark, SF).select("value", "timestamp").limit(500).write.parquet(msgs)
+    broker = spark.readStream.schema("value binary, timestamp timestamp").parquet(msgs)
+    jobs.bronze_games_job(broker, bronze, scratch_dir(spark, "test", "ckpt"), trigger="available_now").awaitTermination(300)
+    back = spark.read.schema(BRONZE_GAMES).parquet(bronze)
+    assert back.count() == 500 and back.where("igdb_data.platforms[0].platform_type.name like 'Type%'").count() > 0
+    jobs.silver_job(spark, "games", bronze, silver, scratch_dir(spark, "test", "ckpt"), trigger="available_now",
+                    fmt="parquet").awaitTermination(300)
+    assert spark.read.parquet(silver).where("size(platform_types) > 0").count() > 0
+
+
+def test_package_reaches_python_workers(tmp_path):
+    """A stateful query from another folder, the library known to the driver only."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    repo = Path(__file__).resolve().parent.parent
+    code = f"""
+import sys
+sys.path.insert(0, {str(repo)!r})
+from livepulse.session import build_session, scratch_dir, ship_package
+from livepulse.streaming.transitions import detect_transitions_stream
+spark = build_session("local-cluster[1,1,1024]", "ship", shuffle_partitions=1,
+                      extra={{"spark.checkpoint.dir": "file://{tmp_path}/shared"}})
+ship_package(spark)
+src = scratch_dir(spark, "src")
+spark.sql("SELECT 's' AS stream_id, 'u' AS user_name, concat('g', id) AS game_name, 't' AS title, id AS viewer_count, "
+          "timestamp'2024-01-01' + make_dt_interval(0, int(id)) AS ingestion_ts FROM range(6)").write.parquet(src)
+stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+q = (detect_transitions_stream(stream).writeStream.format("parquet").option("checkpointLocation", scratch_dir(spark, "c"))
+     .trigger(availableNow=True).start(scratch_dir(spark, "o")))
+q.awaitTermination()
+print("ERROR" if q.exception() else "SHIPPED")
+"""
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    env |= {"SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "SHIPPED" in done.stdout, done.stderr[-2000:]
