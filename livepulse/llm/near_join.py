@@ -12,9 +12,10 @@ at least ``threshold``, and the groups these links form.
    samples, 1 / ``sampling`` on average. Similar sets go on sharing sampled tokens level
    after level, others part. A bucket of one is dropped; a bucket of at most ``leaf`` is
    brute-forced by its sketches; a larger one is split again. Before that, its members are
-   compared with a leader drawn from it: those close to the leader are linked to it, and
-   those so close that any partner of theirs must be linked to it as well (triangle
-   inequality of the Jaccard distance) leave the recursion.
+   compared with a leader drawn from it: those near the leader are linked to it, and
+   those so close that any partner of theirs is near it as well (triangle inequality of the
+   Jaccard distance: 1 - J(leader, partner) is at most 1 - J(leader, member) + 0.2) leave the
+   recursion. A group of copies leaves at once, texts that share a passage go on.
 4. Independent runs are repeated until a pair at the threshold is found with
    probability ``target`` (the survival of a branching process gives the runs needed).
 5. Linked classes form coarse groups. In each, every pair is compared by its full n-gram
@@ -48,7 +49,8 @@ NODE = "node long, rep long"
 EDGE = "a long, b long"
 _MULTIPLIERS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 MAYBE = 0.60        # sketches that agree this far may belong to a linked pair
-CLOSE = 0.92        # ... this far: partners of the one are linked to the other
+NEAR = 0.50         # a member that agrees this far with its bucket's leader is linked to it
+CLOSE = 0.78        # ... this far: whatever links to the member agrees with the leader by NEAR, too
 
 
 def ngrams(raw: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -198,7 +200,7 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
         buckets = stored(level.groupBy("node").agg(
             F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "node")).alias("leader"))
             .filter("n > 1").withColumnRenamed("node", "_node"), "path-buckets")
-        inside = level.join(buckets, F.col("node") == F.col("_node"))
+        inside = stored(level.join(buckets, F.col("node") == F.col("_node")).drop("_node"), "path-inside")
         small = inside.filter(F.col("n") <= leaf).select("node", "rep") \
             .join(low, F.col("rep") == F.col("_rep")) \
             .groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("sketch").alias("sketches"))
@@ -210,8 +212,8 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
         lead = low.select(F.col("_rep").alias("_leader"), F.col("sketch").alias("lead"))
         large = stored(large.join(lead, F.col("leader") == F.col("_leader")).mapInArrow(_against_leader, LARGE),
                        "path-large")
-        edges.append(large.filter((F.col("agree") >= (MAYBE if d < depth else 0.0)) & (F.col("rep") != F.col("leader")))
-                     .select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct())
+        edges.append(large.filter((F.col("agree") >= (NEAR if d < depth else 0.0)) & (F.col("rep") != F.col("leader")))
+                     .select(F.col("leader").alias("a"), F.col("rep").alias("b")))
         if d < depth:     # the last level links what is left to its leader: the exact comparison decides
             level = stored(large.filter(F.col("agree") < CLOSE).select("node", "rep", "hi", "lo")
                            .mapInArrow(_next_level(below), NODE), "path-level")
@@ -298,7 +300,7 @@ def _verify(n: int, threshold: float):
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.999,
-                   sampling: float = 0.7, leaf: int = 48, depth: int = 8, block: int = 512,
+                   sampling: float = 0.7, leaf: int = 48, depth: int = 6, block: int = 512,
                    block_bytes: int = 16 << 20) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its linked group), copy_id (least doc_id
     with the same words), n_links (other texts at the threshold or above)."""
