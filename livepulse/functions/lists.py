@@ -19,10 +19,6 @@ def distinct_nested_names(array_of_structs: str, struct_field: str, field: str =
     return F.array_distinct(F.col(f"{array_of_structs}.{struct_field}.{field}"))
 
 
-def non_blank_elements(arr) -> Column:
-    return F.filter(_c(arr), lambda x: x.isNotNull() & (x != F.lit("")))
-
-
 def any_of(arr, values) -> Column:
     """True when the list shares at least one element with ``values``."""
     vals = list(values)

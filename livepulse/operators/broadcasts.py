@@ -101,9 +101,10 @@ def online_streams(streams: DataFrame, latest: DataFrame, key: str = "stream_id"
 
 def with_rolling_mean(streams: DataFrame, rows: int = 10, key: str = "stream_id",
                       ts: str = "ingestion_ts", value: str = "viewer_count",
-                      out: str = "avg_viewers_10") -> DataFrame:
-    """Mean of each stream's last ``rows`` polls (at least one), rounded half up, as int."""
-    r = rolling_mean_rows(streams, key, ts, value, rows, out="_rm")
+                      out: str = "avg_viewers_10", bucket_seconds: int = 86400) -> DataFrame:
+    """Mean of each stream's last ``rows`` polls (at least one), rounded half up, as int.
+    ``bucket_seconds`` is the unit one task sorts; make it smaller for denser polls."""
+    r = rolling_mean_rows(streams, key, ts, value, rows, bucket_seconds=bucket_seconds, out="_rm")
     return r.withColumn(out, F.round("_rm").cast("int")).drop("_rm")
 
 

@@ -65,7 +65,7 @@ def distinct_keys(df: DataFrame, key: str, out: str | None = None) -> DataFrame:
     return df.where(k.isNotNull() & (k.cast("string") != "")).select(k.alias(out or key)).distinct()
 
 
-# Nested fields requested from the metadata service, in request order.
+# Nested fields requested from the metadata service, in request order.
 METADATA_FIELDS = [
     "id", "summary", "total_rating", "total_rating_count", "first_release_date", "storyline",
     "themes.name", "player_perspectives.name", "keywords.name", "game_modes.name",

@@ -36,8 +36,8 @@ def previous_row(df: DataFrame, key: str, ts: str, fields: Sequence[str],
     b = b.withColumn("_rn", F.row_number().over(w))
     b = b.withColumns({f"_lag_{c}": F.lag(c).over(w) for c in carried})
 
-    # per-bucket summary straight from the windowed rows (no second scan): the
-    # last row of each bucket is the one without a successor
+    # per-bucket summary from the windowed rows: the last row of each bucket is the one
+    # without a successor (this branch reads the pruned input a second time)
     b = b.withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
     last = b.where("_is_last").select(key, BUCKET, F.struct(*[F.col(c).alias(c) for c in carried]).alias("_last"))
     wb = Window.partitionBy(key).orderBy(BUCKET)
@@ -96,19 +96,3 @@ def rolling_mean_rows(df: DataFrame, key: str, ts: str, value: str, rows: int =
     return (both.withColumn(out, F.avg("_v").over(wg.rowsBetween(-k, 0)))
             .where(F.col("_real") == 1)
             .select(*cols, out))
-
-
-def exact_index(df: DataFrame, key: str, ts: str, tiebreak: Sequence[str] = (),
-                bucket_seconds: int = 86400, out: str = "seq") -> DataFrame:
-    """1-based position of each row within its key in (ts, *tiebreak) order."""
-    order = [F.col(ts), *[F.col(c) for c in tiebreak]]
-    b = with_bucket(df, ts, bucket_seconds)
-    w = Window.partitionBy(key, BUCKET).orderBy(*order)
-    b = b.withColumn("_rn", F.row_number().over(w))
-    per_bucket = b.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("_cnt"))
-    wb = Window.partitionBy(key).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(key, BUCKET, F.coalesce(F.sum("_cnt").over(wb), F.lit(0)).alias("_off"))
-    return (b.join(offsets, [key, BUCKET], "left")
-            .withColumn(out, F.col("_off") + F.col("_rn"))
-            .drop("_rn", "_off", BUCKET))
-

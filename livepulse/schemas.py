@@ -1,4 +1,7 @@
-"""Explicit schemas of every table in the pipeline (no inference on data paths)."""
+"""Explicit schemas of every table in the pipeline (no inference on data paths).
+
+Fixed values: field names and types of the wire records and tables must match the feeds.
+"""
 
 from __future__ import annotations
 
