@@ -49,8 +49,8 @@ NODE = "node long, rep long"
 EDGE = "a long, b long"
 _MULTIPLIERS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 MAYBE = 0.60        # sketches that agree this far may belong to a linked pair
-NEAR = 0.50         # a member that agrees this far with its bucket's leader is linked to it
-CLOSE = 0.78        # ... this far: whatever links to the member agrees with the leader by NEAR, too
+NEAR = 0.42         # a member that agrees this far with its bucket's leader is linked to it
+CLOSE = 0.70        # ... this far: whatever links to the member agrees with the leader by NEAR, too
 
 
 def ngrams(raw: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -204,7 +204,7 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
         small = inside.filter(F.col("n") <= leaf).select("node", "rep") \
             .join(low, F.col("rep") == F.col("_rep")) \
             .groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("sketch").alias("sketches"))
-        edges.append(stored(small.select("reps", "sketches").mapInArrow(_leaf_edges, EDGE).distinct(), "path-edges"))
+        edges.append(stored(small.select("reps", "sketches").mapInArrow(_leaf_edges, EDGE), "path-edges"))
         if buckets.filter(F.col("n") > leaf).isEmpty():
             break
         large = inside.filter(F.col("n") > leaf).select("node", "rep", "leader") \
@@ -300,7 +300,7 @@ def _verify(n: int, threshold: float):
 
 
 def jaccard_groups(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.999,
-                   sampling: float = 0.7, leaf: int = 48, depth: int = 6, block: int = 512,
+                   sampling: float = 0.7, leaf: int = 1024, depth: int = 6, block: int = 512,
                    block_bytes: int = 16 << 20) -> DataFrame:
     """Per row: doc_id, class_id (least doc_id of its linked group), copy_id (least doc_id
     with the same words), n_links (other texts at the threshold or above)."""
