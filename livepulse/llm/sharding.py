@@ -5,12 +5,16 @@ largest first, and each enters the shard whose remaining capacity is the tightes
 holds it; a balanced tree (a treap on (remaining, shard)) finds that shard, and a group
 that fits nowhere opens one. With a fixed ``capacity`` this minimises the number of
 shards; with a fixed number of ``shards`` the least capacity is searched for which
-best-fit-decreasing needs no more shards, so their sizes come out nearly equal.
+best-fit-decreasing needs no more shards, so their sizes come out nearly equal. A group
+above the share of the shards that are left gets a shard of its own first, and the others
+are levelled over the rest; where they are few and large, so that best fit leaves some
+shards emptier than others, they go largest first to the emptiest shard if that is nearer
+to equal.
 
 What grows with the data runs in Spark: group sizes, the range sort by size, and the
 places. The packing itself sees a bounded list: a group of at least a ``grain`` (a
-shard's share / ``grains``) is an item of its own, and there are at most
-``grains`` of these per shard; smaller groups, neighbours in the sorted order, form an
+shard's share / ``grains``, without the groups that have a shard of their own) is an item of
+its own, and there are at most ``grains`` of these per shard; smaller groups, neighbours in the sorted order, form an
 item of about one grain. Shards beyond ``cell_shards`` are dealt into cells by a hash of
 the group, and each cell is packed in its own task.
 
@@ -22,6 +26,7 @@ other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
 from collections.abc import Iterator
@@ -95,19 +100,55 @@ def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None
     return out
 
 
+def own_shards(sizes: list[int], total: int, shards: int) -> tuple[int, int]:
+    """How many of the largest groups get a shard of their own, since each is above the share of
+    the shards still left; and the bytes of all others."""
+    alone = 0
+    while alone < len(sizes) and sizes[alone] * (shards - alone) > total:
+        total -= sizes[alone]
+        alone += 1
+    return alone, total
+
+
+def emptiest_first(sizes: list[int], shards: int) -> list[int]:
+    """Each item (``sizes`` in descending order) into the shard that holds least."""
+    heap, out = [(0, s) for s in range(shards)], []
+    for size in sizes:
+        filled, shard = heap[0]
+        heapq.heapreplace(heap, (filled + size, shard))
+        out.append(shard)
+    return out
+
+
+def spread(sizes: list[int], packed: list[int], shards: int) -> int:
+    """Bytes between the fullest and the emptiest of all ``shards``, used or not."""
+    filled = [0] * shards
+    for size, shard in zip(sizes, packed):
+        filled[shard] += size
+    return max(filled) - min(filled)
+
+
 def level_fit(sizes: list[int], shards: int) -> list[int]:
-    """Best-fit-decreasing at the least capacity that needs at most ``shards`` shards."""
-    low = max([*sizes[:1], -(-sum(sizes) // shards), 1])
-    best, at = best_fit_decreasing(sizes, low, shards), low
+    """Groups above a share alone; the others by best-fit-decreasing at the least capacity
+    that needs at most the ``shards`` left, or to the emptiest where that leaves them unequal."""
+    alone, total = own_shards(sizes, sum(sizes), shards)
+    rest, left = sizes[alone:], shards - alone
+    if not rest:
+        return list(range(alone))
+    low = max(rest[0], -(-total // left), 1)
+    best, at = best_fit_decreasing(rest, low, left), low
     step = 1
     while best is None:                       # a capacity that does, then bisection down to it
         at = low + step
-        best, step = best_fit_decreasing(sizes, at, shards), step * 4
+        best, step = best_fit_decreasing(rest, at, left), step * 4
     while at - low > max(1, low // 100_000):
         mid = (low + at) // 2
-        got = best_fit_decreasing(sizes, mid, shards)
+        got = best_fit_decreasing(rest, mid, left)
         low, at, best = (mid, at, best) if got is None else (low, mid, got)
-    return best
+    if (uneven := spread(rest, best, left)) * left * 100 > total:       # over a hundredth of a share
+        other = emptiest_first(rest, left)
+        best = other if spread(rest, other, left) < uneven else best
+    return [*range(alone), *(alone + shard for shard in best)]
 
 
 def shard_rows(docs: DataFrame) -> DataFrame:
@@ -127,7 +168,12 @@ def assign_shards(docs: DataFrame, shards: int | None = None, capacity: int | No
     groups = stored(rows.groupBy("grp").agg(F.sum("size").alias("bytes")), "shard-groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     cells = 1 if shards else max(1, math.ceil(total / (capacity * cell_shards)))
-    grain = max(1, total // (shards * grains) if shards else capacity // grains)
+    if shards:
+        largest = [r["bytes"] for r in groups.orderBy(F.desc("bytes")).limit(shards).select("bytes").collect()]
+        alone, others = own_shards(largest, total, shards)
+        grain = max(1, others // (max(1, shards - alone) * grains))
+    else:
+        grain = max(1, capacity // grains)
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Number the items of a sorted range; nothing has to be known of other ranges."""

@@ -168,6 +168,39 @@ def test_shards_of_nearly_equal_bytes(docs_of):
     assert set(sizes) == set(range(8)) and max(sizes.values()) <= 1.01 * min(sizes.values()) + 20
 
 
+def near_equal(sizes, shards):
+    filled = collections.Counter()
+    for s, b in zip(sizes, sharding.level_fit(sizes, shards)):
+        filled[b] += s
+    return sorted((filled[b] for b in range(shards)), reverse=True)
+
+
+def test_groups_above_a_share_get_their_own_shard():
+    small = [100] * 4000
+    for third in ([200_000], [100_000], [250_000, 90_000], [10_000_000, 300_000, 100_000]):
+        got = near_equal([*third, *small], 8)
+        assert got[:len(third)] == third and got[len(third)] <= 1.01 * got[-1] + 100
+    assert near_equal([5, 4, 3], 8) == [5, 4, 3, 0, 0, 0, 0, 0] and near_equal([], 8) == [0] * 8
+    assert near_equal([75] * 4, 3) == [150, 75, 75] and near_equal([3] * 7, 3) == [9, 6, 6]
+
+
+def test_shards_with_a_third_of_the_bytes_in_one_group(docs_of):
+    rows = [(i, t) for i, t in enumerate(make_texts(8, 800))]
+    hot = "hot copy of a text " * 10
+    copies = sum(len(t) for _, t in rows) // (2 * len(hot))
+    rows += [(9000 + i, hot) for i in range(copies)]
+    sizes = check_shards(rows, sharding.assign_shards(docs_of(rows), shards=8).collect())
+    filled = sorted(sizes.values())
+    assert set(sizes) == set(range(8)) and filled[-1] == copies * (len(hot) + 1) and filled[-2] <= 1.01 * filled[0] + 20
+
+
+def test_small_groups_beside_a_huge_one_stay_level(docs_of):
+    rows = [(i, t) for i, t in enumerate(make_texts(11, 700))] + [(9000, "x" * 30_000_000)]
+    sizes = check_shards(rows, sharding.assign_shards(docs_of(rows), shards=8, grains=512).collect())
+    filled = sorted(sizes.values())
+    assert len(filled) == 8 and filled[-2] <= 1.02 * filled[0]
+
+
 def test_shards_of_fixed_capacity(docs_of):
     rows = [(i, t) for i, t in enumerate(make_texts(9, 400))] + AWKWARD
     got = sharding.assign_shards(docs_of(rows), capacity=4000, cell_shards=4).collect()
