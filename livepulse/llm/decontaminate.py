@@ -1,20 +1,26 @@
 """Operator 2, benchmark decontamination: q-gram lemma filtering.
 
-Benchmark items are cut into overlapping windows of ``window`` characters. A window of
-m characters that occurs in a text with at most k edits shares at least
+An item leaks where any ``window`` characters of it (all of it, if it is shorter), beginning
+at any place, occur in a text with at most k = ``rate`` * window edits. So the shortest
+excerpt that is always found is one of ``window`` characters: 72, about 13 words, with up to
+3 edits. A window of m characters that occurs in a text with at most k edits shares at least
 m - q + 1 - q*k of its q-grams with the text, on diagonals (text position minus item
-position) that differ by at most k. So shared q-grams are counted in diagonal bands of
+position) that differ by at most k. So shared q-grams are put in diagonal bands of
 width 2(k + 1) that begin every k + 1 diagonals (any k + 1 neighbouring diagonals lie in
-one of them), bands that reach the bound are kept as regions, and a banded alignment of
-window and region decides. Nothing is sampled, and every text is read to its end.
+one of them), and every window that holds enough of a band's q-grams is a candidate. Runs
+of q-grams on one diagonal are compared character by character, which settles the windows
+in them; a banded alignment of window and text decides the others. Nothing is sampled, and
+every text is read to its end.
 
 Texts are compared lower-cased, each run of white space as one space. The q-gram index
 of the benchmark goes to the tasks in blocks of at most ``block_chars`` characters; a
 larger benchmark takes several passes, one per block. Documents are never shuffled.
 
-Defined cases: null or blank texts match nothing; null, blank or very short items (less
-than ``2 * q`` characters: no evidence of a leak) match nothing; an item that is
-there several times is reported under each of its ids; repeated documents are reported
+Defined cases: null or blank texts match nothing; null or blank items match nothing; items
+of less than ``2 * q`` characters are found where they stand exactly, and those of less than
+``q`` only as whole words (in scripts written with spaces): such an item is little
+evidence, and one that is a common word is found in every text that holds it. An item that
+is there several times is reported under each of its ids; repeated documents are reported
 row by row; an empty table gives an empty result; other columns are kept by
 ``drop_contaminated`` and ignored by ``find_leaks``.
 """
@@ -35,6 +41,9 @@ from .common import batch_of, mix, text_blocks
 SPACES = [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 LEAK = "doc_id long, item_id long, first_char long, end_char long, windows int, edits int"
 FILTER_BITS = 22
+#: Windows aligned at once (bounds the numpy temporaries); the first code point
+#: of the scripts written without spaces between words.
+ALIGNED, UNSPACED = 1 << 14, 0x0E00
 
 
 def normalised(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -84,23 +93,16 @@ class Index:
     start: np.ndarray         # of each item in ``text``
     size: np.ndarray
     window: int
-    step: int
+    short: list               # items under q characters: (length, their hashes sorted, their items)
 
-    def windows_of(self, item: np.ndarray) -> np.ndarray:
-        """Windows per item: one each ``step``, the last flush with the end."""
-        return 1 + -(-np.maximum(self.size[item] - self.window, 0) // self.step)
 
-    def window_start(self, item: np.ndarray, w: np.ndarray) -> np.ndarray:
-        return np.minimum(w * self.step, np.maximum(self.size[item] - self.window, 0))
-
-
-def build_index(items: list[tuple[int, str]], q: int, window: int, step: int, rate: float) -> Index:
+def build_index(items: list[tuple[int, str]], q: int, window: int, rate: float) -> Index:
     points, ids = [], []
     for item_id, text in items:
         p, _ = normalised([text or ""])
         p = p[:-1]
         p = p[(1 if len(p) and p[0] == 32 else 0):(len(p) - 1 if len(p) and p[-1] == 32 else len(p))]
-        if len(p) >= 2 * q:
+        if len(p):
             points.append(p)
             ids.append(item_id)
     size = np.array([len(p) for p in points], np.int64)
@@ -111,10 +113,17 @@ def build_index(items: list[tuple[int, str]], q: int, window: int, step: int, ra
     place = np.concatenate([np.arange(len(x)) for x in g]) if g else np.zeros(0, np.int64)
     order = np.argsort(key, kind="stable")
     keys, first = np.unique(key[order], return_index=True)
+    short = []
+    for length in range(1, q):
+        few = np.flatnonzero(size == length)
+        if len(few):
+            h = np.concatenate([grams(points[x], length) for x in few])
+            by = np.argsort(h, kind="stable")
+            short.append((length, h[by], few[by]))
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[keys >> np.uint64(64 - FILTER_BITS)] = True
     return Index(q, int(rate * window), keys, np.append(first, len(key)), item[order], place[order], seen, np.array(ids, object),
-                 np.concatenate(points) if points else np.zeros(0, np.uint64), start, size, window, step)
+                 np.concatenate(points) if points else np.zeros(0, np.uint64), start, size, window, short)
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +154,58 @@ def _align(index: Index, points: np.ndarray, item: np.ndarray, lo: np.ndarray, s
     return best // one, at + best % one, at + size + tail
 
 
+def _equal(index: Index, points: np.ndarray, item: np.ndarray, lo: np.ndarray, at: np.ndarray,
+           size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` characters of each item from ``lo`` on stand at ``at``."""
+    i, nth = _spread(size)
+    differ = index.text[(index.start[item] + lo)[i] + nth] != points[at[i] + nth]
+    return np.bincount(i[differ], minlength=len(size)) == 0
+
+
+def _exact_windows(index: Index, points: np.ndarray, pair: np.ndarray, item: np.ndarray, place: np.ndarray,
+                   text_at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows that stand in a text without edits, from runs of shared q-grams on one diagonal:
+    (row of the run's first q-gram, first character in the item, in the text)."""
+    q, diagonal = index.q, text_at - place
+    order = np.lexsort((place, diagonal, pair))
+    p, d, at = pair[order], diagonal[order], place[order]
+    head = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (d[1:] != d[:-1]) | (at[1:] != at[:-1] + 1)])
+                          if len(order) else np.zeros(0, bool))
+    run = np.diff(np.append(head, len(order)))
+    row = order[head]
+    held = run - size[item[row]] + q
+    row, run, held = row[held > 0], run[held > 0], held[held > 0]
+    same = _equal(index, points, item[row], place[row], text_at[row], run + q - 1)
+    i, nth = _spread(held[same])
+    row = row[same][i]
+    return row, place[row] + nth, text_at[row] + nth
+
+
+def _short_items(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items under q characters that stand in the text as whole words: (item, first character)."""
+    items, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for length, keys, item in index.short:
+        g = grams(points, length)
+        lo, hi = np.searchsorted(keys, g), np.searchsorted(keys, g, "right")
+        hit = np.flatnonzero(hi > lo)
+        i, nth = _spread((hi - lo)[hit])
+        at, it = hit[i], item[lo[hit][i] + nth]
+        same = _equal(index, points, it, np.zeros_like(it), at, np.full(len(at), length))
+        at, it = at[same], it[same]
+        before = np.where(at > 0, points[at - 1], 0)
+        joined = _in_a_word(before, points[at]) | _in_a_word(points[at + length - 1], points[at + length])
+        items.append(it[~joined])
+        places.append(at[~joined])
+    return np.concatenate(items), np.concatenate(places)
+
+
+def _in_a_word(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether no word ends between these two characters."""
+    kinds, back = np.unique(np.concatenate([left, right]), return_inverse=True)
+    inside = np.array([c < UNSPACED and chr(c).isalnum() for c in kinds.tolist()], bool)[back]
+    return inside[:len(left)] & inside[len(left):]
+
+
 def find_in_block(index: Index, texts: list[str]) -> dict[str, np.ndarray]:
     """Verified leaks in a block of texts: doc (place in the block), item, first and end
     character, windows, edits. One row per (doc, item)."""
@@ -162,71 +223,86 @@ def find_in_block(index: Index, texts: list[str]) -> dict[str, np.ndarray]:
     text_at, post = hit[i], index.first[slot[i]] + nth
     item, place = index.item[post], index.place[post]
     doc = np.searchsorted(ends, text_at)
-    least = np.minimum(index.size, index.window) - q + 1 - q * np.minimum(k, (np.minimum(index.size, index.window) - q) // q)
+    size = np.minimum(index.size, index.window)              # of a window of each item
+    most = np.minimum(k, (size - q) // q)                    # edits
+    least = size - q + 1 - q * most
     # a pair of document and item needs as many shared q-grams in all
-    pair = doc * len(index.ids) + item
-    _, back, n = np.unique(pair, return_inverse=True, return_counts=True)
-    enough = n[back] >= least[item]
-    text_at, item, place, doc = text_at[enough], item[enough], place[enough], doc[enough]
-    # each shared q-gram counts in the windows that hold it, and in two bands of each
-    i, w = _spread(index.windows_of(item))
-    lo = index.window_start(item[i], w)
-    size = np.minimum(index.size[item[i]], index.window)
-    held = (place[i] >= lo) & (place[i] + q <= lo + size)
-    i, w, lo, size = i[held], w[held], lo[held], size[held]
-    shift = (text_at - begin[doc])[i] - place[i] + int(index.size.max(initial=0))     # never negative
-    band = shift // (k + 1)
-    i, w, lo, size, place_in = (np.concatenate([x, x]) for x in (i, w, lo, size, place[i] - lo))
-    band = np.concatenate([band, band - 1])
-    row = np.stack([doc[i], item[i], w, band, place_in])
-    row = np.unique(row, axis=1)                             # a q-gram of the window counts once
-    change = np.flatnonzero(np.concatenate([[True], (row[:4, 1:] != row[:4, :-1]).any(0)])) if row.shape[1] else \
-        np.zeros(0, np.int64)
-    counts = np.diff(np.append(change, row.shape[1]))
-    region = row[:4, change][:, counts >= least[row[1, change]]] if len(change) else row[:4, :0]
-    doc, item, w, band = region
-    empty = {c: np.zeros(0, np.int64) for c in ("doc", "item", "first", "end", "windows", "edits")}
+    _, pair, n = np.unique(doc * len(index.ids) + item, return_inverse=True, return_counts=True)
+    enough = n[pair] >= least[item]
+    text_at, item, place, doc, pair = (x[enough] for x in (text_at, item, place, doc, pair))
+    row, exact_lo, exact_at = _exact_windows(index, points, pair, item, place, text_at, size)
+    exact = [doc[row], item[row], exact_lo, exact_at, exact_at + size[item[row]], np.zeros(len(row), np.int64)]
+    # each shared q-gram counts in two bands, once in each
+    longest = int(index.size.max(initial=0))
+    shift = text_at - begin[doc] - place + longest           # never negative
+    top = (len(points) + longest) // (k + 1) + 2
+    band = shift // (k + 1) + 1
+    exact_group = pair[row] * top + band[row]
+    group, place, item, doc = (np.concatenate(x) for x in ((pair * top + band, pair * top + band - 1), (place, place),
+                                                           (item, item), (doc, doc)))
+    order = np.lexsort((place, group))
+    group, place, item, doc = (x[order] for x in (group, place, item, doc))
+    once = np.concatenate([[True], (group[1:] != group[:-1]) | (place[1:] != place[:-1])]) if len(group) else \
+        np.zeros(0, bool)
+    group, place, item, doc = (x[once] for x in (group, place, item, doc))
+    # from each q-gram to the one that makes enough: the windows that hold both, each begun once
+    far = np.arange(len(group)) + least[item] - 1
+    last = np.minimum(far, len(group) - 1)
+    near = (far < len(group)) & (group[last] == group) & (place[last] - place <= size[item] - q)
+    group, item, doc, low, high = (x[near] for x in (group, item, doc, np.maximum(0, place[last] + q - size[item]),
+                                                     np.minimum(place, index.size[item] - size[item])))
+    if len(group):
+        low[1:] = np.where(group[1:] == group[:-1], np.maximum(low[1:], high[:-1] + 1), low[1:])
+    i, nth = _spread(np.maximum(0, high - low + 1))
+    group, item, doc, lo = group[i], item[i], doc[i], low[i] + nth
+    # windows in a band that holds them without edits are settled
+    groups = np.unique(group)
+    settled = np.concatenate([np.searchsorted(groups, exact_group - b) * (longest + 1) + exact_lo for b in (0, 1)])
+    known = np.concatenate([np.isin(exact_group - b, groups) for b in (0, 1)])
+    todo = ~np.isin(np.searchsorted(groups, group) * (longest + 1) + lo, settled[known])
+    group, item, doc, lo = (x[todo] for x in (group, item, doc, lo))
+    at = begin[doc] + lo + (group % top - 1) * (k + 1) - longest - k
+    found = [exact]
+    for b in range(0, len(at), ALIGNED):
+        part = slice(b, b + ALIGNED)
+        edits, start, stop = _align(index, points, item[part], lo[part], size[item[part]], at[part], 2 * (k + 1) + 2 * k)
+        good = edits <= most[item[part]]
+        found.append([x[good] for x in (doc[part], item[part], lo[part], start, stop, edits)])
+    item, at = _short_items(index, points)
+    found.append([np.searchsorted(ends, at), item, np.zeros_like(at), at, at + index.size[item], np.zeros_like(at)])
+    doc, item, lo, start, stop, edits = (np.concatenate(x) for x in zip(*found))
     if not len(doc):
-        return empty
-    lo = index.window_start(item, w)
-    size = np.minimum(index.size[item], index.window)
-    at = begin[doc] + lo + band * (k + 1) - int(index.size.max()) - k
-    width = 2 * (k + 1) + 2 * k
-    edits, start, stop = _align(index, points, item, lo, size, at, width)
-    good = edits <= np.minimum(k, (size - q) // q)
-    if not good.any():
-        return empty
-    doc, item, w, start, stop, edits = (x[good] for x in (doc, item, w, start, stop, edits))
-    order = np.lexsort((item, doc))
-    doc, item, w, start, stop, edits = (x[order] for x in (doc, item, w, start, stop, edits))
-    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]))
+        return {c: np.zeros(0, np.int64) for c in ("doc", "item", "first", "end", "windows", "edits")}
+    order = np.lexsort((lo, item, doc))
+    doc, item, lo, start, stop, edits = (x[order] for x in (doc, item, lo, start, stop, edits))
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
+    head = np.flatnonzero(new)
     first = np.maximum(np.minimum.reduceat(start, head), begin[doc[head]])
     end = np.minimum(np.maximum.reduceat(stop, head), ends[doc[head]])
     base = origin[begin[doc[head]]]
-    spans = np.unique(np.stack([doc, item, w]), axis=1)
-    _, windows = np.unique(spans[:2], axis=1, return_counts=True)
+    windows = np.add.reduceat((new | np.concatenate([[True], lo[1:] != lo[:-1]])).astype(np.int64), head)
     return {"doc": doc[head], "item": item[head], "first": origin[first] - base, "end": origin[end - 1] + 1 - base,
             "windows": windows, "edits": np.minimum.reduceat(edits, head)}
 
 
-def _indexes(benchmark: DataFrame, q: int, window: int, step: int, rate: float, block_chars: int) -> Iterator[Index]:
+def _indexes(benchmark: DataFrame, q: int, window: int, rate: float, block_chars: int) -> Iterator[Index]:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
     for b in range(blocks):       # each block is bounded: block_chars, or one item where that is longer
         part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        yield build_index([(r["item_id"], r["text"]) for r in part.toLocalIterator()], q, window, step, rate)
+        yield build_index([(r["item_id"], r["text"]) for r in part.toLocalIterator()], q, window, rate)
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = 12, window: int = 96, step: int = 48,
+def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = 12, window: int = 72,
                rate: float = 0.05, block_chars: int = 16 << 20) -> DataFrame:
     """One row per document and benchmark item found in it: doc_id, item_id, first_char and
     end_char (span in the lower-cased text), windows (found) and edits (fewest of a window)."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
-    for index in _indexes(benchmark, q, window, step, rate, block_chars):
+    for index in _indexes(benchmark, q, window, rate, block_chars):
         shared = spark.sparkContext.broadcast(index)
 
         def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -243,11 +319,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, q: int = 12, window: int =
     return out
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = 12, window: int = 96, step: int = 48,
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, q: int = 12, window: int = 72,
                       rate: float = 0.05, block_chars: int = 16 << 20) -> DataFrame:
     """The documents no benchmark item is found in, all columns as they were."""
     spark = docs.sparkSession
-    for index in _indexes(benchmark, q, window, step, rate, block_chars):
+    for index in _indexes(benchmark, q, window, rate, block_chars):
         shared = spark.sparkContext.broadcast(index)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -49,6 +49,61 @@ def test_part_of_an_item_is_a_leak(spark, docs_of):
     assert {r.doc_id for r in decontaminate.find_leaks(docs_of(rows), bench_of(spark, [(1, item)])).collect()} == {1}
 
 
+def leaks_in(items, texts):
+    index = decontaminate.build_index(list(enumerate(items)), 12, 72, 0.05)
+    got = decontaminate.find_in_block(index, texts)
+    return {(d, index.ids[i]): (f, e, w, n) for d, i, f, e, w, n in zip(*(got[c].tolist() for c in ("doc", "item", "first", "end", "windows", "edits")))}
+
+
+def test_an_excerpt_of_72_characters_is_found_wherever_it_begins():
+    item = " ".join(" ".join(make_texts(23, 8, 40)).split())[:400]
+    for edits in (0, 3):
+        texts = []
+        for at in range(len(item) - 71):
+            piece = list(item[at:at + 72])
+            for e in range(edits):
+                piece[20 + 16 * e] = "#"
+            texts.append("%%%%%%%%" + "".join(piece).strip() + "%%%%%%%%")
+        whole = [t for t, x in enumerate(texts) if len(x) == 88]
+        got = leaks_in([item], texts)
+        assert {(t, 0) for t in whole} <= set(got) and all(got[t, 0][3] == edits for t in whole if edits == 0)
+
+
+def test_windows_equal_brute_force():
+    def fewest(window, text):                                # edits of the window at the best place of the text
+        row = [0] * (len(text) + 1)
+        for i, c in enumerate(window, 1):
+            new = [i]
+            for j, d in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return min(row)
+
+    rnd, item = random.Random(5), " ".join(make_texts(26, 6, 30))[:140].strip()
+    texts = []
+    for n in range(14):
+        t = list(item[n * 3:n * 3 + 60 + n * 2])
+        for _ in range(n % 5):
+            at = rnd.randrange(len(t))
+            t[at:at + 1] = rnd.choice([["#"], [], [t[at], "#"]])
+        texts.append("%% " + "".join(t).strip() + " %%")
+    got = leaks_in([item], texts)
+    for n, t in enumerate(texts):
+        edits = [fewest(item[lo:lo + 72], t) for lo in range(len(item) - 71)]
+        assert (got[n, 0][2:] if (n, 0) in got else None) == ((sum(e <= 3 for e in edits), min(edits)) if min(edits) <= 3 else None)
+
+
+def test_a_replaced_word_in_every_96_characters_and_short_items():
+    item = " ".join(" ".join(make_texts(27, 20, 40)).split())[:600]
+    copied = list(item)
+    for at in range(40, 600, 90):
+        copied[at:at + 7] = "#######"
+    assert (0, 0) in leaks_in([item], ["x " + "".join(copied) + " y"])
+    items = ["one two three", "Yes it is", "hi", "", None, "42"]
+    got = leaks_in(items, ["say one  TWO three now", "yes it\nis so", "this hill", "hi", "4242 42nd", "", "a (42)", "once two three"])
+    assert set(got) == {(0, 0), (1, 1), (3, 2), (6, 5)} and got[0, 0][:2] == (4, 18) and got[6, 5][:2] == (3, 5)
+
+
 def test_blocks_of_the_benchmark_and_filter(spark, docs_of):
     items = [t for t in make_texts(24, 30, 60) if len(t) > 120]
     rows = [(i, "x y z " + t + " u v w") for i, t in enumerate(items)] + [(100 + i, t) for i, t in enumerate(make_texts(25, 40))]
