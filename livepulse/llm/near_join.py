@@ -299,11 +299,11 @@ def _verify(n: int, threshold: float):
     return run
 
 
-def jaccard_groups(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.999,
-                   sampling: float = 0.7, leaf: int = 1024, depth: int = 6, block: int = 512,
-                   block_bytes: int = 16 << 20) -> DataFrame:
-    """Per row: doc_id, class_id (least doc_id of its linked group), copy_id (least doc_id
-    with the same words), n_links (other texts at the threshold or above)."""
+def _named_rows(docs: DataFrame, n: int = 5, threshold: float = 0.8, target: float = 0.999,
+                sampling: float = 0.7, leaf: int = 1024, depth: int = 6, block: int = 512,
+                block_bytes: int = 16 << 20) -> DataFrame:
+    """Per row: doc_id and class keys k1, k2; the columns of jaccard_groups; and the class of its
+    group that stays (stay_k1, stay_k2: of those that hold the least doc_id)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
     rows = stored(texts.mapInArrow(_rows(n), ROW), "join-rows")
@@ -327,20 +327,58 @@ def jaccard_groups(docs: DataFrame, n: int = 5, threshold: float = 0.8, target:
     labels = stored(least_labels(links.select(F.col("rep").alias("a"), F.col("root").alias("b")), "join-groups"),
                     "join-labels")
     count = links.groupBy("rep").agg(F.sum("links").cast("long").alias("n_links")).withColumnRenamed("rep", "_counted")
-    linked = labels.join(classes.select("rep", "copy_id"), F.col("id") == F.col("rep"))
-    least = linked.groupBy("label").agg(F.min("copy_id").alias("class_id")).withColumnRenamed("label", "_label")
+    linked = labels.join(classes.select("rep", "copy_id", "k1", "k2"), F.col("id") == F.col("rep"))
+    least = linked.groupBy("label").agg(F.min(F.struct("copy_id", "k1", "k2")).alias("_least")).select(
+        F.col("label").alias("_label"), F.col("_least.copy_id").alias("class_id"),
+        F.col("_least.k1").alias("stay_k1"), F.col("_least.k2").alias("stay_k2"))
     named = classes.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "rep", "copy_id") \
         .join(labels, F.col("rep") == F.col("id"), "left").join(least, F.col("label") == F.col("_label"), "left") \
         .join(count, F.col("rep") == F.col("_counted"), "left") \
-        .select("_k1", "_k2", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), "n_links")
+        .select("_k1", "_k2", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), "n_links",
+                F.coalesce("stay_k1", "_k1").alias("stay_k1"), F.coalesce("stay_k2", "_k2").alias("stay_k2"))
     # a null doc_id joins nothing
     keyed = rows.select("doc_id", "k1", F.when(F.col("doc_id").isNotNull(), F.col("k2")).alias("k2"))
     return keyed.join(named, (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left").select(
-        "doc_id", "class_id", "copy_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "doc_id", "k1", "k2", "class_id", "copy_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "stay_k1", "stay_k2")
+
+
+def jaccard_groups(docs: DataFrame, **options) -> DataFrame:
+    """Per row: doc_id, class_id (least doc_id of its linked group), copy_id (least doc_id
+    with the same words), n_links (other texts at the threshold or above). Options: see _named_rows."""
+    return _named_rows(docs, **options).select("doc_id", "class_id", "copy_id", "n_links")
+
+
+def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, raw, off in text_blocks(batches):
+        _, _, k1, k2 = ngrams(raw, off, 1)
+        yield pa.RecordBatch.from_arrays([part.column("_row"), part.column("_doc"), pa.array(k1), pa.array(k2)],
+                                         names=["_row", "_doc", "_k1", "_k2"])
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the rows of the least doc_id of each group, all columns as they were; rows
-    with a null doc_id stay."""
-    lost = jaccard_groups(docs, **options).filter("class_id != doc_id").select(F.col("doc_id").alias("_lost")).distinct()
-    return docs.join(lost, docs["doc_id"].cast("long") == F.col("_lost"), "left_anti")
+    """``docs`` with one row of each group, all columns as they were: one with the least doc_id
+    (where several texts or rows carry it, any one of those in the group); rows with a null
+    doc_id stay."""
+    rows = stored(_named_rows(docs, **options).filter("doc_id is not null").select(
+        F.col("doc_id").alias("_id"), F.col("k1").alias("_a"), F.col("k2").alias("_b"),
+        ((F.col("doc_id") == F.col("class_id")) & (F.col("k1") == F.col("stay_k1")) & (F.col("k2") == F.col("stay_k2"))
+         ).alias("stays")), "near-rows")
+    repeated = stored(rows.filter("stays").groupBy("_id", "_a", "_b").agg(F.count("*").alias("n")).filter("n > 1").drop("n"),
+                      "near-repeated")
+    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"),
+                        F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    whole = whole.mapInArrow(_with_keys, whole.select("_row", "_doc", F.lit(0).cast("long").alias("_k1"),
+                                                      F.lit(0).cast("long").alias("_k2")).schema)
+
+    def rows_of(which: DataFrame, how: str) -> DataFrame:
+        return whole.join(which, (F.col("_doc") == F.col("_id")) & (F.col("_k1") == F.col("_a"))
+                          & (F.col("_k2") == F.col("_b")), how)
+
+    lost = rows.filter("not stays").select("_id", "_a", "_b").distinct()
+    if repeated.isEmpty():
+        return rows_of(lost, "left_anti").select("_row.*")
+    # rows that repeat words and doc_id: one of each stays
+    return rows_of(lost.unionByName(repeated), "left_anti").select("_row").unionByName(
+        rows_of(repeated, "left_semi").groupBy("_doc", "_k1", "_k2").agg(F.first("_row").alias("_row")).select("_row")
+    ).select("_row.*")

@@ -129,6 +129,20 @@ def test_drop_near_duplicates(docs_of):
     assert sum(r.doc_id is None for r in out.collect()) == 2
 
 
+def test_drop_near_duplicates_with_repeated_ids(docs_of):
+    base = make_texts(31, 4, 90)
+    long = [t for t in make_texts(32, 60, 90) if len(t.split()) > 60]
+    near = lambda t: t + " tail"                                # noqa: E731
+    rows = [(1, long[0]), (7, near(long[0])), (7, base[0] + " only here"),    # 7: one near copy, one clean text
+            (8, long[1]), (8, near(long[1])),                                 # near copies under one id
+            (9, long[2]), (9, long[2]), (9, long[2].upper()),                 # copies under one id
+            (10, long[3]), (10, long[4])]                                     # one id, unlike texts
+    got = sorted((r.doc_id, " ".join(r.text.lower().split())) for r in near_join.drop_near_duplicates(docs_of(rows)).collect())
+    assert [d for d, _ in got] == [1, 7, 8, 9, 10, 10]
+    assert got[0][1] == long[0] and got[1][1] == base[0] + " only here" and got[2][1] in (long[1], near(long[1]))
+    assert got[3][1] == long[2] and {got[4][1], got[5][1]} == {long[3], long[4]}
+
+
 def test_runs_reach_the_target():
     assert near_join.runs_needed(0.8, 0.7, 8, 0.999) > near_join.runs_needed(0.8, 0.7, 2, 0.999)
     assert near_join.runs_needed(0.9, 0.7, 8, 0.999) < near_join.runs_needed(0.8, 0.7, 8, 0.999)
