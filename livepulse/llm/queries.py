@@ -57,11 +57,11 @@ TURN_SCHEMAS = {name: {"type": "object", "required": ["text"], "additionalProper
 
 
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each turn that is not the assistant's is a call (tool: its role, argument: its text)
-    that depends on the opening turn; an assistant turn is the result of the turn before it."""
+    """Each turn that is not the assistant's (a null role is no tool known) is a call (tool: its
+    role, argument: its text) that depends on the opening turn; an assistant turn is the result of the turn before it."""
     turns = table(spark, sf_dir, "conversations")
     name = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
-    calls = turns.filter("role != 'assistant'").select(
+    calls = turns.filter("not role <=> 'assistant'").select(
         "conv_id", "turn", name(F.col("turn")).alias("call_id"), F.col("role").alias("name"),
         F.to_json(F.struct("text")).alias("arguments"),
         F.when(F.col("turn") > 0, F.array(name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("depends_on"))

@@ -10,9 +10,11 @@ Order: a call's level is one more than the largest level it depends on. Levels a
 rounds, each settling the calls whose dependencies are all settled (as many rounds as
 the deepest chain of dependencies); calls that no round settles lie on or behind a cycle.
 
-Defined cases: a call given several times under one identifier is one line (the first by
-turn, then by arguments) with its ``copies`` counted; of several results the first by turn
-is linked and the others are a problem of the line; a result without a call is a line of its
+Defined cases: of calls under one identifier the first by turn, then by arguments, is linked
+and has all of them counted as ``copies``; each further one that differs from it in name,
+arguments or dependencies is a line of its own, unlinked, with a problem (``copies``: how many
+are alike). Of several results the first by turn is linked; the line has the others, in this
+order, as ``further_results``, and a problem. A result without a call is a line of its
 own; a dependency that does not exist is a problem but holds nothing up; a null identifier
 links to nothing; a null conv_id is a conversation like others; arguments that are null or
 no JSON object are a problem; empty tables give an empty result; other columns are ignored.
@@ -112,19 +114,37 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                          F.col("arguments").cast("string").alias("arguments"), F.col("depends_on").cast("array<string>").alias("depends_on"))
     results = results.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                              F.col("call_id").cast("string").alias("call_id"), F.col("content").cast("string").alias("content"))
-    order = F.struct(F.col("turn").isNull(), "turn", F.coalesce("arguments", F.lit("")))
-    first = calls.filter("call_id is not null").groupBy("conv_id", "call_id").agg(
-        F.min_by(F.struct("turn", "name", "arguments", "depends_on"), order).alias("c"), F.count("*").alias("copies"))
-    one = stored(first.select("conv_id", "call_id", "c.*", "copies"), "calls")
+    first_turn = F.struct(F.col("turn").isNull().alias("n"), F.col("turn").alias("t"), F.coalesce("arguments", F.lit("")).alias("a"))
+    order = F.struct(F.col("o").alias("o"), F.col("name").isNull().alias("p"), F.col("name").alias("name"),
+                     F.col("depends_on").isNull().alias("d"), F.col("depends_on").alias("depends_on"),
+                     F.col("arguments").isNull().alias("a"))
+    # equal calls of one identifier are one row from here on
+    alike = stored(calls.filter("call_id is not null").withColumn("o", first_turn).groupBy(
+        "conv_id", "call_id", "name", "arguments", "depends_on").agg(
+        F.min("o").alias("o"), F.min("turn").alias("turn"), F.count("*").alias("copies")).withColumn("o", order), "alike-calls")
+    first = alike.groupBy("conv_id", "call_id").agg(
+        F.min_by(F.struct("turn", "name", "arguments", "depends_on"), "o").alias("c"), F.sum("copies").alias("copies"),
+        F.min("o").alias("o"), F.count("*").alias("kinds"))
+    one = stored(first.select("conv_id", "call_id", "c.*", "copies", "o", "kinds"), "calls")
+    heads = one.filter("kinds > 1").select(F.col("conv_id").alias("_hc"), F.col("call_id").alias("_hi"), F.col("o").alias("_ho"))
+    further = alike.join(heads, F.col("conv_id").eqNullSafe(F.col("_hc")) & (F.col("call_id") == F.col("_hi"))
+                         & (F.col("o") != F.col("_ho"))).select("conv_id", "call_id", "turn", "name", "arguments", "depends_on",
+                                                                "copies", F.lit(True).alias("further"))
+    one = one.drop("o", "kinds")
     answer = results.filter("call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min_by(F.struct("turn", "content"), F.struct(F.col("turn").isNull(), "turn", F.coalesce("content", F.lit("")))).alias("r"),
-        F.count("*").alias("answers")).select(F.col("conv_id").alias("_rc"), F.col("call_id").alias("_ri"), "r", "answers")
+        F.count("*").alias("answers"),
+        F.sort_array(F.collect_list(F.struct(F.col("turn").isNull().alias("n"), F.col("turn").alias("t"),
+                                             F.coalesce("content", F.lit("")).alias("c"), F.col("content").alias("text")))).alias("all")
+    ).select(F.col("conv_id").alias("_rc"), F.col("call_id").alias("_ri"), "r", "answers",
+             F.when(F.col("answers") > 1, F.slice("all", 2, F.greatest(F.size("all") - 1, F.lit(1)))["text"]).alias("others"))
     levels = _levels(one)
     linked = one.join(levels, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("call_id") == F.col("_id"))) \
         .join(answer, F.col("conv_id").eqNullSafe(F.col("_rc")) & (F.col("call_id") == F.col("_ri")), "full").select(
         F.coalesce("conv_id", "_rc").alias("conv_id"), F.coalesce("call_id", "_ri").alias("call_id"),
         F.coalesce("turn", "r.turn").alias("turn"), F.col("_id").isNotNull().alias("is_call"), "name", "arguments",
-        "depends_on", "copies", "level", "missing", F.col("r.content").alias("content"), "answers")
+        "depends_on", "copies", "level", "missing", F.col("r.content").alias("content"), "answers", "others",
+        F.lit(False).alias("further"))
     kind = {f.name: f.dataType for f in linked.schema}
 
     def as_line(df: DataFrame, is_call: bool) -> DataFrame:   # rows without an identifier link to nothing
@@ -134,7 +154,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                            F.lit(1 if (c == "copies") == is_call and c in ("copies", "answers") else None).cast(kind[c]).alias(c)
                            for c in linked.columns])
 
-    every = linked.unionByName(as_line(calls.filter("call_id is null"), True)) \
+    every = linked.unionByName(as_line(calls.filter("call_id is null"), True)).unionByName(as_line(further, True)) \
         .unionByName(as_line(results.filter("call_id is null"), False))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +173,9 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                         schema = schemas.get(r["name"])
                         problems += ["unknown tool"] if schema is None else violations(value, schema)
                     problems += [f"missing dependency {d}" for d in r["missing"] or []]
-                    if r["level"] is None and r["call_id"] is not None:
+                    if r["further"]:
+                        problems.append("several calls")
+                    elif r["level"] is None and r["call_id"] is not None:
                         problems.append("cycle")
                     if (r["answers"] or 0) > 1:
                         problems.append("several results")
@@ -165,6 +187,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                     line |= {"name": r["name"], "arguments": value, "depends_on": sorted(r["depends_on"] or [])}
                 if got or not r["is_call"]:
                     line["result"] = r["content"]
+                if r["others"]:
+                    line["further_results"] = r["others"]
                 for k, v in (("conv_id", r["conv_id"]), ("call_id", r["call_id"]), ("level", r["level"]), ("turn", r["turn"]),
                              ("copies", r["copies"] or 0), ("linked", got), ("valid", not problems), ("line", canonical(line))):
                     out[k].append(v)

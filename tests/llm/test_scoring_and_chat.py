@@ -308,3 +308,30 @@ def test_empty_tables_of_calls(spark, empty_results):
     rows = [] if empty_results else [(1, 0, "a", "r")]
     results = spark.createDataFrame(rows, "conv_id long, turn long, call_id string, content string")
     assert tool_calls.link_calls(calls, results, {}).count() == len(rows)
+
+
+def test_no_text_of_a_repeated_identifier_is_lost(spark):
+    calls = spark.createDataFrame([(1, 0, "a", "s", "{}", []), (1, 2, "a", "s", '{"q":1}', []), (1, 4, "a", "s", '{"q":1}', []),
+                                   (1, 0, "a", None, "{}", []), (1, 0, "b", "s", "{}", ["a"]), (None, 0, "a", "s", None, None),
+                                   (None, 0, "a", "s", "", None), (None, 0, "a", "s", "", None)],
+                                  "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([(1, 1, "a", "one"), (1, 5, "a", None), (1, 3, "a", "two"), (2, 0, "z", "x"), (2, 1, "z", "y")],
+                                    "conv_id long, turn long, call_id string, content string")
+    got = [(r, json.loads(r.line)) for r in tool_calls.link_calls(calls, results, {"s": {"type": "object"}}).collect()]
+    a = sorted(((r.turn, r.copies, r.linked, r.level, v["name"], v["arguments"]) for r, v in got if r.conv_id == 1 and r.call_id == "a"), key=str)
+    assert a == [(0, 1, False, None, None, {}), (0, 4, True, 0, "s", {}), (2, 2, False, None, "s", {"q": 1})]
+    assert [(v["result"], v["further_results"]) for r, v in got if r.linked] == [("one", ["two", None])]
+    assert [v["further_results"] for r, v in got if r.call_id == "z"] == [["y"]]
+    assert all("several calls" in v["problems"] for r, v in got if r.call_id == "a" and r.level is None)
+    assert sorted(r.copies for r, v in got if r.conv_id is None) == [1, 3]
+
+
+def test_a_turn_without_a_role_is_a_call_of_an_unknown_tool(spark):
+    from livepulse.llm import queries
+    from livepulse.session import scratch_dir
+    folder = scratch_dir(spark, "test-null-role")
+    spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "r"), (1, 2, None, "kept")],
+                          "conv_id long, turn int, role string, text string").write.parquet(folder + "/conversations.parquet")
+    got = {r.call_id: json.loads(r.line) for r in queries.op7_tool_calls(spark, folder).collect()}
+    assert set(got) == {"c1-0", "c1-2"} and got["c1-2"]["problems"] == ["unknown tool"]
+    assert got["c1-2"]["arguments"] == {"text": "kept"} and got["c1-2"]["name"] is None
