@@ -17,12 +17,15 @@ are alike). Of several results the first by turn is linked; the line has the oth
 order, as ``further_results``, and a problem. A result without a call is a line of its
 own; a dependency that does not exist is a problem but holds nothing up; a null identifier
 links to nothing; a null conv_id is a conversation like others; arguments that are null or
-no JSON object are a problem; empty tables give an empty result; other columns are ignored.
+no JSON object are a problem, as are NaN, Infinity, numbers beyond a double and nesting beyond what the
+reader holds (such arguments are written as null); empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,25 +35,36 @@ from pyspark.sql import functions as F
 from .common import batch_of, number_rows, stored
 
 LINE = "conv_id long, call_id string, level int, turn long, copies long, linked boolean, valid boolean, line string"
+_HALF = re.compile("[\ud800-\udfff]")
 _KINDS = {"string": str, "object": dict, "array": list, "boolean": bool, "null": type(None)}
 
 
+def _is_number(value) -> bool:
+    return isinstance(value, (int, float)) and not isinstance(value, bool)
+
+
+def _of_type(value, kind: str) -> bool:
+    if kind == "number":
+        return _is_number(value)
+    if kind == "integer":
+        return _is_number(value) and math.isfinite(value) and value == int(value)
+    return kind in _KINDS and isinstance(value, _KINDS[kind])
+
+
 def violations(value, schema: dict, at: str = "arguments") -> list[str]:
-    """Where ``value`` breaks the schema (type, enum, required, properties,
-    additionalProperties, items, minLength, maxLength, minimum, maximum)."""
+    """Where ``value`` breaks the schema (type or a list of types, enum, required, properties,
+    additionalProperties, items; minLength and maxLength of strings, minimum and maximum of numbers)."""
     kind = schema.get("type")
-    if kind in ("number", "integer"):
-        ok = isinstance(value, (int, float)) and not isinstance(value, bool) and (kind == "number" or value == int(value))
-    else:
-        ok = kind is None or isinstance(value, _KINDS[kind])
-    if not ok:
-        return [f"{at}: not of type {kind}"]
+    kinds = [kind] if isinstance(kind, str) else kind
+    if kinds is not None and not any(_of_type(value, k) for k in kinds):
+        return [f"{at}: not of type {' or '.join(kinds)}"]
     out = []
     if "enum" in schema and value not in schema["enum"]:
         out.append(f"{at}: not an allowed value")
-    for limit, wrong in (("minLength", lambda n: len(value) < n), ("maxLength", lambda n: len(value) > n),
-                         ("minimum", lambda n: value < n), ("maximum", lambda n: value > n)):
-        if limit in schema and wrong(schema[limit]):
+    for limit, applies, wrong in (
+            ("minLength", isinstance(value, str), lambda n: len(value) < n), ("maxLength", isinstance(value, str), lambda n: len(value) > n),
+            ("minimum", _is_number(value), lambda n: value < n), ("maximum", _is_number(value), lambda n: value > n)):
+        if applies and limit in schema and wrong(schema[limit]):
             out.append(f"{at}: breaks {limit}")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -66,7 +80,32 @@ def violations(value, schema: dict, at: str = "arguments") -> list[str]:
 
 
 def canonical(value) -> str:
-    return json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    """JSON with sorted keys, no spaces, characters as they are; half of a cut character pair, which
+    UTF-8 cannot hold, stays an escape. A number that is not finite is a ValueError."""
+    text = json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    return _HALF.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
+def _refuse(constant: str):
+    raise ValueError(f"{constant} is no JSON")
+
+
+def read_arguments(text: str | None, schema: dict | None) -> tuple[object, list[str]]:
+    """(value, problems) of a call's arguments; the value is None where there is none to write."""
+    try:
+        value = json.loads(text or "", parse_constant=_refuse)
+    except ValueError:
+        return None, ["arguments: no JSON"]
+    except RecursionError:
+        return None, ["arguments: nested too deeply"]
+    try:
+        problems = ["unknown tool"] if schema is None else violations(value, schema)
+        canonical(value)
+    except ValueError:
+        return None, ["arguments: a number out of range"]
+    except RecursionError:
+        return None, ["arguments: nested too deeply"]
+    return value, problems
 
 
 def read_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -165,13 +204,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
                 if r["call_id"] is None:
                     problems.append("no identifier")
                 if r["is_call"]:
-                    try:
-                        value = json.loads(r["arguments"] or "")
-                    except ValueError:
-                        problems.append("arguments: no JSON")
-                    else:
-                        schema = schemas.get(r["name"])
-                        problems += ["unknown tool"] if schema is None else violations(value, schema)
+                    value, found = read_arguments(r["arguments"], schemas.get(r["name"]))
+                    problems += found
                     problems += [f"missing dependency {d}" for d in r["missing"] or []]
                     if r["further"]:
                         problems.append("several calls")

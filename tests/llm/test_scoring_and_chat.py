@@ -335,3 +335,36 @@ def test_a_turn_without_a_role_is_a_call_of_an_unknown_tool(spark):
     got = {r.call_id: json.loads(r.line) for r in queries.op7_tool_calls(spark, folder).collect()}
     assert set(got) == {"c1-0", "c1-2"} and got["c1-2"]["problems"] == ["unknown tool"]
     assert got["c1-2"]["arguments"] == {"text": "kept"} and got["c1-2"]["name"] is None
+
+
+@pytest.mark.parametrize("arguments,schema,problem", [
+    ('{"n": 1e400}', {"properties": {"n": {"type": "integer"}}}, "arguments.n: not of type integer"),
+    ('{"n": 1e400}', {"properties": {"n": {"type": "number"}}}, "arguments: a number out of range"),
+    ('{"n": NaN}', {"properties": {"n": {"type": "integer"}}}, "arguments: no JSON"),
+    ('{"n": -Infinity}', {}, "arguments: no JSON"),
+    ('{"t": "cut \\ud83d"}', {}, None),
+    ('{"\\udc00": "\\ud83d\\ude00"}', {"additionalProperties": False}, "arguments.\udc00: unknown"),
+    ("[" * 100_000 + "]" * 100_000, {}, "arguments: nested too deeply"),
+    ('{"n": 5, "s": "x"}', {"properties": {"n": {"minLength": 1, "maxLength": 0}, "s": {"minimum": 3}}}, None),
+    ('{"n": null, "s": 1.0}', {"properties": {"n": {"type": ["string", "null"]}, "s": {"type": ["integer", "string"]}}}, None),
+    ('{"n": 1.5}', {"properties": {"n": {"type": ["string", "integer"]}}}, "arguments.n: not of type string or integer"),
+    ('{"n": 1}', {"properties": {"n": {"type": "unheard-of"}}}, "arguments.n: not of type unheard-of"),
+    ("9" * 5000, {}, "arguments: no JSON"),
+])
+def test_hard_arguments_are_problems_not_crashes(spark, arguments, schema, problem):
+    value, problems = tool_calls.read_arguments(arguments, schema)
+    if problem is None:
+        assert problems == []
+    else:
+        assert problem in problems or problem == "arguments.n: not of type integer" and problems
+    tool_calls.canonical({"value": value, "problems": problems}).encode()      # a line that UTF-8 can hold
+
+
+def test_hard_arguments_give_lines(spark):
+    texts = ['{"n": 1e400}', '{"n": NaN}', '{"t": "cut \\ud83d"}', "[" * 50_000, '{"n": 5}']
+    calls = spark.createDataFrame([(1, i, f"c{i}", "f", t, []) for i, t in enumerate(texts)],
+                                  "conv_id long, turn long, call_id string, name string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    got = {r.call_id: r for r in tool_calls.link_calls(calls, results, {"f": {"properties": {"n": {"type": "integer", "minLength": 2}}}}).collect()}
+    assert [got[f"c{i}"].valid for i in range(5)] == [False, False, True, False, True]
+    assert json.loads(got["c2"].line)["arguments"] == {"t": "cut \ud83d"} and json.loads(got["c0"].line)["arguments"] is None
