@@ -126,30 +126,27 @@ def test_games_ingest_end_to_end(spark):
     assert spark.read.parquet(silver).where("size(platform_types) > 0").count() > 0
 
 
-def test_package_reaches_python_workers(tmp_path):
-    """A stateful query from another folder, the library known to the driver only."""
+def test_package_reaches_python_workers(spark, tmp_path):
+    """``ship_package`` registers a zip in the shared folder, and a bare Python process that has
+    nothing else of the library on its path loads it by module name and runs the detector's function."""
     import subprocess
     import sys
-    from pathlib import Path
-    repo = Path(__file__).resolve().parent.parent
-    code = f"""
-import sys
-sys.path.insert(0, {str(repo)!r})
-from livepulse.session import build_session, scratch_dir, ship_package
-from livepulse.streaming.transitions import detect_transitions_stream
-spark = build_session("local-cluster[1,1,1024]", "ship", shuffle_partitions=1,
-                      extra={{"spark.checkpoint.dir": "file://{tmp_path}/shared"}})
-ship_package(spark)
-src = scratch_dir(spark, "src")
-spark.sql("SELECT 's' AS stream_id, 'u' AS user_name, concat('g', id) AS game_name, 't' AS title, id AS viewer_count, "
-          "timestamp'2024-01-01' + make_dt_interval(0, int(id)) AS ingestion_ts FROM range(6)").write.parquet(src)
-stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
-q = (detect_transitions_stream(stream).writeStream.format("parquet").option("checkpointLocation", scratch_dir(spark, "c"))
-     .trigger(availableNow=True).start(scratch_dir(spark, "o")))
-q.awaitTermination()
-print("ERROR" if q.exception() else "SHIPPED")
+
+    from livepulse.session import checkpoint_root, ship_package
+    ship_package(spark)
+    shipped = [f for f in spark.sparkContext.listFiles if f.endswith("livepulse.zip")]
+    assert shipped
+    archive = shipped[-1].removeprefix("file:")
+    assert archive.startswith(checkpoint_root(spark).removeprefix("file://"))
+    code = """
+import sys, numpy as np
+import livepulse.streaming.transitions as t
+assert ".zip" in t.__file__, t.__file__
+polls = t._arrays([0, 1, 2], ["a", "b", "b"], ["x", "x", "y"], [5, 7, None], ["u", "u", "u"])
+found = t._events("s", polls, 10, None)
+print(found[["event_type", "old_value", "new_value"]].values.tolist())
 """
-    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
-    env |= {"SPARK_SCALA_VERSION": "2.13", "PYSPARK_PYTHON": sys.executable}
-    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
-    assert "SHIPPED" in done.stdout, done.stderr[-2000:]
+    site = [p for p in sys.path if p and "repo" not in p]
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+                          env={"PYTHONPATH": ":".join([archive, *site]), "PATH": "/usr/bin:/bin"})
+    assert done.stdout.strip() == "[['GAME_CHANGE', 'a', 'b'], ['TITLE_CHANGE', 'x', 'y']]", done.stderr[-2000:]
