@@ -2,7 +2,8 @@
 
   python -m livepulse.cli silver  --kind streams --bronze PATH --out PATH --checkpoint PATH [--once]
   python -m livepulse.cli transitions --bronze PATH --out PATH --checkpoint PATH --state-partitions N [--once]
-  python -m livepulse.cli gold    --silver PATH --games PATH --out PATH --checkpoint PATH [--gate]
+  python -m livepulse.cli gold    --silver PATH --games PATH --out PATH --checkpoint PATH [--gate] [--gate-batches]
+  python -m livepulse.cli fold    --gold-root PATH [--vacuum]
   python -m livepulse.cli validate --layer silver --streams PATH --tags PATH --transitions PATH --games PATH
   python -m livepulse.cli compact --layer bronze --path PATH --year 2026 --month 7 [--day 9]
 
@@ -44,6 +45,11 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("--max-bytes-per-trigger", type=int, help="table formats that support it")
     g.add_argument("--max-files-per-trigger", type=int)
     g.add_argument("--gate", action="store_true", help="validate silver, load, validate gold")
+    g.add_argument("--gate-batches", action="store_true", help="commit no batch that fails a column rule")
+    g.add_argument("--buckets", type=int, help="of a new root's tables; fixed for ever")
+    o = sub.add_parser("fold")
+    o.add_argument("--gold-root", required=True)
+    o.add_argument("--vacuum", action="store_true", help="also remove folders no reader needs")
     v = sub.add_parser("validate")
     v.add_argument("--layer", choices=["silver", "gold"], required=True)
     for name in ("streams", "tags", "transitions", "games", "gold-root"):
@@ -77,10 +83,10 @@ def _silver_checks(spark, args):
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def _gold_checks(spark, root, fmt):
+def _gold_checks(spark, root):
     from livepulse.operators import quality as Q
     from livepulse.streaming import jobs
-    return Q.run_gold_checks(jobs.read_gold(spark, root, fmt))
+    return Q.run_gold_checks(jobs.read_gold(spark, root))
 
 
 def run(argv: list[str], spark: SparkSession | None = None) -> int:
@@ -113,18 +119,23 @@ def run(argv: list[str], spark: SparkSession | None = None) -> int:
         def load():
             jobs.gold_job(spark, args.silver, games, args.out, args.checkpoint, silver.schema, fmt=args.format,
                           max_bytes_per_trigger=args.max_bytes_per_trigger,
-                          max_files_per_trigger=args.max_files_per_trigger).awaitTermination()
+                          max_files_per_trigger=args.max_files_per_trigger, gate=args.gate_batches,
+                          buckets=args.buckets).awaitTermination()
 
         if args.gate:
             failed = Q.run_gated(lambda: Q.run_checks("streams", silver, Q.silver_stream_checks()).unionByName(
-                Q.run_checks("games", games, Q.game_checks())), load, lambda: _gold_checks(spark, args.out, args.format))
+                Q.run_checks("games", games, Q.game_checks())), load, lambda: _gold_checks(spark, args.out))
             _report(failed)
         else:
             load()
+    elif args.cmd == "fold":
+        folded = jobs.fold_gold(spark, args.gold_root)
+        gone = jobs.gold_tables(spark, args.gold_root).vacuum() if args.vacuum else 0
+        print(f"{'folded' if folded else 'nothing to fold'}; {gone} folders removed")
     elif args.cmd == "validate":
         from livepulse.operators import quality as Q
         silver_layer = args.layer == "silver"
-        res = _silver_checks(spark, args) if silver_layer else _gold_checks(spark, args.gold_root, args.format)
+        res = _silver_checks(spark, args) if silver_layer else _gold_checks(spark, args.gold_root)
         _report(Q.gate(res, halt=silver_layer))
     elif args.cmd == "compact":
         from livepulse.operators.maintenance import compact

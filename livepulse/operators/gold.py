@@ -97,13 +97,16 @@ def latest_by_version(df: DataFrame, keys: Sequence[str], version: str = "insert
 
 
 def merge_fact(partials: DataFrame, keys: Sequence[str] = ("game_id", "streamer_id", "language_id",
-                                                            "date_id", "time_hour")) -> DataFrame:
+                                                            "date_id", "time_hour"),
+               measures: Sequence[str] = ()) -> DataFrame:
     """Summing-merge read: partial hourly rows of one key collapse to
-    max of max, sum of sum, sum of count (splitting a batch never changes the result)."""
+    max of max, sum of sum, sum of count (splitting a batch never changes the result).
+    ``measures``: further columns whose maximum is kept, such as the row version."""
     return partials.groupBy(*keys).agg(
         F.max("max_viewers").alias("max_viewers"),
         F.sum("sum_viewers").alias("sum_viewers"),
         F.sum("count_observations").alias("count_observations"),
+        *[F.max(m).alias(m) for m in measures],
     )
 
 

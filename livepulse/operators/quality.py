@@ -9,10 +9,11 @@ rows (one per check) ever reach the driver, in ``gate``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 RESULT_COLUMNS = ["table", "check", "metric", "column", "value", "passed"]
 
@@ -78,7 +79,8 @@ def failed_rows(condition, name):
     return Check("failed_rows", None, "=", 0, name, (), condition)
 
 
-_OPS: dict[str, Callable[[Column, float], Column]] = {
+# for columns, and for plain numbers of ``watch_checks``
+_OPS: dict[str, Callable] = {
     "=": lambda v, t: v == t, ">": lambda v, t: v > t, ">=": lambda v, t: v >= t,
     "<=": lambda v, t: v <= t, "<": lambda v, t: v < t,
 }
@@ -150,16 +152,49 @@ def run_checks(table: str, df: DataFrame, checks: Sequence[Check | Duplicates |
     return out
 
 
+def watch_checks(table: str, checks: Sequence[Check | Duplicates | Orphans]) -> tuple[
+        Callable[[DataFrame], DataFrame], Callable[[], list[dict]]]:
+    """The column metrics among ``checks`` (I1, I2, I4 to I6) taken while a frame is written, without a scan
+    of their own: (watch, results). Write ``watch(df)``; ``results()`` then has the rows ``run_checks`` would
+    give, as dictionaries. An empty frame has no minimum or maximum to break, so those pass here.
+
+    Watch a frame behind its last shuffle: the tasks of a job's last stage count once each, however
+    often a lost executor makes earlier stages run again."""
+    simple = [c for c in checks if isinstance(c, Check)]
+    seen = Observation(f"{table}-{uuid.uuid4().hex}")
+
+    def watch(df: DataFrame) -> DataFrame:
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[_metric(c).alias(f"m{i}") for i, c in enumerate(simple)])
+
+    def results() -> list[dict]:
+        got = seen.get
+        out = []
+        for i, c in enumerate(simple):
+            value = None if got[f"m{i}"] is None else float(got[f"m{i}"])
+            nothing = not got["rows"] and c.metric in ("min", "max")
+            out.append({"table": table, "check": c.label(), "metric": c.metric, "column": c.column, "value": value,
+                        "passed": nothing or value is not None and bool(_OPS[c.op](value, float(c.threshold)))})
+        return out
+
+    return watch, results
+
+
 class QualityError(Exception):
     pass
 
 
+def raise_failed(failed: Sequence[dict]) -> None:
+    """Raise for failed checks (rows as ``run_checks`` gives them), if there are any."""
+    if failed:
+        lines = "; ".join(f"{r['table']}: {r['check']} (value {r['value']})" for r in failed)
+        raise QualityError(f"data quality checks failed: {lines}")
+
+
 def gate(results: DataFrame, halt: bool = True) -> list[dict]:
     """Collect the failed checks (at most one row per check); raise when ``halt``."""
     failed = [r.asDict() for r in results.where(~F.col("passed")).collect()]
-    if failed and halt:
-        lines = "; ".join(f"{r['table']}: {r['check']} (value {r['value']})" for r in failed)
-        raise QualityError(f"data quality checks failed: {lines}")
+    if halt:
+        raise_failed(failed)
     return failed
 
 

@@ -127,3 +127,55 @@ def materialize(df: DataFrame) -> DataFrame:
         return df
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def _path_and_fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, in order; none if it does not exist."""
+    p, fs = _path_and_fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """Text of a small file (a commit record, a checkpoint's metadata), read on the driver without a job."""
+    p, fs = _path_and_fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all; one that is there already is an error."""
+    p, fs = _path_and_fs(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    fs.mkdirs(p.getParent())
+    jvm = spark.sparkContext._jvm
+    part = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(part, p):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file, making the target's folder; a source that is gone because an earlier try moved it is fine."""
+    src, fs = _path_and_fs(spark, source)
+    dst, _ = _path_and_fs(spark, target)
+    if not fs.exists(src):
+        if not fs.exists(dst):
+            raise FileNotFoundError(source)
+        return
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
