@@ -94,3 +94,23 @@ DIMENSION_KEYS = {
     "dim_language": ("language_id", "language"),
     "dim_date": ("date_id", None),
 }
+
+# --- the tables the registered queries read ------------------------------------------
+
+NTZ = T.TimestampNTZType()
+SOURCE_TABLES = {
+    "region": T.StructType([_f("r_regionkey", I), _f("r_name", S)]),
+    "nation": T.StructType([_f("n_nationkey", I), _f("n_name", S), _f("n_regionkey", I)]),
+    "customer": T.StructType([_f("c_custkey", L), _f("c_name", S), _f("c_nationkey", I), _f("c_acctbal", D),
+                              _f("c_mktsegment", S)]),
+    "supplier": T.StructType([_f("s_suppkey", L), _f("s_name", S), _f("s_nationkey", I), _f("s_acctbal", D)]),
+    "part": T.StructType([_f("p_partkey", L), _f("p_name", S), _f("p_brand", S), _f("p_type", S), _f("p_size", I),
+                          _f("p_retailprice", D)]),
+    "orders": T.StructType([_f("o_orderkey", L), _f("o_custkey", L), _f("o_orderstatus", S), _f("o_totalprice", D),
+                            _f("o_orderdate", NTZ), _f("o_orderpriority", S)]),
+    "lineitem": T.StructType([_f("l_orderkey", L), _f("l_partkey", L), _f("l_suppkey", L), _f("l_linenumber", I),
+                              _f("l_quantity", D), _f("l_extendedprice", D), _f("l_discount", D), _f("l_tax", D),
+                              _f("l_returnflag", S), _f("l_linestatus", S), _f("l_shipdate", NTZ)]),
+    "events": T.StructType([_f("event_id", L), _f("ts", NTZ), _f("user_id", L), _f("event_type", S), _f("value", D),
+                            _f("props", S)]),
+}

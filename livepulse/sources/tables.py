@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from livepulse.schemas import SOURCE_TABLES
+
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: StructType | None = None, options: dict | None = None) -> DataFrame:
@@ -18,8 +20,9 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table: ``{sf_dir}/{name}.parquet``. Its schema is given, so that building a query
+    runs no job; a table without one here is read with the schema of its files."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", schema=SOURCE_TABLES.get(name))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",

@@ -109,3 +109,16 @@ def test_quadrants_read_the_snapshots_once(spark):
     import __spark_entry__ as entry
     q = entry.queries()["quadrants"](spark, SF)
     assert _scans(q, "lineitem") == 0
+
+
+def test_building_a_query_runs_no_job(spark):
+    """Tables are read with given schemas: nothing runs before the first action."""
+    from livepulse.plans.registry import QUERIES, load_all
+    load_all()
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        for name in ("time_bounds", "clean_batch", "bi_viewers_by_game", "bronze_streams", "fact_hourly", "latest_games"):
+            QUERIES[name](spark, SF)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
