@@ -11,8 +11,8 @@ one outer bound for all others. When the codebook has moved, each bound falls by
 and the outer bound by the longest way. The distance to the assigned entry is exact; only entries
 whose bound does not exceed it are looked at again, by their exact integer distance; if the outer
 bound does not exceed it either, all entries are. Bounds are rounded downwards and compared
-strictly, so a tie always counts as uncertain and is decided by integers. After each round ``b``
-follows how many entries the parts had to look at. Bounds, codes and integers are one stored table
+strictly, so a tie always counts as uncertain and is decided by integers. ``b`` starts at ``FIRST_B``
+(lists about as large as the vectors) and shrinks to what the parts had to look at. Bounds, codes and integers are one stored table
 per round (the one before it is removed); only sums by (part, entry) reach the driver, a codebook's
 size whatever the table's.
 
@@ -45,7 +45,6 @@ SUMS = "part int, entry int, n long, sums array<long>"
 LIMIT = 1 << 26
 LEAST_B, FIRST_B = 4, 16
 ROWS = 2048
-ANEW = 255
 
 
 def _integers(scale: int):
@@ -111,25 +110,30 @@ def _all_entries(x: np.ndarray, book: np.ndarray, b: int):
     """Every entry looked at: the b closest by (distance, index), bounds, outer bound, error."""
     dist = _distances(x, book)
     k = len(book)
-    # stable: of equal distances the lower index
-    order = np.argsort(dist, axis=1, kind="stable")
-    near = order[:, :b]
-    low = _down(np.sqrt(np.take_along_axis(dist, near, 1).astype(np.float64)))
-    outer = _down(np.sqrt(dist[np.arange(len(x)), order[:, b]].astype(np.float64))) if b < k \
-        else np.full(len(x), np.inf, np.float32)
-    return near, low, outer, dist[np.arange(len(x)), near[:, 0]]
+    if int(dist.max(initial=0)) < 1 << 54:                   # (distance, index) as one number
+        key = dist << 8 | np.arange(k)
+        if b < k:
+            key = np.partition(key, b, axis=1)[:, :b + 1]
+        key.sort(axis=1)
+        near, dist = key & 255, key >> 8
+    else:
+        near = np.argsort(dist, axis=1, kind="stable")
+        dist = np.take_along_axis(dist, near, 1)
+    outer = _down(np.sqrt(dist[:, b].astype(np.float64))) if b < k else np.full(len(x), np.inf, np.float32)
+    return near[:, :b], _down(np.sqrt(dist[:, :b].astype(np.float64))), outer, dist[:, 0]
 
 
 def assign_part(x: np.ndarray, book: np.ndarray, moved: np.ndarray | None, state, b: int):
     """One part position of many rows: (near, low, outer, error, looked). ``state``: near, low and
     outer of the round before, or None. near[:, 0] is the assigned entry; ``looked`` is the place up
-    to which entries were looked at, 0 where all had to be, ANEW where the list was made anew."""
+    to which entries were looked at, 0 where all had to be."""
     n, k = len(x), len(book)
     b = min(b, k)
-    if state is None or state[0].shape[1] < b:               # no list yet, or a longer one is wanted
-        return *_all_entries(x, book, b), np.full(n, ANEW, np.int64)
+    if state is None:
+        return *_all_entries(x, book, b), np.zeros(n, np.int64)
     near, low, outer = state
     had = near.shape[1]
+    b = min(b, had)
     low = _down(low - moved[near])
     outer = _down(outer - moved.max(initial=0)) if had < k else outer
     # ordered: no bound above those further out
@@ -230,20 +234,14 @@ def _sums(plan: _Plan):
     return run
 
 
-def next_b(looked: dict[int, int], b: int, entries: int) -> int:
-    """The list length for the next round: the shortest that would have settled 19 of 20 parts,
-    twice the present one if that was too short for them."""
-    looked = {z: n for z, n in looked.items() if z != ANEW}
-    total = sum(looked.values())
-    if not total:
-        return b
-    if looked.get(0, 0) * 20 > total:
-        return min(2 * b, max(entries // 4, b), entries)
-    settled = 0
-    for z in sorted(x for x in looked if x):
-        settled += looked[z]
-        if settled * 20 >= total * 19:
-            return max(min(z + 1, b), min(LEAST_B, entries))
+def next_b(looked: dict[int, int], b: int) -> int:
+    """The list length for the next round, from how many parts looked at z entries (0: at all): the
+    shortest that would have settled 19 of 20 of the parts their lists settled. Lists only get
+    shorter, as entries come to rest; a longer one would have to be made from all distances again."""
+    settled = sum(n for z, n in looked.items() if z)
+    for z in range(LEAST_B, b):
+        if sum(n for y, n in looked.items() if 0 < y < z) * 20 >= settled * 19 > 0:
+            return z
     return b
 
 
@@ -297,7 +295,8 @@ def learn_codes(vectors: DataFrame, vector: str = "embedding", parts: int = 4, e
         # a little more than the way each entry went
         moved = np.nextafter(np.sqrt(((after - book) ** 2).sum(2).astype(np.float64)).astype(np.float32), np.float32(np.inf))
         moved[(after == book).all(2)] = 0
-        b = next_b({-1 - g["entry"]: g["n"] for g in got if g["entry"] < 0}, b, len(start))
+        if r:
+            b = next_b({-1 - g["entry"]: g["n"] for g in got if g["entry"] < 0}, b)
         book = after
     return state.select("vec_id", "label", "code", "error"), book, used
 
