@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from livepulse.session import drop_dir, path_exists, scratch_dir
+from livepulse.session import drop_dir, list_dir, move_file, path_exists, read_small, write_small
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -32,24 +35,39 @@ def _file_bytes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return files.distinct().groupBy(*cols).agg(F.sum("_size").alias("_bytes"))
 
 
+#: A file below this share of the target is small.
+SMALL_SHARE = 0.75
+COMPACTED = "compacted-"
+RUNS = "_compaction"
+
+
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a table as Spark lists them (path, length, modificationTime and the partition columns);
+    nothing is opened."""
+    return spark.read.format("binaryFile").load(path).drop("content")
+
+
 def compact(spark: SparkSession, path: str, fmt: str = "parquet", partition_cols: Sequence[str] = (),
             year: int | None = None, month: int | None = None, day: int | None = None,
-            target_file_bytes: int = TARGET_FILE_BYTES) -> None:
-    """Rewrite a table (or only its partitions matching year/month/day) into files of
-    about ``target_file_bytes``; rows are unchanged.
-
-    Table formats with their own command (``fmt="delta"``) use OPTIMIZE. For plain files
-    every partition is given ceil(its bytes / target) salts, rows are shuffled once by
-    (partition, salt), so an output file belongs to one partition and a large
-    partition is written by many tasks; a dynamic partition overwrite replaces exactly
-    the partitions rewritten when the job commits. An unpartitioned table is staged under the
-    shared checkpoint root first and the overwrite is not atomic: readers must wait.
-
-    Nothing may write to the selected partitions meanwhile: rows appended between read and
-    commit would be lost. A folder that a stream has written (it lists its files in
-    ``_spark_metadata``) is refused, and one that a stream reads must not be compacted
-    either, because the stream would read the rewritten files as new data; use a
-    transactional table format for both.
+            target_file_bytes: int = TARGET_FILE_BYTES, files_at_once: int = 100_000) -> int:
+    """Merge the small files of a table (or only of its partitions matching year/month/day) into files of
+    about ``target_file_bytes``; rows are unchanged. Returns how many files were replaced.
+
+    Table formats with their own command (``fmt="delta"``) use OPTIMIZE. For plain files the listing is
+    grouped by partition, and only files below ``SMALL_SHARE`` of the target are read, in partitions that
+    hold at least two of them and one that no earlier run has made: larger files keep their names and
+    times, and a second run writes nothing. The small files' rows of a partition are dealt to as many
+    bins as their bytes fill targets, each bin a task and a file.
+
+    New files are staged in a hidden folder of the table. When all are there, a journal names what is to
+    be moved in and what removed; a run that dies before it has left nothing but that folder, and one that
+    dies after it is finished by the next run. Between the first move and the last removal readers may see
+    rows twice, so they must wait. At most about ``files_at_once`` files are in one journal.
+
+    Nothing may write to the selected partitions meanwhile. A folder that a stream has written (it lists
+    its files in ``_spark_metadata``) is refused, and one that a stream reads must not be compacted
+    either, because the stream would read the rewritten files as new data; use a transactional table
+    format for both.
     """
     if fmt == "delta":
         clause = ""
@@ -57,33 +75,86 @@ def compact(spark: SparkSession, path: str, fmt: str = "parquet", partition_cols
         if parts:
             clause = " WHERE " + " AND ".join(parts)
         spark.sql(f"OPTIMIZE delta.`{path}`{clause}")
-        return
-    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        return 0
+    path = path.rstrip("/")
+    if path_exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} is the sink of a stream; compacting it would make it unreadable. "
                          "Write the stream to a transactional format, or copy the table first.")
+    finish_compactions(spark, path)
     cols = list(partition_cols)
-    df = spark.read.format(fmt).load(path)
-    if cols:
-        df = df.where(partition_predicate(year, month, day))
-    sizes = _file_bytes(df, cols).withColumn("_salts", F.ceil(F.col("_bytes") / target_file_bytes).cast("int"))
-    tasks = sizes.agg(F.sum("_salts")).first()[0]
-    if not tasks:
-        return
-    names = df.columns
-    salt = F.pmod(F.xxhash64(*names), F.col("_salts"))
+    files = data_files(spark, path)
     if cols:
-        keyed = sizes.select(*[F.col(c).alias(f"_p_{c}") for c in cols], "_salts")
-        on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in cols]
-        out = df.join(F.broadcast(keyed), on)           # one row per partition of the table
-        (out.repartition(int(tasks), *cols, salt).sortWithinPartitions(*cols).select(*names)
-         .write.format(fmt).partitionBy(*cols).mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").save(path))
-        return
-    staging = scratch_dir(spark, "compact")
-    df.repartition(int(tasks)).write.format(fmt).save(staging)
-    spark.read.format(fmt).schema(df.schema).load(staging).coalesce(int(tasks)) \
-        .write.format(fmt).mode("overwrite").save(path)
-    drop_dir(spark, staging)
+        files = files.where(partition_predicate(year, month, day))
+    small = files.where(F.col("length") < SMALL_SHARE * target_file_bytes)
+    made = F.substring_index("path", "/", -1).startswith(COMPACTED)
+    # one row a partition: its small files and how many full files their bytes make
+    chosen = small.groupBy(*cols).agg(
+        F.collect_list("path").alias("paths"), F.greatest(F.lit(1), F.floor(F.sum("length") / target_file_bytes)).cast("int").alias("bins"),
+        F.count_if(~made).alias("fresh")).where((F.size("paths") > 1) & (F.col("fresh") > 0)).drop("fresh")
+    schema = spark.read.format(fmt).load(path).schema            # of the whole table, partition columns too
+    group: list = []
+    replaced = 0
+    for row in chosen.toLocalIterator():
+        group.append(row)
+        if sum(len(r["paths"]) for r in group) >= files_at_once:
+            replaced += _rewrite(spark, path, fmt, schema, cols, group)
+            group = []
+    return replaced + (_rewrite(spark, path, fmt, schema, cols, group) if group else 0)
+
+
+def _rewrite(spark: SparkSession, path: str, fmt: str, schema: StructType, cols: Sequence[str], group: Sequence) -> int:
+    """Stage, journal and publish the files of some partitions."""
+    run = uuid.uuid4().hex
+    paths = [p for r in group for p in r["paths"]]
+    df = spark.read.format(fmt).schema(schema).option("basePath", path).load(paths)
+    names, bins, first = df.columns, [], 0
+    for r in group:
+        bins.append((*(r[c] for c in cols), first, r["bins"]))
+        first += r["bins"]
+    kinds = {f.name: f.dataType.simpleString() for f in schema}
+    numbered = spark.createDataFrame(bins, ", ".join([*(f"_p_{c} {kinds[c]}" for c in cols), "_first int", "_bins int"]))
+    on = [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in cols]
+    joined = df.join(F.broadcast(numbered), on) if cols else df.crossJoin(F.broadcast(numbered))   # a row a partition
+    bin_of = (F.col("_first") + F.pmod(F.xxhash64(*names), F.col("_bins"))).cast("int")
+    staged = f"{path}/{RUNS}/{run}/files"
+    writer = joined.repartitionById(first, bin_of).select(*names).write.format(fmt)
+    (writer.partitionBy(*cols) if cols else writer).save(staged)
+    new = [r["path"] for r in data_files(spark, staged).select("path").collect()]
+    inside = f"/{RUNS}/{run}/files/"
+    moves = []
+    for i, p in enumerate(sorted(new)):
+        root, rest = p.split(inside)
+        folder, _, name = rest.rpartition("/")
+        suffix = name[name.index("."):] if "." in name else ""
+        moves.append([p, "/".join(x for x in (root, folder, f"{COMPACTED}{run}-{i:06d}{suffix}") if x)])
+    write_small(spark, f"{path}/{RUNS}/{run}/journal.json", json.dumps({"moves": moves, "removes": paths}))
+    _publish(spark, path, run)
+    return len(paths)
+
+
+def _publish(spark: SparkSession, path: str, run: str) -> None:
+    """What a journal says; every step may have been done already."""
+    journal = json.loads(read_small(spark, f"{path}/{RUNS}/{run}/journal.json"))
+    for source, target in journal["moves"]:
+        move_file(spark, source, target)
+    for old in journal["removes"]:
+        drop_dir(spark, old)
+    drop_dir(spark, f"{path}/{RUNS}/{run}")
+
+
+def finish_compactions(spark: SparkSession, path: str) -> int:
+    """Finish the runs that died behind their journal, clear those that died before it."""
+    path = path.rstrip("/")
+    finished = 0
+    for run in list_dir(spark, f"{path}/{RUNS}"):
+        if path_exists(spark, f"{path}/{RUNS}/{run}/journal.json"):
+            _publish(spark, path, run)
+            finished += 1
+        else:
+            drop_dir(spark, f"{path}/{RUNS}/{run}")
+    if path_exists(spark, f"{path}/{RUNS}"):
+        drop_dir(spark, f"{path}/{RUNS}")
+    return finished
 
 
 def files_per_partition(spark: SparkSession, path: str, partition_cols: Sequence[str], fmt: str = "parquet") -> DataFrame:

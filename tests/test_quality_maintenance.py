@@ -96,6 +96,64 @@ def test_compaction_of_one_day_with_small_target(spark):
     assert all(before[k] == n for k, n in after.items()) and _content(spark, path) == exp
 
 
+def _listing(spark, path):
+    return {r.path.split(path)[1]: (r.length, r.modificationTime) for r in J.data_files(spark, path).collect()}
+
+
+def test_compaction_leaves_large_files_and_its_own_alone(spark):
+    path = scratch_dir(spark, "test", "compact")
+    df = spark.range(0, 40_000).select("id", F.lit(2024).alias("year"), F.lit(1).alias("month"), (F.col("id") % 2 + 1).alias("day"))
+    df.where("id < 36000").coalesce(1).write.partitionBy(*DAYS).parquet(path)            # one large file a day
+    for k in range(4):
+        df.where(f"id >= 36000 and id % 4 = {k}").coalesce(1).write.mode("append").partitionBy(*DAYS).parquet(path)
+    before, exp = _listing(spark, path), _content(spark, path)
+    large = {n: v for n, v in before.items() if v[0] > 30_000}
+    assert len(large) == 2 and len(before) > 4
+    assert J.compact(spark, path, partition_cols=DAYS, target_file_bytes=40_000) == len(before) - 2
+    after = _listing(spark, path)
+    assert {n: after[n] for n in large} == large and len(after) == 4
+    assert _content(spark, path) == exp and sorted(r.id for r in spark.read.parquet(path).select("id").collect()) == list(range(40_000))
+    assert J.compact(spark, path, partition_cols=DAYS, target_file_bytes=40_000) == 0     # a second run writes nothing
+    assert _listing(spark, path) == after
+    df.limit(10).write.mode("append").partitionBy(*DAYS).parquet(path)                    # new small files meet the remainder
+    assert J.compact(spark, path, partition_cols=DAYS, target_file_bytes=40_000) > 0 and len(_listing(spark, path)) == 4
+
+
+@pytest.mark.parametrize("dies", ["before the journal", "while moving", "while removing"])
+def test_a_compaction_that_dies_is_cleared_or_finished(spark, monkeypatch, dies):
+    path = _small_files(spark, files=5, rows=600)
+    exp, before = _content(spark, path), _listing(spark, path)
+    calls = []
+
+    def dying(f, after):
+        def run(*args):
+            calls.append(args)
+            if len(calls) > after:
+                raise RuntimeError("killed")
+            return f(*args)
+        return run
+    name, after = {"before the journal": ("write_small", 0), "while moving": ("move_file", 2), "while removing": ("drop_dir", 7)}[dies]
+    monkeypatch.setattr(J, name, dying(getattr(J, name), after))
+    with pytest.raises(RuntimeError, match="killed"):
+        J.compact(spark, path, partition_cols=DAYS)
+    monkeypatch.undo()
+    if dies == "before the journal":
+        assert _listing(spark, path) == before and _content(spark, path) == exp           # readers never notice
+    assert J.finish_compactions(spark, path) == (dies != "before the journal")
+    assert _content(spark, path) == exp
+    J.compact(spark, path, partition_cols=DAYS)
+    assert {r.files for r in J.files_per_partition(spark, path, DAYS).collect()} == {1} and _content(spark, path) == exp
+
+
+def test_compaction_of_null_partitions_in_several_journals(spark):
+    path = scratch_dir(spark, "test", "compact")
+    df = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("a b/"), F.col("id") % 3)).alias("kind"))
+    df.repartition(6).write.partitionBy("kind").parquet(path)
+    assert J.compact(spark, path, partition_cols=["kind"], files_at_once=6) == 18
+    back = spark.read.parquet(path)
+    assert sorted(map(str, back.select("id", "kind").collect())) == sorted(map(str, df.collect())) and len(back.inputFiles()) == 3
+
+
 def test_compaction_refuses_a_stream_sink(spark):
     src, out, ckpt = (scratch_dir(spark, "test", x) for x in ("src", "out", "ckpt"))
     spark.range(10).write.parquet(src)
