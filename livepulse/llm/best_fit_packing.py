@@ -46,20 +46,20 @@ def pieces_of(docs: DataFrame, capacity: int, vocabulary: str | None, end_id: in
     vocabulary = vocabulary or tokens.default_vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = enc.encode(text) + end
-                n, at, k = len(ids) // 4, 0, 0
-                while at < n:
-                    size = capacity if (n - at) % capacity == 0 else (n - at) % capacity
-                    out.append((doc_id, k, at, size, zlib.crc32(ids[4 * at:4 * (at + size)])))
-                    at, k = at + size, k + 1
-            if out:
-                yield batch_of(PIECE, **dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"),
-                                                 map(list, zip(*out)))))
+        with tokens.task_encoder(vocabulary) as enc:
+            for b in batches:
+                out: list[tuple] = []
+                for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                    ids = enc.encode(text) + end
+                    n, at, k = len(ids) // 4, 0, 0
+                    while at < n:
+                        size = capacity if (n - at) % capacity == 0 else (n - at) % capacity
+                        out.append((doc_id, k, at, size, zlib.crc32(ids[4 * at:4 * (at + size)])))
+                        at, k = at + size, k + 1
+                if out:
+                    yield batch_of(PIECE, **dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"),
+                                                     map(list, zip(*out)))))
 
     return id_and_text(docs).mapInArrow(cut, PIECE)
 

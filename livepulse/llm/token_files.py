@@ -20,9 +20,11 @@ the text; an empty table gives a data set without shards; other columns are igno
 
 from __future__ import annotations
 
+import itertools
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,8 +56,10 @@ class EliasFano:
         if not n:
             return cls(0, 0, np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(1, np.uint32))
         bits = max(0, (int(values[-1]) // n).bit_length() - 1)
-        shifts = np.arange(bits, dtype=np.uint64)
-        low = np.packbits(((values[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        plain = np.zeros((n, bits), np.uint8)
+        for b in range(bits):
+            plain[:, b] = (values >> np.uint64(b)) & np.uint64(1)
+        low = np.packbits(plain.ravel(), bitorder="little")
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         length = -(-(int(ones[-1]) + 1) // BLOCK_BITS) * BLOCK_BITS
         marks = np.zeros(length, np.uint8)
@@ -105,28 +109,32 @@ def _open_folder(uri: str):
 
 
 class _Shard:
+    """A shard being written; ids go to the file, doc_ids and ends (8 bytes each) wait for the index."""
+
     def __init__(self, folder: str, width: int):
         self.system, path = _open_folder(folder)
         self.system.create_dir(path, recursive=True)
         self.name = f"shard-{uuid.uuid4().hex}"
         self.base, self.width = f"{path}/{self.name}", width
         self.out = self.system.open_output_stream(f"{self.base}.ids", buffer_size=1 << 20)
-        self.doc_ids: list[int | None] = []
-        self.ends: list[int] = []
-        self.n_ids = 0
+        self.doc_ids, self.ends = array("q"), array("q")     # known doc_ids; null ones come first
+        self.n_ids = self.nulls = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.out.write(ids.astype(f"<u{self.width}").tobytes())
         self.n_ids += len(ids)
-        self.doc_ids.append(doc_id)
+        if doc_id is None:
+            self.nulls += 1
+        else:
+            self.doc_ids.append(doc_id)
         self.ends.append(self.n_ids)
 
     def close(self) -> None:
         self.out.close()
-        known = [d for d in self.doc_ids if d is not None]
-        least = known[0] if known else 0
-        docs = EliasFano.build(np.array([d - least for d in known], np.uint64))
-        head = HEAD.pack(MAGIC, self.width, 0, len(self.ends), self.n_ids, len(self.ends) - len(known), least)
+        known = np.array(self.doc_ids, np.int64).view(np.uint64)
+        least = self.doc_ids[0] if self.doc_ids else 0
+        docs = EliasFano.build(known - np.uint64(least % (1 << 64)))     # modulo 2**64: exact for any two longs
+        head = HEAD.pack(MAGIC, self.width, 0, len(self.ends), self.n_ids, self.nulls, least)
         with self.system.open_output_stream(f"{self.base}.idx") as f:
             f.write(head + EliasFano.build(np.array(self.ends, np.uint64)).dump() + docs.dump())
 
@@ -175,29 +183,30 @@ READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: int = 2,
-                      shard_ids: int = 1 << 28) -> DataFrame:
-    """Encode every whole text, append ``end_id`` and write the data set to ``folder``.
+                      shard_ids: int = 1 << 28, shard_docs: int = 1 << 20) -> DataFrame:
+    """Encode every whole text, append ``end_id`` and write the data set to ``folder``, in shards of
+    about ``shard_ids`` ids and at most ``shard_docs`` documents (what a task holds of a shard's index).
     Returns the manifest: shard, n_docs, n_ids and first_id, the ids of all shards before."""
     vocabulary = vocabulary or tokens.default_vocabulary()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, done, shard = TaskContext.get().partitionId(), [], None
-        enc = tokens.encoder(vocabulary)
-        width = 2 if max(enc.vocab, end_id + 1) <= 1 << 16 else 4
+        width = 2 if max(tokens.encoder(vocabulary).vocab, end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], "<u4").tobytes()
 
         def finish(s: _Shard) -> None:
             s.close()
             done.append((part, len(done), s.name, len(s.ends), s.n_ids))
 
-        for b in batches:
-            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                if shard is not None and shard.n_ids >= shard_ids:
-                    finish(shard)
-                    shard = None
-                shard = shard or _Shard(folder, width)
-                shard.add(doc_id, np.frombuffer(enc.encode(text) + end, "<u4"))
+        with tokens.task_encoder(vocabulary) as enc:
+            for b in batches:
+                for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                    if shard is not None and (shard.n_ids >= shard_ids or len(shard.ends) >= shard_docs):
+                        finish(shard)
+                        shard = None
+                    shard = shard or _Shard(folder, width)
+                    shard.add(doc_id, np.frombuffer(enc.encode(text) + end, "<u4"))
         if shard is not None:
             finish(shard)
         if done:
@@ -215,9 +224,10 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for name, first in zip(b.column("shard").to_pylist(), b.column("first_id").to_pylist()):
-                got = [(d, first + s, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
-                       for d, s, ids in ShardReader(folder, name).documents()]
-                yield batch_of(READ, **dict(zip(("doc_id", "start", "n_tokens", "ids_crc32"), map(list, zip(*got)))))
+                found = ShardReader(folder, name).documents()
+                while got := [(d, first + s, len(ids), zlib.crc32(ids.astype("<u4").tobytes()))
+                              for d, s, ids in itertools.islice(found, 4096)]:
+                    yield batch_of(READ, **dict(zip(("doc_id", "start", "n_tokens", "ids_crc32"), map(list, zip(*got)))))
 
     width = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return manifest.select("shard", "first_id").repartition(width).mapInArrow(read, READ)

@@ -6,19 +6,24 @@ characters is one of its own. So a text is cut there, each distinct piece is enc
 once by the library, and the ids of a text are the concatenation of its pieces' ids: the
 same ids as one call on the whole text (tests compare both), at a fraction of the work.
 White space in any other place goes to the library as part of its piece. The piece
-cache belongs to the Python worker and is emptied when it holds ``most`` pieces.
+cache belongs to a task: it is emptied when it holds ``most`` bytes, and at the task's end (workers
+are used again by other stages); pieces longer than ``LONG_PIECE`` characters are encoded uncached.
 """
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import re
 import string
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 
 _CUT = re.compile(r" (?=\S)")
+LONG_PIECE = 64
+ENTRY_BYTES = 220          # of a cached piece: text, ids and their place, without the letters and ids themselves
 
 
 def _byte_letters() -> dict[int, str]:
@@ -40,6 +45,7 @@ class _Pieces(dict):
     def __init__(self, tokenizer, before: str, most: int):
         super().__init__()
         self.tokenizer, self.model, self.before, self.most = tokenizer, tokenizer.model, before, most
+        self.held = 0
         self.letters = _byte_letters()
         self.mapped = before.translate(self.letters)
         self.marks: dict[str, bytes] = {}
@@ -50,8 +56,6 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Irregular
-        if len(self) >= self.most:
-            self.clear()
         word = piece.rstrip(string.punctuation)
         if not word.isalpha() or max(word) >= "ɐ":
             ids = self.encode(self.before + piece)
@@ -59,17 +63,28 @@ class _Pieces(dict):
             ids = array("I", [t.id for t in self.model.tokenize(self.mapped + word.translate(self.letters))]).tobytes()
         else:                                            # a run of marks after letters is a pretoken
             marks = piece[len(word):]
-            if marks not in self.marks:
-                if len(self.marks) >= self.most:
-                    self.marks.clear()
-                self.marks[marks] = self.encode(marks)
-            ids = self[word] + self.marks[marks]
-        self[piece] = ids
+            tail = self.marks.get(marks)
+            if tail is None:
+                tail = self.encode(marks)
+                if len(marks) <= LONG_PIECE:
+                    self.marks[marks] = tail
+                    self.held += ENTRY_BYTES + 5 * len(marks)
+            ids = self[word] + tail
+        if len(piece) <= LONG_PIECE:
+            if self.held >= self.most:
+                self.release()
+            self[piece] = ids
+            self.held += ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
+    def release(self) -> None:
+        self.clear()
+        self.marks.clear()
+        self.held = 0
+
 
 class TextEncoder:
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 64 << 20):
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         self.heads, self.pieces = _Pieces(tokenizer, "", most // 4), _Pieces(tokenizer, " ", most)
@@ -93,13 +108,28 @@ class TextEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text), "<u4")
 
+    def release(self) -> None:
+        """Forget all pieces."""
+        self.heads.release()
+        self.pieces.release()
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> TextEncoder:
-    """One encoder per file and Python worker, kept between tasks."""
+    """One encoder per file and Python worker, kept between tasks without its pieces."""
     return TextEncoder(path)
 
 
+@contextlib.contextmanager
+def task_encoder(path: str) -> Iterator[TextEncoder]:
+    """The worker's encoder for one task; what it has cached is forgotten at the end."""
+    enc = encoder(path)
+    try:
+        yield enc
+    finally:
+        enc.release()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.json")

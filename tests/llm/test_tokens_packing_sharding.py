@@ -27,9 +27,14 @@ def test_piecewise_ids_equal_whole_text_ids(text):
 
 
 def test_a_small_cache_changes_nothing():
-    small = tokens.TextEncoder(tokens.default_vocabulary(), most=8)
-    for text in make_texts(2, 30):
-        assert small.ids(text).tolist() == whole(text)
+    for most in (8, 1000, 4000):
+        small = tokens.TextEncoder(tokens.default_vocabulary(), most=most)
+        for text in make_texts(2, 30):
+            for marked in (text, text.replace(" ", "., "), text.replace("a", "!?") + "." * 100, "x" * 300 + " " + text):
+                assert small.ids(marked).tolist() == whole(marked)
+        assert small.pieces.held <= most + 2000 and all(len(p) <= tokens.LONG_PIECE for p in small.pieces)
+        small.release()
+        assert not small.pieces and not small.pieces.held and not small.pieces.marks
 
 
 @settings(max_examples=200, deadline=None)
