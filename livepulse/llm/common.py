@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from livepulse.session import scratch_dir
@@ -169,41 +169,72 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str) ->
         *df.columns, (F.col("_at") - F.col("_first") + F.col("_before")).cast("long").alias(name))
 
 
+def stored_with(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and what ``measures`` (aggregates) come to over the rows written; no job of their own.
+    They are taken in the last stage, whose tasks count once each."""
+    seen = Observation()
+    out = stored(df.observe(seen, *[m.alias(k) for k, m in measures.items()]), name)
+    return out, seen.get
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges as a spanning forest of stars: (vertex, least vertex of its tree) of all vertices but the roots."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    left, right = at[:len(a)], at[len(a):]
+    root = np.arange(len(ids))
+    while True:                                      # least neighbour, then jumps to the root's root
+        new = root.copy()
+        np.minimum.at(new, left, root[right])
+        np.minimum.at(new, right, root[left])
+        np.minimum.at(new, root[left], root[right])
+        np.minimum.at(new, root[right], root[left])
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    hung = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[hung], ids[root[hung]]
+
+
+def contract(most: int = 1 << 18):
+    """Edges (a, b) of a task -> stars that connect the same vertices, about ``most`` edges at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            a = np.concatenate([a, batch.column("a").to_numpy()])
+            b = np.concatenate([b, batch.column("b").to_numpy()])
+            if len(a) >= most:
+                a, b = forest(a, b)
+                if len(a) >= most // 2:              # mostly different vertices: pass them on
+                    yield batch_of("a long, b long", a=a, b=b)
+                    a, b = a[:0], b[:0]
+        if len(a):
+            a, b = forest(a, b)
+            yield batch_of("a long, b long", a=a, b=b)
+    return run
+
+
 def least_labels(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of the edges (a long, b long): rows (id, label), label the
-    least id of the component. Alternating large-star and small-star rounds
-    (Kiveris et al., "Connected components in MapReduce and beyond"): each round is
-    two groupings and two joins on narrow rows, its result is stored, and the number
-    of rounds grows with the logarithm of the longest chain."""
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        # one row (u, v) for each neighbour v that u may re-hang
-        if large:
-            pairs = e.select(F.col("a").alias("u"), F.col("b").alias("v")) \
-                .unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        else:
-            pairs = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = pairs.groupBy("u").agg(F.min("v").alias("m")) \
-            .select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        hung = pairs.join(least, pairs.u == least.w)
-        if large:
-            out = hung.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-        else:
-            out = hung.select(F.col("v").alias("a"), F.col("m").alias("b")) \
-                .unionByName(least.select(F.col("w").alias("a"), F.col("m").alias("b")))
-        return out.filter(F.col("a") != F.col("b")).distinct()
-
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                   .filter(F.col("a") != F.col("b")).distinct(), name)
-    seen = state(edges)
-    while seen[0]:
-        edges = stored(star(star(edges, True), False), name)
-        now = state(edges)
-        if now == seen:
+    least id of the component. Each task first contracts its edges to stars; then alternating
+    large-star and small-star steps (Kiveris et al., "Connected components in MapReduce and
+    beyond") until nothing is re-hung. A round is three shuffles of narrow rows and its result is
+    stored; the number of rounds grows with the logarithm of the longest chain. A vertex keeps at most
+    one smaller neighbour from each task, so what is gathered by vertex is bounded by the tasks."""
+    edges = stored(edges.mapInArrow(contract(), "a long, b long"), name)
+    while True:
+        parents = edges.groupBy("a").agg(F.min("b").alias("parent")).withColumnRenamed("a", "_b")
+        # large star: whatever hangs on b moves to the parent of b
+        large = edges.join(parents, F.col("b") == F.col("_b"), "left").select(
+            "a", F.coalesce("parent", "b").alias("b"), F.col("parent").isNotNull().alias("moved"))
+        # small star: the smaller neighbours of a hang on the least of them
+        small = large.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("smaller"), F.max("moved").alias("moved"))
+        small = small.withColumn("moved", F.col("moved") | (F.size("smaller") > 1))
+        hung = small.select("m", "moved", F.explode(F.concat(F.array("a"), F.array_except("smaller", F.array("m")))).alias("a"))
+        edges, seen = stored_with(hung.select("a", F.col("m").alias("b"), "moved"), name, moved=F.count_if("moved"))
+        edges = edges.select("a", "b")
+        if not seen["moved"]:
             break
-        seen = now
     hung = edges.select(F.col("a").alias("id"), F.col("b").alias("label"))
     return hung.unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("label")).distinct())
 

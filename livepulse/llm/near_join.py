@@ -11,8 +11,9 @@ at least ``threshold``, and the groups these links form.
    enters a bucket for each of its tokens that a hash drawn for that bucket's path
    samples, 1 / ``sampling`` on average. Similar sets go on sharing sampled tokens level
    after level, others part. A bucket of one is dropped; a bucket of at most ``leaf`` is
-   brute-forced by its sketches; a larger one is split again. Before that, its members are
-   compared with a leader drawn from it: those near the leader are linked to it, and
+   brute-forced by its sketches; a larger one is split again, in the same pass over the sorted buckets.
+   Before that, its members, dealt to tasks of at most ``part`` with the leader in each, are
+   compared with a leader drawn from the bucket: those near the leader are linked to it, and
    those so close that any partner of theirs is near it as well (triangle inequality of the
    Jaccard distance: 1 - J(leader, partner) is at most 1 - J(leader, member) + 0.2) leave the
    recursion. A group of copies leaves at once, texts that share a passage go on.
@@ -41,12 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, hash_spans, least_labels, mix, stored, text_blocks, utf8, words
+from .common import batch_of, forest, hash_spans, least_labels, mix, stored, stored_with, text_blocks, utf8, words
 
 TOKENS = 128
 ROW = "doc_id long, k1 long, k2 long, size long, hi binary, lo binary"
 NODE = "node long, rep long"
-EDGE = "a long, b long"
 _MULTIPLIERS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
 MAYBE = 0.60        # sketches that agree this far may belong to a linked pair
 NEAR = 0.42         # a member that agrees this far with its bucket's leader is linked to it
@@ -133,106 +133,131 @@ def _first_level(runs: int, below: np.uint64):
     return run
 
 
-def _next_level(below: np.uint64):
+def _bucket_forest(rep: np.ndarray, values: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Small buckets, one after the other: stars over the pairs whose sketches agree."""
+    need = math.ceil(MAYBE * TOKENS)
+    start = np.cumsum(size) - size
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    lo = 0
+    while lo < len(size):                                # about half a million pairs at once
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:] * (size[lo:] - 1) // 2), 500_000)))
+        x, y = [], []
+        for s in np.unique(size[lo:hi]):
+            i, j = np.triu_indices(s, 1)
+            at = start[lo:hi][size[lo:hi] == s][:, None]
+            x.append((at + i).ravel())
+            y.append((at + j).ravel())
+        x, y = np.concatenate(x), np.concatenate(y)
+        for k in range(0, len(x), 1 << 16):
+            same = (values[x[k:k + (1 << 16)]] == values[y[k:k + (1 << 16)]]).sum(1) >= need
+            p, q = forest(rep[x[k:k + (1 << 16)][same]], rep[y[k:k + (1 << 16)][same]])
+            a.append(p)
+            b.append(q)
+        lo = hi
+    return forest(np.concatenate(a), np.concatenate(b))
+
+
+# edges (a, b) without sketches, rows of the next level (node a, class b) with them
+STEP = "a long, b long, hi binary, lo binary"
+
+
+def _bucket_pass(leaf: int, below: np.uint64, last: bool):
+    """Rows (node, part, rep, n, leader, hi, lo) sorted by node, part and leader first: every bucket is
+    brute-forced or split. A small bucket that goes on in the next batch waits for it; of a large one only
+    the leader's sketch is kept."""
+    def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = pa.nulls(len(a), pa.binary())
+        return batch_of(STEP, a=a, b=b, hi=none, lo=none)
+
+    def split(part: pa.RecordBatch, group: np.ndarray, first: np.ndarray, held: tuple | None):
+        """Members of large buckets against their leader."""
+        rep, leader, node = (part.column(c).to_numpy() for c in ("rep", "leader", "node"))
+        low = _lows(part.column("lo"))
+        lead = low[first]
+        if held is not None:
+            lead[0] = held[1]
+        agree = (low == lead[group]).mean(1)
+        own = rep == leader
+        near = ~own & (agree >= (0.0 if last else NEAR))
+        yield edges(*forest(leader[near], rep[near]))
+        if not last:
+            # the leader goes on once, from its first part
+            on = np.flatnonzero(np.where(own, part.column("part").to_numpy() == 0, agree < CLOSE))
+            for lo in range(0, len(on), 4096):
+                some = part.take(pa.array(on[lo:lo + 4096]))
+                token, at = _tokens(some), node[on[lo:lo + 4096]].view(np.uint64)
+                row, j = np.nonzero(token * (mix(at) | np.uint64(1))[:, None] < below)
+                some = some.take(pa.array(row))
+                yield batch_of(STEP, a=mix(at[row] * np.uint64(3) + token[row, j]).view(np.int64), b=some.column("rep"),
+                               hi=some.column("hi"), lo=some.column("lo"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry: pa.RecordBatch | None = None              # rows of a small bucket that may go on
+        held: tuple | None = None                        # (key, sketch) of the large bucket that may go on
         for b in batches:
-            for lo in range(0, b.num_rows, 4096):
-                part = b.slice(lo, 4096)
-                token, rep = _tokens(part), part.column("rep").to_numpy()
-                node = part.column("node").to_numpy().view(np.uint64)
-                row, j = np.nonzero(token * (mix(node) | np.uint64(1))[:, None] < below)
-                yield batch_of(NODE, node=mix(node[row] * np.uint64(3) + token[row, j]).view(np.int64), rep=rep[row])
+            if carry is not None:
+                b = pa.Table.from_batches([carry, b.cast(carry.schema)]).combine_chunks().to_batches()[0]
+                carry = None
+            if not b.num_rows:
+                continue
+            node, part, n = (b.column(c).to_numpy() for c in ("node", "part", "n"))
+            head = np.concatenate([[True], (node[1:] != node[:-1]) | (part[1:] != part[:-1])])
+            first = np.flatnonzero(head)
+            size = np.diff(np.concatenate([first, [len(node)]]))
+            small = n[first] <= leaf
+            if small[-1] and size[-1] < n[first[-1]]:
+                cut = int(first[-1])
+                carry, first, size, small = b.slice(cut), first[:-1], size[:-1], small[:-1]
+            if small.any():
+                rows = b.take(pa.array(np.flatnonzero(np.repeat(small, size))))
+                yield edges(*_bucket_forest(rows.column("rep").to_numpy(), _lows(rows.column("lo")), size[small]))
+            if not small.all():
+                rows = b.take(pa.array(np.flatnonzero(np.repeat(~small, size))))
+                sizes = size[~small]
+                group = np.repeat(np.arange(len(sizes)), sizes)
+                starts = np.cumsum(sizes) - sizes
+                key = int(node[first[~small][0]]), int(part[first[~small][0]])
+                known = held if held is not None and held[0] == key else None
+                yield from split(rows, group, starts, known)
+                key = int(node[first[~small][-1]]), int(part[first[~small][-1]])
+                if known is None or held is None or held[0] != key:
+                    held = key, _lows(rows.column("lo").slice(int(starts[-1]), 1))[0]
+        if carry is not None:
+            yield edges(*_bucket_forest(carry.column("rep").to_numpy(), _lows(carry.column("lo")), np.array([carry.num_rows])))
     return run
 
 
-def _leaf_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """reps array<long>, sketches array<binary> (lower bits) of each small bucket: a spanning forest of
-    the pairs whose sketches agree."""
-    need = math.ceil(MAYBE * TOKENS)
-    for b in batches:
-        size = np.diff(b.column("reps").offsets.to_numpy())
-        rep = b.column("reps").flatten().to_numpy()
-        values = _lows(b.column("sketches").flatten())
-        start = np.cumsum(size) - size
-        edges: list[tuple[int, int]] = []
-        lo = 0
-        while lo < len(size):                            # about a million pairs at once
-            hi = lo + max(1, int(np.searchsorted(np.cumsum(size[lo:] * (size[lo:] - 1) // 2), 500_000)))
-            x, y = [], []
-            for s in np.unique(size[lo:hi]):
-                i, j = np.triu_indices(s, 1)
-                at = start[lo:hi][size[lo:hi] == s][:, None]
-                x.append((at + i).ravel())
-                y.append((at + j).ravel())
-            x, y = np.concatenate(x), np.concatenate(y)
-            for k in range(0, len(x), 1 << 16):
-                same = (values[x[k:k + (1 << 16)]] == values[y[k:k + (1 << 16)]]).sum(1) >= need
-                edges += zip(x[k:k + (1 << 16)][same].tolist(), y[k:k + (1 << 16)][same].tolist())
-            lo = hi
-        root = list(range(len(rep)))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        kept = []
-        for i, j in edges:
-            p, q = find(i), find(j)
-            if p != q:
-                root[q] = p
-                kept.append((i, j))
-        if kept:
-            at = np.array(kept)
-            yield batch_of(EDGE, a=rep[at[:, 0]], b=rep[at[:, 1]])
-
-
-def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, depth: int) -> DataFrame:
+def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, depth: int, part: int = 100_000) -> DataFrame:
     """The recursion. ``reps``: stored rows (rep, hi, lo). Edges (a, b) that connect all
-    classes whose sketches met and agreed."""
+    classes whose sketches met and agreed. A level is one shuffle of counts, one join and one pass."""
     below = np.uint64(int(2 ** 64 / (sampling * TOKENS)))
-    level = stored(reps.mapInArrow(_first_level(runs, below), NODE), "path-level")
-    low = reps.select(F.col("rep").alias("_rep"), F.col("lo").alias("sketch"))
-    whole = reps.select(F.col("rep").alias("_rep"), "hi", "lo")
+    level = reps.mapInArrow(_first_level(runs, below), NODE)
     edges = []
     for d in range(1, depth + 1):
-        buckets = stored(level.groupBy("node").agg(
-            F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "node")).alias("leader"))
-            .filter("n > 1").withColumnRenamed("node", "_node"), "path-buckets")
-        inside = stored(level.join(buckets, F.col("node") == F.col("_node")).drop("_node"), "path-inside")
-        small = inside.filter(F.col("n") <= leaf).select("node", "rep") \
-            .join(low, F.col("rep") == F.col("_rep")) \
-            .groupBy("node").agg(F.collect_list("rep").alias("reps"), F.collect_list("sketch").alias("sketches"))
-        edges.append(stored(small.select("reps", "sketches").mapInArrow(_leaf_edges, EDGE), "path-edges"))
-        if buckets.filter(F.col("n") > leaf).isEmpty():
+        buckets = level.groupBy("node").agg(
+            F.count("*").alias("n"), F.min_by("rep", F.xxhash64("rep", "node")).alias("leader")) \
+            .filter("n > 1").withColumnRenamed("node", "_node")
+        inside = level.join(buckets, F.col("node") == F.col("_node")).drop("_node")
+        if d == 1:
+            inside = inside.join(reps.select(F.col("rep").alias("_rep"), "hi", "lo"), F.col("rep") == F.col("_rep")).drop("_rep")
+        parts = F.ceil(F.col("n") / part).cast("int")
+        own = F.col("rep") == F.col("leader")
+        dealt = inside.withColumn("part", F.explode(
+            F.when(own, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), parts).cast("int")))))
+        dealt = dealt.repartition("node", "part").sortWithinPartitions("node", "part", own.desc())
+        step, seen = stored_with(
+            dealt.select("node", "part", "rep", "n", "leader", "hi", "lo").mapInArrow(_bucket_pass(leaf, below, d == depth), STEP),
+            "path-step", next=F.count("lo"))
+        edges.append(step.filter("lo is null").select("a", "b"))
+        if not seen["next"]:
             break
-        large = inside.filter(F.col("n") > leaf).select("node", "rep", "leader") \
-            .join(whole, F.col("rep") == F.col("_rep")).drop("_rep")
-        lead = low.select(F.col("_rep").alias("_leader"), F.col("sketch").alias("lead"))
-        large = stored(large.join(lead, F.col("leader") == F.col("_leader")).mapInArrow(_against_leader, LARGE),
-                       "path-large")
-        edges.append(large.filter((F.col("agree") >= (NEAR if d < depth else 0.0)) & (F.col("rep") != F.col("leader")))
-                     .select(F.col("leader").alias("a"), F.col("rep").alias("b")))
-        if d < depth:     # the last level links what is left to its leader: the exact comparison decides
-            level = stored(large.filter(F.col("agree") < CLOSE).select("node", "rep", "hi", "lo")
-                           .mapInArrow(_next_level(below), NODE), "path-level")
+        level = step.filter("lo is not null").select(F.col("a").alias("node"), F.col("b").alias("rep"), "hi", "lo")
     out = edges[0]
     for e in edges[1:]:
         out = out.unionByName(e)
     return out
 
 
-LARGE = "node long, rep long, leader long, agree double, hi binary, lo binary"
-
-
-def _against_leader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        agree = (_lows(b.column("lo")) == _lows(b.column("lead"))).mean(1)
-        agree[b.column("rep").to_numpy() == b.column("leader").to_numpy()] = 0.0
-        yield batch_of(LARGE, agree=agree, **{c: b.column(c) for c in ("node", "rep", "leader", "hi", "lo")})
-
-
 def exact_links(left: list[np.ndarray], right: list[np.ndarray] | None, threshold: float) -> np.ndarray:
     """Matrix: do the two sets reach the threshold? ``right`` None: among ``left``, without the diagonal."""
     sets = left + (right or [])
