@@ -159,18 +159,19 @@ def _bucket_forest(rep: np.ndarray, values: np.ndarray, size: np.ndarray) -> tup
 
 # edges (a, b) without sketches, rows of the next level (node a, class b) with them
 STEP = "a long, b long, hi binary, lo binary"
+HELD_EDGES = 1 << 18
 
 
-def _bucket_pass(leaf: int, below: np.uint64, last: bool):
+def _bucket_pass(leaf: int, below: np.uint64, last: bool, most: int):
     """Rows (node, part, rep, n, leader, hi, lo) sorted by node, part and leader first: every bucket is
     brute-forced or split. A small bucket that goes on in the next batch waits for it; of a large one only
-    the leader's sketch is kept."""
+    the leader's sketch is kept. Edges leave the task as stars over what they connect."""
     def edges(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         none = pa.nulls(len(a), pa.binary())
         return batch_of(STEP, a=a, b=b, hi=none, lo=none)
 
-    def split(part: pa.RecordBatch, group: np.ndarray, first: np.ndarray, held: tuple | None):
-        """Members of large buckets against their leader."""
+    def split(part: pa.RecordBatch, group: np.ndarray, first: np.ndarray, held: tuple | None, found: list):
+        """Members of large buckets against their leader; edges go to ``found``."""
         rep, leader, node = (part.column(c).to_numpy() for c in ("rep", "leader", "node"))
         low = _lows(part.column("lo"))
         lead = low[first]
@@ -179,22 +180,44 @@ def _bucket_pass(leaf: int, below: np.uint64, last: bool):
         agree = (low == lead[group]).mean(1)
         own = rep == leader
         near = ~own & (agree >= (0.0 if last else NEAR))
-        yield edges(*forest(leader[near], rep[near]))
+        found.append(forest(leader[near], rep[near]))
         if not last:
             # the leader goes on once, from its first part
             on = np.flatnonzero(np.where(own, part.column("part").to_numpy() == 0, agree < CLOSE))
             for lo in range(0, len(on), 4096):
-                some = part.take(pa.array(on[lo:lo + 4096]))
-                token, at = _tokens(some), node[on[lo:lo + 4096]].view(np.uint64)
-                row, j = np.nonzero(token * (mix(at) | np.uint64(1))[:, None] < below)
-                some = some.take(pa.array(row))
-                yield batch_of(STEP, a=mix(at[row] * np.uint64(3) + token[row, j]).view(np.int64), b=some.column("rep"),
-                               hi=some.column("hi"), lo=some.column("lo"))
+                at = on[lo:lo + 4096]
+                token, path = _tokens(part.take(pa.array(at))), node[at].view(np.uint64)
+                row, j = np.nonzero(token * (mix(path) | np.uint64(1))[:, None] < below)
+                yield at[row], mix(path[row] * np.uint64(3) + token[row, j]).view(np.int64)
+
+    def members(ahead: list[tuple[np.ndarray, pa.RecordBatch]], whole: bool) -> Iterator[pa.RecordBatch]:
+        """Rows of the next level from one bucket; where all its members were here, a child that only one of
+        them enters is a bucket of one."""
+        if not ahead:
+            return
+        nodes = np.concatenate([x for x, _ in ahead])
+        _, back, times = np.unique(nodes, return_inverse=True, return_counts=True)
+        keep = times[back] > 1 if whole else np.ones(len(nodes), bool)
+        at = 0
+        for x, rows in ahead:
+            here = pa.array(np.flatnonzero(keep[at:at + len(x)]))
+            at += len(x)
+            rows = rows.take(here)
+            if len(here):
+                yield batch_of(STEP, a=x[here.to_numpy()], b=rows.column("rep"), hi=rows.column("hi"), lo=rows.column("lo"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: pa.RecordBatch | None = None              # rows of a small bucket that may go on
         held: tuple | None = None                        # (key, sketch) of the large bucket that may go on
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        ahead: list[tuple[np.ndarray, pa.RecordBatch]] = []
+        open_key: tuple | None = None
+        single = True
         for b in batches:
+            if len(found) > 1:
+                found = [forest(*(np.concatenate(x) for x in zip(*found)))]
+                if len(found[0][0]) > HELD_EDGES:        # mostly different classes: pass them on
+                    yield edges(*found.pop())
             if carry is not None:
                 b = pa.Table.from_batches([carry, b.cast(carry.schema)]).combine_chunks().to_batches()[0]
                 carry = None
@@ -210,7 +233,7 @@ def _bucket_pass(leaf: int, below: np.uint64, last: bool):
                 carry, first, size, small = b.slice(cut), first[:-1], size[:-1], small[:-1]
             if small.any():
                 rows = b.take(pa.array(np.flatnonzero(np.repeat(small, size))))
-                yield edges(*_bucket_forest(rows.column("rep").to_numpy(), _lows(rows.column("lo")), size[small]))
+                found.append(_bucket_forest(rows.column("rep").to_numpy(), _lows(rows.column("lo")), size[small]))
             if not small.all():
                 rows = b.take(pa.array(np.flatnonzero(np.repeat(~small, size))))
                 sizes = size[~small]
@@ -218,12 +241,23 @@ def _bucket_pass(leaf: int, below: np.uint64, last: bool):
                 starts = np.cumsum(sizes) - sizes
                 key = int(node[first[~small][0]]), int(part[first[~small][0]])
                 known = held if held is not None and held[0] == key else None
-                yield from split(rows, group, starts, known)
+                # its members' children wait for the end of a bucket
+                for at, child in split(rows, group, starts, known, found):
+                    for g in np.unique(group[at]):
+                        mine = group[at] == g
+                        key = int(node[first[~small][g]]), int(part[first[~small][g]])
+                        if key != open_key:
+                            yield from members(ahead, single)
+                            ahead, open_key, single = [], key, bool(n[first[~small][g]] <= most)
+                        ahead.append((child[mine], rows.take(pa.array(at[mine])).select(["rep", "hi", "lo"])))
                 key = int(node[first[~small][-1]]), int(part[first[~small][-1]])
                 if known is None or held is None or held[0] != key:
                     held = key, _lows(rows.column("lo").slice(int(starts[-1]), 1))[0]
         if carry is not None:
-            yield edges(*_bucket_forest(carry.column("rep").to_numpy(), _lows(carry.column("lo")), np.array([carry.num_rows])))
+            found.append(_bucket_forest(carry.column("rep").to_numpy(), _lows(carry.column("lo")), np.array([carry.num_rows])))
+        yield from members(ahead, single)
+        if found:
+            yield edges(*forest(*(np.concatenate(x) for x in zip(*found))))
     return run
 
 
@@ -246,7 +280,7 @@ def candidate_edges(reps: DataFrame, runs: int, sampling: float, leaf: int, dept
             F.when(own, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), parts).cast("int")))))
         dealt = dealt.repartition("node", "part").sortWithinPartitions("node", "part", own.desc())
         step, seen = stored_with(
-            dealt.select("node", "part", "rep", "n", "leader", "hi", "lo").mapInArrow(_bucket_pass(leaf, below, d == depth), STEP),
+            dealt.select("node", "part", "rep", "n", "leader", "hi", "lo").mapInArrow(_bucket_pass(leaf, below, d == depth, part), STEP),
             "path-step", next=F.count("lo"))
         edges.append(step.filter("lo is null").select("a", "b"))
         if not seen["next"]:
