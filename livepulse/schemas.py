@@ -71,13 +71,10 @@ SILVER_GAMES = T.StructType([
     _f("url", S), _f("first_release_date", TS),
 ] + [_f(c, T.ArrayType(S)) for c in SILVER_GAMES_LISTS])
 
-# State kept per stream by the change detector.
-# Baseline of a stream (poll times as microseconds), then its polls the watermark has not passed yet.
-TRANSITION_STATE = T.StructType([
-    _f("last_game", S), _f("last_title", S), _f("last_viewers", L), _f("last_us", L),
-    _f("held_us", T.ArrayType(L)), _f("held_game", T.ArrayType(S)), _f("held_title", T.ArrayType(S)),
-    _f("held_viewers", T.ArrayType(L)), _f("held_user", T.ArrayType(S)),
-])
+# State kept per stream by the change detector: its previous poll, and the polls the watermark has not
+# passed yet (poll times as microseconds).
+LAST_POLL = T.StructType([_f("us", L), _f("game", S), _f("title", S), _f("viewers", L)])
+WAITING_POLL = T.StructType([*LAST_POLL, _f("user", S)])
 
 # --- gold (star schema) ---------------------------------------------------------
 

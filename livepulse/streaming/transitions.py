@@ -1,16 +1,16 @@
 """Stateful change detection over a stream of snapshots.
 
-Keyed by stream id with ``applyInPandasWithState``. Polls may arrive in any order
-within the watermark's delay: a poll is held in the state until the watermark passes
-it, and only then compared with the stream's previous poll, so the events are those of
-the batch detector whatever the order of files. A timer at the oldest held poll
-releases held polls when no more data arrives for that stream; without held polls the timer
-is the idle limit, and it is never set at or before the watermark (the state is removed
-instead). Polls later than the watermark's delay never reach the function: Spark drops
-them and counts them in the query progress, see :func:`dropped_rows`.
-
-A poll leaves the state one watermark delay after its time; ``availableNow`` therefore ends
-with the newest polls still held, and the next run continues from there.
+A stateful processor per stream id (``transformWithStateInPandas``, RocksDB state). Polls may arrive in
+any order within the watermark's delay: a poll waits in a list state until the watermark passes it, and
+only then is it compared with the stream's previous poll, so the events are those of the batch detector
+whatever the order of files. Arriving polls are appended to the list without reading it. One timer per
+stream, at its oldest waiting poll, settles what the watermark has passed; without waiting polls the
+timer is the idle limit, at which the stream's state goes. Polls later than the watermark's delay never
+reach the processor: Spark drops them and counts them in the query progress, see :func:`dropped_rows`.
+
+The state of a stream is its previous poll and the polls of one watermark delay (plus those of one
+micro-batch). A poll leaves the state one watermark delay after its time; ``availableNow`` therefore ends
+with the newest polls still waiting, and the next run continues from there.
 """
 
 from __future__ import annotations
@@ -19,15 +19,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from livepulse.functions.constants import GAME_CHANGE, IDLE_HOURS, TITLE_CHANGE
-from livepulse.schemas import TRANSITION_STATE, TRANSITIONS
+from livepulse.schemas import LAST_POLL, TRANSITIONS, WAITING_POLL
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUT_COLS = [f.name for f in TRANSITIONS.fields]
-HELD = ["us", "game", "title", "viewers", "user"]
+POLL = ["us", "game", "title", "viewers", "user"]
 
 
 def _texts(values: np.ndarray, null_text: str | None) -> np.ndarray:
@@ -64,44 +65,78 @@ def _plain(viewers: np.ndarray) -> list:
     return np.where(null, None, np.where(null, 0, viewers).astype(np.int64).astype(object)).tolist()
 
 
-def make_detector(idle_hours: float = IDLE_HOURS, null_text: str | None = None):
-    idle_us = int(idle_hours * 3600 * 1_000_000)
-
-    def detect(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        mark_ms = state.getCurrentWatermarkMs()
-        parts, based = [], False
-        if state.exists:
-            game, title, viewers, us, *held = state.get
-            based = us is not None
-            if based:
-                parts.append(_arrays([us], [game], [title], [viewers], [None]))
-            parts.append(_arrays(*held))
-        if not state.hasTimedOut:
-            parts += (_arrays(p["us"], p["game_name"], p["title"], p["viewer_count"], p["user_name"]) for p in pdfs)
-        polls = {c: np.concatenate([p[c] for p in parts]) for c in HELD}
-        order = np.argsort(polls["us"], kind="stable")                  # the baseline is older than any held poll
+def _rows_of(polls: dict[str, np.ndarray], lo: int, hi: int) -> list[tuple]:
+    """Polls as state rows (POLL)."""
+    part = {c: polls[c][lo:hi] for c in POLL}
+    return list(zip(part["us"].tolist(), part["game"].tolist(), part["title"].tolist(), _plain(part["viewers"]), part["user"].tolist()))
+
+
+class ChangeDetector(StatefulProcessor):
+    """Events of one stream id, in the order of its polls."""
+
+    def __init__(self, idle_hours: float = IDLE_HOURS, null_text: str | None = None):
+        self.idle_us, self.null_text = int(idle_hours * 3600 * 1_000_000), null_text
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", LAST_POLL)
+        self.waiting = handle.getListState("waiting", WAITING_POLL)
+        self.timer = handle.getValueState("timer", "ms long")
+
+    def _set_timer(self, ms: int) -> None:
+        if self.timer.exists():
+            self.handle.deleteTimer(self.timer.get()[0])
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        oldest = None
+        for p in rows:
+            polls = _arrays(p["us"], p["game_name"], p["title"], p["viewer_count"], p["user_name"])
+            self.waiting.appendList(_rows_of(polls, 0, len(p)))
+            first = int(polls["us"].min())
+            oldest = first if oldest is None else min(first, oldest)
+        if oldest is not None:
+            due = max(-(-oldest // 1000), timerValues.getCurrentWatermarkInMs() + 1)
+            if not self.timer.exists() or self.last.exists() or due < self.timer.get()[0]:
+                self._set_timer(min(due, self.timer.get()[0]) if self.timer.exists() else due)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark_ms = timerValues.getCurrentWatermarkInMs()
+        self.timer.clear()
+        parts, based = [], self.last.exists()
+        if based:
+            us, game, title, viewers = self.last.get()
+            parts.append(_arrays([us], [game], [title], [viewers], [None]))
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        parts.append(_arrays(*zip(*held)) if held else _arrays([], [], [], [], []))
+        polls = {c: np.concatenate([p[c] for p in parts]) for c in POLL}
+        order = np.argsort(polls["us"], kind="stable")                  # the last settled poll is older than any waiting
         polls = {c: v[order] for c, v in polls.items()}
+        n = len(order)
         settled = int(np.searchsorted(polls["us"], mark_ms * 1000, "right"))
         if settled > based:
-            events = _events(str(key[0]), {c: v[:settled] for c, v in polls.items()}, idle_us, null_text)
+            events = _events(str(key[0]), {c: v[:settled] for c, v in polls.items()}, self.idle_us, self.null_text)
             if events is not None:
                 yield events
-        waiting = len(order) - settled
-        # the next moment something happens: a held poll settles, or the stream has been idle too long
-        due_us = int(polls["us"][settled]) if waiting else int(polls["us"][settled - 1]) + idle_us
-        if not waiting and due_us <= mark_ms * 1000:
-            if state.exists:
-                state.remove()
-            return
-        last = (None,) * 4 if not settled else (
-            polls["game"][settled - 1], polls["title"][settled - 1], _plain(polls["viewers"][settled - 1:settled])[0],
-            int(polls["us"][settled - 1]))
-        held = {c: v[settled:] for c, v in polls.items()}
-        state.update((*last, held["us"].tolist(), held["game"].tolist(), held["title"].tolist(),
-                      _plain(held["viewers"]), held["user"].tolist()))
-        state.setTimeoutTimestamp(max(-(-due_us // 1000), mark_ms + 1))
-
-    return detect
+            self.last.update(_rows_of(polls, settled - 1, settled)[0][:4])
+        if settled < n:
+            if settled > based:
+                self.waiting.put(_rows_of(polls, settled, n))
+            due_us = int(polls["us"][settled])
+        else:
+            self.waiting.clear()
+            due_us = int(polls["us"][-1]) + self.idle_us if n else 0
+            if due_us <= mark_ms * 1000:                                # idle for too long: forgotten
+                self.last.clear()
+                return
+        self._set_timer(max(-(-due_us // 1000), mark_ms + 1))
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """The state store the detector needs; a session setting that a query's first start writes to its checkpoint."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
 def detect_transitions_stream(snapshots: DataFrame, watermark: str = "1 hour",
@@ -110,6 +145,7 @@ def detect_transitions_stream(snapshots: DataFrame, watermark: str = "1 hour",
     title, viewer_count, ingestion_ts. Rows without a stream id or poll time cannot be
     ordered and are left out. ``watermark`` is how late a poll may arrive; a poll's events
     appear once the watermark has passed it."""
+    use_rocksdb(snapshots.sparkSession)
     s = (snapshots.select("stream_id", "user_name", F.col("game_name").cast("string").alias("game_name"),
                           F.col("title").cast("string").alias("title"),
                           F.col("viewer_count").cast("long").alias("viewer_count"),
@@ -117,9 +153,8 @@ def detect_transitions_stream(snapshots: DataFrame, watermark: str = "1 hour",
          .where(F.col("stream_id").isNotNull() & F.col("ingestion_ts").isNotNull())
          .withColumn("us", F.unix_micros("ingestion_ts"))
          .withWatermark("ingestion_ts", watermark))
-    return s.groupBy("stream_id").applyInPandasWithState(
-        make_detector(idle_hours, null_text), TRANSITIONS, TRANSITION_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return s.groupBy("stream_id").transformWithStateInPandas(
+        ChangeDetector(idle_hours, null_text), TRANSITIONS, "Append", "EventTime")
 
 
 def dropped_rows(query: StreamingQuery) -> int:
