@@ -35,6 +35,18 @@ def _file_bytes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return files.distinct().groupBy(*cols).agg(F.sum("_size").alias("_bytes"))
 
 
+def newest_day(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", as_of: date | None = None) -> DataFrame:
+    """Rows of the newest day (not after ``as_of``) of a table partitioned by year/month/day of its poll time: the day
+    comes from the listing alone, so the newest poll is found by reading one day and not the history's
+    time column. Pass it as ``polls`` to ``latest_snapshot`` or ``snapshot_asof``."""
+    table = spark.read.format(fmt).schema(schema).load(path)
+    days = data_files(spark, path).select((F.col("year") * 10000 + F.col("month") * 100 + F.col("day")).alias("d"))
+    if as_of is not None:
+        days = days.where(F.col("d") <= as_of.year * 10000 + as_of.month * 100 + as_of.day)
+    newest = days.agg(F.max("d")).first()[0]
+    return table.where(F.lit(False)) if newest is None else on_date(table, date(newest // 10000, newest // 100 % 100, newest % 100))
+
+
 #: A file below this share of the target is small.
 SMALL_SHARE = 0.75
 COMPACTED = "compacted-"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from livepulse.operators import broadcasts as Fq
+from livepulse.operators.selection import audience_by, exact_median, hourly_audience
 from livepulse.plans import profiles as P
 from livepulse.plans.q_transitions import e_transitions
 from livepulse.plans.registry import query
@@ -174,6 +175,24 @@ def q_stream_kpis(spark, sf):
     return Fq.stream_kpis(silver(spark, sf), latest(spark, sf))
 
 
+@query("median_viewers_by_language", sql("""
+SELECT language, CAST(median(viewer_count) AS DOUBLE) AS median_viewers FROM e_silver GROUP BY language""", "e_silver"))
+def q_median_viewers_by_language(spark, sf):
+    """Exact medians over the whole history, by selection: no group's values meet in one task."""
+    return exact_median(silver(spark, sf), "viewer_count", ["language"], "median_viewers")
+
+
+@query("streamers_by_day_sketch", sql("""
+SELECT started_day, count(DISTINCT user_name) AS streamers, true AS sketch_is_close FROM e_silver GROUP BY started_day""", "e_silver"))
+def q_streamers_by_day_sketch(spark, sf):
+    """Distinct streamers by day of the month from merged sketches of the daily groups, beside the exact count."""
+    s = silver(spark, sf)
+    sketched = audience_by(hourly_audience(s, keys=("language", "started_year", "started_month", "started_day", "started_hour")), "started_day")
+    exact = s.groupBy("started_day").agg(F.count_distinct("user_name").alias("streamers"))
+    close = F.abs(F.col("distinct_streamers") - F.col("streamers")) <= F.greatest(F.lit(1), F.col("streamers") * 0.05)
+    return exact.join(sketched, "started_day").select("started_day", "streamers", close.alias("sketch_is_close"))
+
+
 @query("streamer_metrics_long", sql("""
 SELECT user_name, 'latest' AS metric, CAST(latest_viewer_count AS BIGINT) AS viewers FROM e_top_streamers
 UNION ALL SELECT user_name, 'peak', CAST(peak_viewers AS BIGINT) FROM e_top_streamers

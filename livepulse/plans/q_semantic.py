@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from livepulse.operators import semantic as H
+from livepulse.operators.label_index import label_index
 from livepulse.plans.q_gold import s_catalogue, s_dim_game, s_named_fact, s_star, s_star_dimensional
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import lj, sql
@@ -191,6 +192,18 @@ def q_slicer_keyword(spark, sf):
     return H.by(sliced, ["language"], _m(avg_viewers=R6(H.avg_viewers())))
 
 
+@query("slicer_theme_and_keyword", sql(f"""
+SELECT language, {AVG} AS avg_viewers FROM s_fact
+WHERE game_name IN (SELECT game_name FROM {_bridge_sql('themes', 'theme')} WHERE theme IN ('red', 'blue'))
+  AND game_name IN (SELECT game_name FROM {_bridge_sql('keywords', 'keyword')} WHERE keyword IN ('Brand#11', 'Brand#22', 'Brand#33'))
+GROUP BY language""", "s_fact", "s_dim_game"))
+def q_slicer_theme_and_keyword(spark, sf):
+    """Two bridge slicers at once, through the bitmaps of the catalogue's labels."""
+    index = label_index(s_catalogue(spark, sf, "themes", "keywords"), {"theme": "themes", "keyword": "keywords"}, key="game_name")
+    games = index.select({"theme": THEMES, "keyword": ("Brand#11", "Brand#22", "Brand#33")})
+    return H.by(s_named_fact(spark, sf).join(games, "game_name", "left_semi"), ["language"], _m(avg_viewers=R6(H.avg_viewers())))
+
+
 @query("slicer_language", sql(f"""
 SELECT user_name, {AVG} AS avg_viewers FROM s_fact WHERE language IN ('ASIA', 'EUROPE') GROUP BY user_name""", "s_fact"))
 def q_slicer_language(spark, sf):

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from livepulse.operators import gold
 from livepulse.operators import maintenance as J
 from livepulse.operators import silver as C
+from livepulse.operators.broadcasts import latest_snapshot
 from livepulse.plans import profiles as P
 from livepulse.plans.q_transitions import e_transitions  # noqa: F401  (oracle block)
 from livepulse.plans.registry import query
 from livepulse.plans.sqllib import sql
 from livepulse.schemas import STREAM_TAGS, TRANSITIONS
-from livepulse.session import drop_dir, materialize, scratch_dir
+from livepulse.session import drop_dir, list_dir, materialize, scratch_dir
 from livepulse.sources.streams import append_stream, table_stream
 from livepulse.streaming import jobs
 from livepulse.streaming.transitions import detect_transitions_stream
@@ -52,29 +53,53 @@ def q_stream_tags_stream(spark, sf):
     return spark.read.schema(STREAM_TAGS).parquet(out)
 
 
+ARRIVAL_HOURS = 12    # how late a poll may arrive in transitions_stream
+
+
+def _in_order(spark, path):
+    """Give the files of a folder modification times in the order of their names: a file stream takes
+    the oldest first."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    names = [n for n in list_dir(spark, path) if n.startswith("part-")]
+    for i, n in enumerate(names):
+        p = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}")
+        p.getFileSystem(conf).setTimes(p, 1_000_000_000_000 + 1000 * i, -1)
+
+
 @query("transitions_stream", sql("SELECT * FROM e_transitions", "e_transitions"))
 def q_transitions_stream(spark, sf):
-    """Stateful streaming detector over snapshots that arrive in no order at all: polls are
-    dealt over the staged files by a hash, so each of the several micro-batches holds polls of all
-    times. A last file moves the watermark past the data, which settles every poll."""
+    """Stateful streaming detector over snapshots that arrive late: each poll up to ``ARRIVAL_HOURS`` after
+    its time, so the files, in order of arrival, hold polls out of order. The watermark is an hour more
+    than that, and a stream's state holds the polls of that time and of a micro-batch, not all of them. A
+    last file moves the watermark past the data, which settles every poll."""
     snaps = P.e_snapshots(spark, sf)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src_path = _stage(snaps.repartition(width, F.xxhash64("stream_id", "ingestion_ts")), spark, "snapshots")
-    span = snaps.agg(F.max("ingestion_ts").alias("last"),
-                     F.timestamp_diff("SECOND", F.min("ingestion_ts"), F.max("ingestion_ts")).alias("seconds")).first()
-    delay = (span["seconds"] or 0) + 86_400
+    late = F.pmod(F.xxhash64("stream_id", "ingestion_ts"), F.lit(ARRIVAL_HOURS * 3600)).cast("int")
+    arrival = F.timestamp_add("SECOND", late, F.col("ingestion_ts"))
+    src_path = _stage(snaps.withColumn("_arrival", arrival).repartitionByRange(width, "_arrival").drop("_arrival"), spark, "snapshots")
+    _in_order(spark, src_path)
+    last = spark.read.schema(snaps.schema).parquet(src_path).agg(F.max("ingestion_ts")).first()[0]
     closing = spark.range(1).select(*[
         (F.lit("closing") if f.name == "stream_id" else
-         F.lit(span["last"]).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(delay + 86_400))
-         if f.name == "ingestion_ts" else F.lit(None)).cast(f.dataType).alias(f.name) for f in snaps.schema])
+         F.lit(last).cast("timestamp") + F.make_dt_interval(F.lit(4)) if f.name == "ingestion_ts" else
+         F.lit(None)).cast(f.dataType).alias(f.name) for f in snaps.schema])
     closing.write.mode("append").parquet(src_path)
     out, ckpt = scratch_dir(spark, "silver", "transitions"), scratch_dir(spark, "ckpt", "transitions")
     src = table_stream(spark, src_path, snaps.schema, max_files_per_trigger=-(-width // 3))
-    _drain(append_stream(detect_transitions_stream(src, f"{delay} seconds"), out, ckpt, trigger="available_now"))
+    _drain(append_stream(detect_transitions_stream(src, f"{ARRIVAL_HOURS + 1} hours"), out, ckpt, trigger="available_now"))
     drop_dir(spark, src_path)
     return spark.read.schema(TRANSITIONS).parquet(out)
 
 
+def _named_fact(g):
+    """The fact with the names its dimensions give."""
+    return (g["fact_stream_hourly"].join(g["dim_game"].select("game_id", "game_name"), "game_id")
+            .join(g["dim_streamer"].select("streamer_id", "user_name"), "streamer_id")
+            .join(g["dim_language"].select("language_id", "language"), "language_id")
+            .select("game_name", "user_name", "language", "date_id", "time_hour", "max_viewers",
+                    "sum_viewers", "count_observations"))
+
+
 @query("fact_hourly_stream", sql("SELECT * FROM s_fact", "s_fact"))
 def q_fact_hourly_stream(spark, sf):
     """Gold catch-up over silver in several micro-batches; partial hourly rows of different
@@ -93,13 +118,27 @@ def q_fact_hourly_stream(spark, sf):
     finally:
         games.unpersist()
     drop_dir(spark, src_path)
-    g = jobs.read_gold(spark, root)
-    f = g["fact_stream_hourly"]
-    return (f.join(g["dim_game"].select("game_id", "game_name"), "game_id")
-            .join(g["dim_streamer"].select("streamer_id", "user_name"), "streamer_id")
-            .join(g["dim_language"].select("language_id", "language"), "language_id")
-            .select("game_name", "user_name", "language", "date_id", "time_hour", "max_viewers",
-                    "sum_viewers", "count_observations"))
+    return _named_fact(jobs.read_gold(spark, root))
+
+
+@query("fact_hourly_folded", sql("SELECT * FROM s_fact", "s_fact"))
+def q_fact_hourly_folded(spark, sf):
+    """Gold catch-up in micro-batches capped by bytes, each committed by its record; the committed batches
+    folded into one generation and read back without a shuffle."""
+    silver = P.s_silver(spark, sf)
+    src_path = _stage(silver, spark, "silver_streams")
+    size = J.data_files(spark, src_path).agg(F.sum("length")).first()[0] or 0
+    root, ckpt = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt", "gold")
+    games = gold.dedupe_catalogue(P.s_games(spark, sf), order=P.CATALOGUE_ORDER).persist()
+    try:
+        _drain(jobs.gold_job(spark, src_path, games, root, ckpt, silver.schema, catalogue_order=P.CATALOGUE_ORDER,
+                             max_bytes_per_trigger=max(size // 3, 1_000_000), gate=True))
+    finally:
+        games.unpersist()
+    drop_dir(spark, src_path)
+    jobs.fold_gold(spark, root)
+    jobs.gold_tables(spark, root).vacuum()
+    return _named_fact(jobs.read_gold(spark, root))
 
 
 @query("partition_pruned_scan", sql("""
@@ -118,6 +157,19 @@ def q_partition_pruned_scan(spark, sf):
     return J.on_date(t, d).select("stream_id", "ingestion_ts", "viewer_count", "year", "month", "day")
 
 
+@query("latest_snapshot_by_listing", sql("""
+SELECT stream_id, ingestion_ts, viewer_count FROM e_bronze
+WHERE date_trunc('day', ingestion_ts) = (SELECT max(date_trunc('day', ingestion_ts)) FROM e_bronze)""", "e_bronze"))
+def q_latest_snapshot_by_listing(spark, sf):
+    """The newest poll (a day here) of a date-partitioned table: its day comes from the listing, its time from that
+    day's rows, and the snapshot is read from that day alone."""
+    bronze = P.e_bronze(spark, sf)
+    path = _stage(bronze, spark, "bronze_partitioned", partition_by=("year", "month", "day"))
+    t = spark.read.schema(bronze.schema).parquet(path)
+    polls = J.newest_day(spark, path, bronze.schema)
+    return latest_snapshot(t, grain="day", polls=polls).select("stream_id", "ingestion_ts", "viewer_count")
+
+
 SMALL_FILES = 8       # per day, before compaction
 
 
