@@ -12,6 +12,10 @@ of q-grams on one diagonal are compared character by character, which settles th
 in them; a banded alignment of window and text decides the others. Nothing is sampled, and
 every text is read to its end.
 
+A q-gram that stands at many places of an item, or fills a stretch of a text (rulers, dashes), makes as
+many pairs as the product of both. Pairs are therefore taken in overlapping stretches of bounded size, and a
+run of one character is read at both its ends, where everything occurs that occurs inside it.
+
 Texts are compared lower-cased, each run of white space as one space. The q-gram index
 of the benchmark goes to the tasks in blocks of at most ``block_chars`` characters; a
 larger benchmark takes several passes, one per block. Documents are never shuffled.
@@ -44,6 +48,8 @@ FILTER_BITS = 22
 #: Windows aligned at once (bounds the numpy temporaries); the first code point
 #: of the scripts written without spaces between words.
 ALIGNED, UNSPACED = 1 << 14, 0x0E00
+#: Shared q-grams (place in the text, place in an item) taken at once; characters of an item indexed as one.
+PAIRS, PIECE = 1 << 20, 4096
 
 
 def normalised(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,16 +100,23 @@ class Index:
     size: np.ndarray
     window: int
     short: list               # items under q characters: (length, their hashes sorted, their items)
+    parent: np.ndarray        # of each item: its place in ``ids``; long items are indexed in pieces
+    base: np.ndarray          # ... and where in the whole item it begins
+    by_item: np.ndarray       # key * items + item of each posting, sorted
 
 
 def build_index(items: list[tuple[int, str]], q: int, window: int, rate: float) -> Index:
-    points, ids = [], []
+    points, ids, parent, base = [], [], [], []
     for item_id, text in items:
         p, _ = normalised([text or ""])
         p = p[:-1]
         p = p[(1 if len(p) and p[0] == 32 else 0):(len(p) - 1 if len(p) and p[-1] == 32 else len(p))]
         if len(p):
-            points.append(p)
+            # neighbouring pieces share all but one character of a window: each window lies in one piece
+            for lo in range(0, max(1, len(p) - window + 1), PIECE - window + 1):
+                points.append(p[lo:lo + PIECE])
+                parent.append(len(ids))
+                base.append(lo)
             ids.append(item_id)
     size = np.array([len(p) for p in points], np.int64)
     start = np.concatenate([[0], np.cumsum(size)])[:-1].astype(np.int64)
@@ -123,7 +136,9 @@ def build_index(items: list[tuple[int, str]], q: int, window: int, rate: float)
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[keys >> np.uint64(64 - FILTER_BITS)] = True
     return Index(q, int(rate * window), keys, np.append(first, len(key)), item[order], place[order], seen, np.array(ids, object),
-                 np.concatenate(points) if points else np.zeros(0, np.uint64), start, size, window, short)
+                 np.concatenate(points) if points else np.zeros(0, np.uint64), start, size, window, short,
+                 np.array(parent, np.int64), np.array(base, np.int64),
+                 np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key)))) * max(len(size), 1) + item[order])
 
 
 def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,11 +221,48 @@ def _in_a_word(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return inside[:len(left)] & inside[len(left):]
 
 
+def _shortened(points: np.ndarray, origin: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of one character cut to their first and last ``keep``. What occurs inside such a run occurs at
+    both its ends as well, so with ``keep`` beyond any occurrence's length the same windows are found, with
+    the same edits, first and last place."""
+    head = np.flatnonzero(np.concatenate([[True], points[1:] != points[:-1]]) if len(points) else np.zeros(0, bool))
+    run = np.diff(np.append(head, len(points)))
+    if not len(run) or run.max() <= 2 * keep:
+        return points, origin
+    nth = np.arange(len(points)) - np.repeat(head, run)
+    held = (nth < keep) | (nth >= np.repeat(run, run) - keep)
+    return points[held], origin[held]
+
+
+def _stretches(index: Index, hit: np.ndarray, slot: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Stretches of the shared q-grams of about ``PAIRS`` (place in the text, place in an item) each: (from, to,
+    first item, last item + 1). Neighbours overlap by more than an occurrence is long, so each lies whole in
+    one of them; where a stretch cannot be shorter, it is taken for some items at a time."""
+    upto = np.cumsum(index.first[slot + 1] - index.first[slot])
+    overlap = index.window + 2 * index.k + index.q
+    lo = 0
+    while lo < len(hit):
+        before = upto[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(upto, before + PAIRS, "right")), int(np.searchsorted(hit, hit[lo] + 3 * overlap)), lo + 1)
+        if upto[hi - 1] - before <= 2 * PAIRS:
+            yield lo, hi, 0, len(index.size)
+        else:
+            some, times = np.unique(slot[lo:hi], return_counts=True)
+            i, nth = _spread(index.first[some + 1] - index.first[some])
+            load = np.cumsum(np.bincount(index.item[index.first[some][i] + nth], times[i], len(index.size)))
+            cuts = np.unique(np.concatenate([[0], 1 + np.searchsorted(load, np.arange(PAIRS, load[-1], PAIRS)), [len(index.size)]]))
+            yield from ((lo, hi, int(x), int(y)) for x, y in zip(cuts[:-1], cuts[1:]))
+        if hi >= len(hit):
+            return
+        lo = max(lo + 1, int(np.searchsorted(hit, hit[hi - 1] - overlap)))
+
+
 def find_in_block(index: Index, texts: list[str]) -> dict[str, np.ndarray]:
     """Verified leaks in a block of texts: doc (place in the block), item, first and end
     character, windows, edits. One row per (doc, item)."""
     points, origin = normalised(texts)
-    q, k = index.q, index.k
+    q = index.q
+    points, origin = _shortened(points, origin, 2 * (index.window + 2 * index.k + q))
     g = grams(points, q)
     hit = np.flatnonzero(index.seen[g >> np.uint64(64 - FILTER_BITS)])
     slot = np.searchsorted(index.keys, g[hit])
@@ -219,15 +271,52 @@ def find_in_block(index: Index, texts: list[str]) -> dict[str, np.ndarray]:
     hit, slot = hit[real], slot[real]
     ends = np.flatnonzero(points == 0)
     begin = np.concatenate([[0], ends[:-1] + 1])
-    i, nth = _spread(index.first[slot + 1] - index.first[slot])
-    text_at, post = hit[i], index.first[slot[i]] + nth
+    found = [_one_each(*_windows_found(index, points, begin, ends, hit[lo:hi], slot[lo:hi], x, y))
+             for lo, hi, x, y in _stretches(index, hit, slot)]
+    item, at = _short_items(index, points)
+    found.append((np.searchsorted(ends, at), item, np.zeros_like(at), at, at + index.size[item], np.zeros_like(at)))
+    doc, item, lo, start, stop, edits = (np.concatenate(x) for x in zip(*found))
+    item, lo = index.parent[item], lo + index.base[item]     # of the whole item
+    doc, item, lo, start, stop, edits = _one_each(doc, item, lo, start, stop, edits)
+    if not len(doc):
+        return {c: np.zeros(0, np.int64) for c in ("doc", "item", "first", "end", "windows", "edits")}
+    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])]))
+    first = np.maximum(np.minimum.reduceat(start, head), begin[doc[head]])
+    end = np.minimum(np.maximum.reduceat(stop, head), ends[doc[head]])
+    base = origin[begin[doc[head]]]
+    return {"doc": doc[head], "item": item[head], "first": origin[first] - base, "end": origin[end - 1] + 1 - base,
+            "windows": np.diff(np.append(head, len(doc))), "edits": np.minimum.reduceat(edits, head)}
+
+
+def _one_each(doc, item, lo, start, stop, edits) -> tuple[np.ndarray, ...]:
+    """One row for each window (doc, item, lo): its first place, last end and fewest edits."""
+    if not len(doc):
+        return doc, item, lo, start, stop, edits
+    order = np.lexsort((lo, item, doc))
+    doc, item, lo, start, stop, edits = (x[order] for x in (doc, item, lo, start, stop, edits))
+    head = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (lo[1:] != lo[:-1])]))
+    return (doc[head], item[head], lo[head], np.minimum.reduceat(start, head), np.maximum.reduceat(stop, head),
+            np.minimum.reduceat(edits, head))
+
+
+def _windows_found(index: Index, points: np.ndarray, begin: np.ndarray, ends: np.ndarray, hit: np.ndarray, slot: np.ndarray,
+                   low_item: int, high_item: int) -> list[np.ndarray]:
+    """Windows of the items from ``low_item`` on that occur where the q-grams ``hit`` are shared:
+    (doc, item, first character in the item, first and end in the text, edits)."""
+    q, k, n_items = index.q, index.k, len(index.size)
+    if high_item - low_item == n_items:
+        first, last = index.first[slot], index.first[slot + 1]
+    else:
+        first, last = (np.searchsorted(index.by_item, slot * n_items + x) for x in (low_item, high_item))
+    i, nth = _spread(last - first)
+    text_at, post = hit[i], first[i] + nth
     item, place = index.item[post], index.place[post]
     doc = np.searchsorted(ends, text_at)
     size = np.minimum(index.size, index.window)              # of a window of each item
     most = np.minimum(k, (size - q) // q)                    # edits
     least = size - q + 1 - q * most
     # a pair of document and item needs as many shared q-grams in all
-    _, pair, n = np.unique(doc * len(index.ids) + item, return_inverse=True, return_counts=True)
+    _, pair, n = np.unique(doc * n_items + item, return_inverse=True, return_counts=True)
     enough = n[pair] >= least[item]
     text_at, item, place, doc, pair = (x[enough] for x in (text_at, item, place, doc, pair))
     row, exact_lo, exact_at = _exact_windows(index, points, pair, item, place, text_at, size)
@@ -268,21 +357,7 @@ def find_in_block(index: Index, texts: list[str]) -> dict[str, np.ndarray]:
         edits, start, stop = _align(index, points, item[part], lo[part], size[item[part]], at[part], 2 * (k + 1) + 2 * k)
         good = edits <= most[item[part]]
         found.append([x[good] for x in (doc[part], item[part], lo[part], start, stop, edits)])
-    item, at = _short_items(index, points)
-    found.append([np.searchsorted(ends, at), item, np.zeros_like(at), at, at + index.size[item], np.zeros_like(at)])
-    doc, item, lo, start, stop, edits = (np.concatenate(x) for x in zip(*found))
-    if not len(doc):
-        return {c: np.zeros(0, np.int64) for c in ("doc", "item", "first", "end", "windows", "edits")}
-    order = np.lexsort((lo, item, doc))
-    doc, item, lo, start, stop, edits = (x[order] for x in (doc, item, lo, start, stop, edits))
-    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])])
-    head = np.flatnonzero(new)
-    first = np.maximum(np.minimum.reduceat(start, head), begin[doc[head]])
-    end = np.minimum(np.maximum.reduceat(stop, head), ends[doc[head]])
-    base = origin[begin[doc[head]]]
-    windows = np.add.reduceat((new | np.concatenate([[True], lo[1:] != lo[:-1]])).astype(np.int64), head)
-    return {"doc": doc[head], "item": item[head], "first": origin[first] - base, "end": origin[end - 1] + 1 - base,
-            "windows": windows, "edits": np.minimum.reduceat(edits, head)}
+    return [np.concatenate(x) for x in zip(*found)]
 
 
 def _indexes(benchmark: DataFrame, q: int, window: int, rate: float, block_chars: int) -> Iterator[Index]:

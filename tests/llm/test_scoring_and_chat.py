@@ -368,3 +368,40 @@ def test_hard_arguments_give_lines(spark):
     got = {r.call_id: r for r in tool_calls.link_calls(calls, results, {"f": {"properties": {"n": {"type": "integer", "minLength": 2}}}}).collect()}
     assert [got[f"c{i}"].valid for i in range(5)] == [False, False, True, False, True]
     assert json.loads(got["c2"].line)["arguments"] == {"t": "cut \ud83d"} and json.loads(got["c0"].line)["arguments"] is None
+
+
+def leaks_in(index, texts):
+    got = decontaminate.find_in_block(index, texts)
+    return sorted(zip(*(got[c].tolist() for c in ("doc", "item", "windows", "edits", "first", "end"))))
+
+
+def test_stretches_and_shortened_runs_find_the_same(monkeypatch):
+    """Few pairs at once, pieces of items, cut runs: the windows that one pass over everything finds (a
+    window with edits may end a character or two elsewhere)."""
+    rnd = random.Random(12)
+    items = [(i, t) for i, t in enumerate(make_texts(5, 8, 60) + ["-" * 60 + "=" * 40 + "|---" * 10, "-" * 130, "-" * 73 + "x" + "-" * 20, "." * 12])]
+    texts = ["".join(rnd.choice([items[rnd.randrange(len(items))][1][rnd.randrange(40):], "-" * rnd.randrange(300), " word %d " % rnd.randrange(99),
+                                 "=" * 500]) for _ in range(4)) for _ in range(6)]
+    build = lambda: decontaminate.build_index(items, 12, 72, 0.05)
+    monkeypatch.setattr(decontaminate, "_shortened", lambda points, origin, keep: (points, origin))
+    monkeypatch.setattr(decontaminate, "PAIRS", 1 << 40)
+    want = leaks_in(build(), texts)
+    assert len(want) > 5
+    monkeypatch.undo()
+    assert leaks_in(build(), texts) == want
+    for pairs, piece in ((3000, 4096), (1, 75)):
+        monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+        monkeypatch.setattr(decontaminate, "PIECE", piece)
+        got = leaks_in(build(), texts)
+        assert [g[:4] for g in got] == [w[:4] for w in want]
+        assert all(abs(x - y) <= 3 for g, w in zip(got, want) for x, y in zip(g[4:], w[4:]))
+
+
+def test_repeated_characters_stay_small():
+    import tracemalloc
+    index = decontaminate.build_index([(1, "-" * 500), (2, "ab" * 100)], 12, 72, 0.05)
+    for text in ("-" * 200_000, "ab" * 2_000 + "-" * 50_000):
+        tracemalloc.start()
+        got = decontaminate.find_in_block(index, [text])
+        assert len(got["doc"]) and tracemalloc.get_traced_memory()[1] < 500e6
+        tracemalloc.stop()
