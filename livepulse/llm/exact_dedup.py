@@ -18,31 +18,20 @@ result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
-import hashlib
 import math
-import zlib
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_LONG, batch_of, id_and_text, stored
+from .common import NULL_LONG, id_and_text, stored
 
-ROW = "doc_id long, sha binary, size long, crc long"
 RUN = "slot long, sha binary, doc_id long, uid long, n long, same long, size long, crc long"
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, 1024):
-            part = b.slice(lo, 1024)
-            low = [t.lower() for t in part.column("text").cast(pa.binary()).to_pylist()]   # bytes: A-Z only
-            yield batch_of(ROW, doc_id=part.column("doc_id"), sha=[hashlib.sha256(t).digest() for t in low],
-                           size=[len(t) for t in low], crc=[zlib.crc32(t) for t in low])
-
-
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (slot, sha, best first): the first of each (slot, sha) stays and
     takes the summed count. A group that goes on in the next batch is carried over."""
@@ -74,9 +63,15 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield carry
 
 
+def _normalised(text: Column) -> Column:
+    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
 def digest_rows(docs: DataFrame) -> DataFrame:
     """doc_id, sha, size, crc of every row's normalised text."""
-    return id_and_text(docs).mapInArrow(_digests, ROW)
+    low = _normalised(F.col("text"))
+    return id_and_text(docs).select("doc_id", F.unhex(F.sha2(low, 256)).alias("sha"), F.octet_length(low).cast("long").alias("size"),
+                                    F.crc32(low.cast("binary")).alias("crc"))
 
 
 def merge_runs(rows: DataFrame, keep: str = "min", fan_in: int = 16) -> DataFrame:
@@ -113,21 +108,14 @@ def exact_duplicates(docs: DataFrame, keep: str = "min", fan_in: int = 16) -> Da
         F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def _with_sha(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        low = [(t or b"").lower() for t in b.column("text").cast(pa.binary()).to_pylist()]
-        sha = pa.array([hashlib.sha256(t).digest() for t in low], pa.binary())
-        yield pa.RecordBatch.from_arrays([b.column("_row"), b.column("doc_id"), sha], names=["_row", "doc_id", "_sha"])
-
-
 def drop_exact_duplicates(docs: DataFrame, keep: str = "min", fan_in: int = 16) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
     rows = stored(digest_rows(docs).withColumn("uid", F.monotonically_increasing_id()), "digests")
     best = stored(merge_runs(rows, keep, fan_in).select(
         F.col("sha").alias("_keep_sha"), F.col("doc_id").alias("_keep"), F.col("same").alias("_same")), "kept")
+    low = _normalised(F.coalesce(F.col("text").cast("string"), F.lit("")))
     whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                        F.col("text").cast("string").alias("text"))
-    whole = whole.mapInArrow(_with_sha, whole.select("_row", "doc_id", F.lit(b"").alias("_sha")).schema)
+                        F.unhex(F.sha2(low, 256)).alias("_sha"))
 
     def rows_of(which):
         return whole.join(which, (F.col("_sha") == F.col("_keep_sha"))
