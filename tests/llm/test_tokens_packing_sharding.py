@@ -223,3 +223,24 @@ def test_write_shards(spark, docs_of):
     back = spark.read.parquet(folder)
     assert {(r.doc_id, r.text) for r in back.collect()} == set(rows) and back.select("shard").distinct().count() == 4
     random.seed(0)
+
+
+def test_rounds_come_close_to_sequential_best_fit():
+    """Sequences opened by the rounds against best fit decreasing, one piece after the other."""
+    import bisect
+    rnd = random.Random(1)
+    for capacity, lengths, most in ((10, 8, 30), (50, 30, 20), (100, 60, 40), (2048, 300, 30), (2048, 60, 3), (7, 7, 1)):
+        for _ in range(15):
+            counts = {rnd.randint(1, capacity): rnd.randint(1, most) for _ in range(lengths)}
+            gaps, opened = [], 0
+            for length in sorted(counts, reverse=True):
+                for _ in range(counts[length]):
+                    at = bisect.bisect_left(gaps, length)
+                    gap = gaps.pop(at) if at < len(gaps) else capacity
+                    opened += gap == capacity
+                    if gap > length:
+                        bisect.insort(gaps, gap - length)
+            rules = best_fit_packing.plan_rounds(counts, capacity)
+            used = 1 + max(first + n - 1 for _, _, n, first, _ in rules)
+            assert sum(n for _, _, n, _, _ in rules) == sum(counts.values())
+            assert -(-sum(a * b for a, b in counts.items()) // capacity) <= used <= opened + 2
