@@ -370,7 +370,7 @@ def test_hard_arguments_give_lines(spark):
     assert json.loads(got["c2"].line)["arguments"] == {"t": "cut \ud83d"} and json.loads(got["c0"].line)["arguments"] is None
 
 
-def leaks_in(index, texts):
+def rows_found(index, texts):
     got = decontaminate.find_in_block(index, texts)
     return sorted(zip(*(got[c].tolist() for c in ("doc", "item", "windows", "edits", "first", "end"))))
 
@@ -385,14 +385,14 @@ def test_stretches_and_shortened_runs_find_the_same(monkeypatch):
     build = lambda: decontaminate.build_index(items, 12, 72, 0.05)
     monkeypatch.setattr(decontaminate, "_shortened", lambda points, origin, keep: (points, origin))
     monkeypatch.setattr(decontaminate, "PAIRS", 1 << 40)
-    want = leaks_in(build(), texts)
+    want = rows_found(build(), texts)
     assert len(want) > 5
     monkeypatch.undo()
-    assert leaks_in(build(), texts) == want
+    assert rows_found(build(), texts) == want
     for pairs, piece in ((3000, 4096), (1, 75)):
         monkeypatch.setattr(decontaminate, "PAIRS", pairs)
         monkeypatch.setattr(decontaminate, "PIECE", piece)
-        got = leaks_in(build(), texts)
+        got = rows_found(build(), texts)
         assert [g[:4] for g in got] == [w[:4] for w in want]
         assert all(abs(x - y) <= 3 for g, w in zip(got, want) for x, y in zip(g[4:], w[4:]))
 
