@@ -173,3 +173,20 @@ def test_rolling_mean_nulls_and_sparse_buckets(spark):
                                                             else round(r.rolling_mean, 9)) for r in d.collect()}
         assert got.columns == df.columns + ["rolling_mean"]
         assert as_map(got) == as_map(ref)
+
+
+def test_state_holds_the_polls_of_one_watermark_delay(spark):
+    """Three days of polls a minute apart in three batches: what waits in the state afterwards are the polls
+    of the last hour, and each stream has one previous poll."""
+    src, out, ckpt = (scratch_dir(spark, "test", x) for x in ("src", "out", "ckpt"))
+    for day in range(3):
+        polls = [(sid, "u", f"g{m % 7}", "t", m, T0 + timedelta(days=day, minutes=m)) for sid in ("a", "b") for m in range(0, 1440, 5)]
+        spark.createDataFrame(polls, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(spark.createDataFrame([], SCHEMA).schema).parquet(src)
+        q = (detect_transitions_stream(stream, watermark="1 hour").writeStream.format("parquet")
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+        assert q.awaitTermination(300)
+    read = lambda name: spark.read.format("statestore").option("stateVarName", name).load(ckpt)
+    waiting = read("waiting").collect()
+    assert len(waiting) <= 2 * (12 + 1) and {r.key.stream_id for r in waiting} == {"a", "b"}     # twelve polls an hour and stream
+    assert read("last").count() == 2
