@@ -84,7 +84,7 @@ class _Pieces(dict):
 
 
 class TextEncoder:
-    def __init__(self, path: str, most: int = 64 << 20):
+    def __init__(self, path: str, most: int = 128 << 20):
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
         self.heads, self.pieces = _Pieces(tokenizer, "", most // 4), _Pieces(tokenizer, " ", most)
