@@ -72,9 +72,9 @@ SILVER_GAMES = T.StructType([
 ] + [_f(c, T.ArrayType(S)) for c in SILVER_GAMES_LISTS])
 
 # State kept per stream by the change detector: its previous poll, and the polls the watermark has not
-# passed yet (poll times as microseconds).
+# passed yet (poll times as microseconds), packed: the polls of one micro-batch are one element, a list per column.
 LAST_POLL = T.StructType([_f("us", L), _f("game", S), _f("title", S), _f("viewers", L)])
-WAITING_POLL = T.StructType([*LAST_POLL, _f("user", S)])
+WAITING_POLLS = T.StructType([_f(f.name, T.ArrayType(f.dataType)) for f in [*LAST_POLL, _f("user", S)]])
 
 # --- gold (star schema) ---------------------------------------------------------
 

@@ -1,9 +1,10 @@
 """Stateful change detection over a stream of snapshots.
 
-A stateful processor per stream id (``transformWithStateInPandas``, RocksDB state). Polls may arrive in
+A stateful processor per stream id (``transformWithState``, RocksDB state). Polls may arrive in
 any order within the watermark's delay: a poll waits in a list state until the watermark passes it, and
 only then is it compared with the stream's previous poll, so the events are those of the batch detector
-whatever the order of files. Arriving polls are appended to the list without reading it. One timer per
+whatever the order of files. The polls of a stream that arrive in one micro-batch are appended to the list as
+one element, without reading the list. One timer per
 stream, at its oldest waiting poll, settles what the watermark has passed; without waiting polls the
 timer is the idle limit, at which the stream's state goes. Polls later than the watermark's delay never
 reach the processor: Spark drops them and counts them in the query progress, see :func:`dropped_rows`.
@@ -15,64 +16,46 @@ with the newest polls still waiting, and the next run continues from there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from datetime import datetime, timedelta, timezone
+from itertools import islice
+from operator import itemgetter
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from livepulse.functions.constants import GAME_CHANGE, IDLE_HOURS, TITLE_CHANGE
-from livepulse.schemas import LAST_POLL, TRANSITIONS, WAITING_POLL
+from livepulse.schemas import LAST_POLL, TRANSITIONS, WAITING_POLLS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUT_COLS = [f.name for f in TRANSITIONS.fields]
-POLL = ["us", "game", "title", "viewers", "user"]
+EVENT = Row(*OUT_COLS)
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+CHUNK = 10_000        # polls of one stream in an element of its list state at most
 
 
-def _texts(values: np.ndarray, null_text: str | None) -> np.ndarray:
-    return values if null_text is None else np.where(values == None, null_text, values)  # noqa: E711 (elementwise)
+def _events(key: str, last: tuple | None, polls: Iterable[tuple], idle_us: int, null_text: str | None) -> Iterator[Row]:
+    """Events between neighbouring polls (sorted by time; ``last`` is the settled poll before them, the baseline)."""
+    text = (lambda v: v) if null_text is None else (lambda v: null_text if v is None else v)
+    for poll in polls:
+        if last is not None and poll[0] - last[0] <= idle_us:
+            for kind, at in ((GAME_CHANGE, 1), (TITLE_CHANGE, 2)):
+                if poll[at] != last[at]:                                # None equals None
+                    delta = None if poll[3] is None or last[3] is None else poll[3] - last[3]
+                    yield EVENT(key, poll[4], kind, text(last[at]), text(poll[at]), EPOCH + timedelta(microseconds=poll[0]), delta)
+        last = poll
 
 
-def _events(key: str, polls: dict[str, np.ndarray], idle_us: int, null_text: str | None) -> pd.DataFrame | None:
-    """Events between neighbouring polls (sorted by time; the first one is the baseline)."""
-    near = np.diff(polls["us"]) <= idle_us
-    out = []
-    for kind, col, rank in ((GAME_CHANGE, "game", 0), (TITLE_CHANGE, "title", 1)):
-        value = polls[col]
-        at = np.flatnonzero(near & (value[1:] != value[:-1])) + 1      # None equals None
-        if len(at):
-            delta = polls["viewers"][at] - polls["viewers"][at - 1]
-            out.append(pd.DataFrame({
-                "stream_id": key, "user_name": polls["user"][at], "event_type": kind,
-                "old_value": _texts(value[at - 1], null_text), "new_value": _texts(value[at], null_text),
-                "event_ts": polls["us"][at].astype("datetime64[us]"),
-                "viewer_delta": pd.array(delta).astype("Int64"), "_o": at * 2 + rank}))
-    if not out:
-        return None
-    res = out[0] if len(out) == 1 else pd.concat(out, ignore_index=True)
-    return res.sort_values("_o", kind="stable")[OUT_COLS]
-
-
-def _arrays(us, game, title, viewers, user) -> dict[str, np.ndarray]:
-    return {"us": np.asarray(us, np.int64), "game": np.array(game, object), "title": np.array(title, object),
-            "viewers": np.array(viewers, np.float64), "user": np.array(user, object)}     # a null count is NaN
-
-
-def _plain(viewers: np.ndarray) -> list:
-    null = np.isnan(viewers)
-    return np.where(null, None, np.where(null, 0, viewers).astype(np.int64).astype(object)).tolist()
-
-
-def _rows_of(polls: dict[str, np.ndarray], lo: int, hi: int) -> list[tuple]:
-    """Polls as state rows (POLL)."""
-    part = {c: polls[c][lo:hi] for c in POLL}
-    return list(zip(part["us"].tolist(), part["game"].tolist(), part["title"].tolist(), _plain(part["viewers"]), part["user"].tolist()))
+def _packed(polls: list[tuple]) -> tuple:
+    """Polls as one element of the waiting list: a list per column."""
+    return tuple(list(column) for column in zip(*polls))
 
 
 class ChangeDetector(StatefulProcessor):
-    """Events of one stream id, in the order of its polls."""
+    """Events of one stream id, in the order of its polls. Every call of the state is a message to the JVM and back, and
+    a run makes them for each stream and micro-batch, so a state is read once and written only where it changes."""
 
     def __init__(self, idle_hours: float = IDLE_HOURS, null_text: str | None = None):
         self.idle_us, self.null_text = int(idle_hours * 3600 * 1_000_000), null_text
@@ -80,58 +63,53 @@ class ChangeDetector(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", LAST_POLL)
-        self.waiting = handle.getListState("waiting", WAITING_POLL)
+        self.waiting = handle.getListState("waiting", WAITING_POLLS)
         self.timer = handle.getValueState("timer", "ms long")
 
     def _set_timer(self, ms: int) -> None:
-        if self.timer.exists():
-            self.handle.deleteTimer(self.timer.get()[0])
         self.handle.registerTimer(ms)
         self.timer.update((ms,))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         oldest = None
-        for p in rows:
-            polls = _arrays(p["us"], p["game_name"], p["title"], p["viewer_count"], p["user_name"])
-            self.waiting.appendList(_rows_of(polls, 0, len(p)))
-            first = int(polls["us"].min())
+        while polls := [(r.us, r.game_name, r.title, r.viewer_count, r.user_name) for r in islice(rows, CHUNK)]:
+            self.waiting.appendValue(_packed(polls))
+            first = min(p[0] for p in polls)
             oldest = first if oldest is None else min(first, oldest)
         if oldest is not None:
             due = max(-(-oldest // 1000), timerValues.getCurrentWatermarkInMs() + 1)
-            if not self.timer.exists() or self.last.exists() or due < self.timer.get()[0]:
-                self._set_timer(min(due, self.timer.get()[0]) if self.timer.exists() else due)
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        mark_ms = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
-        parts, based = [], self.last.exists()
-        if based:
-            us, game, title, viewers = self.last.get()
-            parts.append(_arrays([us], [game], [title], [viewers], [None]))
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        parts.append(_arrays(*zip(*held)) if held else _arrays([], [], [], [], []))
-        polls = {c: np.concatenate([p[c] for p in parts]) for c in POLL}
-        order = np.argsort(polls["us"], kind="stable")                  # the last settled poll is older than any waiting
-        polls = {c: v[order] for c, v in polls.items()}
-        n = len(order)
-        settled = int(np.searchsorted(polls["us"], mark_ms * 1000, "right"))
-        if settled > based:
-            events = _events(str(key[0]), {c: v[:settled] for c, v in polls.items()}, self.idle_us, self.null_text)
-            if events is not None:
-                yield events
-            self.last.update(_rows_of(polls, settled - 1, settled)[0][:4])
-        if settled < n:
-            if settled > based:
-                self.waiting.put(_rows_of(polls, settled, n))
-            due_us = int(polls["us"][settled])
+            timer = self.timer.get()
+            if timer is None or due < timer[0]:
+                if timer is not None:
+                    self.handle.deleteTimer(timer[0])
+                self._set_timer(due)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        mark_us = timerValues.getCurrentWatermarkInMs() * 1000
+        last = self.last.get()
+        polls = [poll for pack in self.waiting.get() for poll in zip(*pack)]
+        polls.sort(key=itemgetter(0))                                   # the last settled poll is older than any waiting
+        n = bisect_right(polls, mark_us, key=itemgetter(0))
+        if n:
+            yield from _events(str(key[0]), last, polls[:n], self.idle_us, self.null_text)
+            last = polls[n - 1][:4]
+        if n < len(polls):
+            if n:
+                self.last.update(last)
+                self.waiting.put([_packed(polls[i:i + CHUNK]) for i in range(n, len(polls), CHUNK)])
+            due_us = polls[n][0]
         else:
-            self.waiting.clear()
-            due_us = int(polls["us"][-1]) + self.idle_us if n else 0
-            if due_us <= mark_ms * 1000:                                # idle for too long: forgotten
+            if n:
+                self.waiting.clear()
+            due_us = last[0] + self.idle_us if last is not None else 0
+            if due_us <= mark_us:                                       # idle for too long: forgotten
                 self.last.clear()
+                self.timer.clear()
                 return
-        self._set_timer(max(-(-due_us // 1000), mark_ms + 1))
+            if n:
+                self.last.update(last)
+        self._set_timer(max(-(-due_us // 1000), mark_us // 1000 + 1))
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -153,7 +131,7 @@ def detect_transitions_stream(snapshots: DataFrame, watermark: str = "1 hour",
          .where(F.col("stream_id").isNotNull() & F.col("ingestion_ts").isNotNull())
          .withColumn("us", F.unix_micros("ingestion_ts"))
          .withWatermark("ingestion_ts", watermark))
-    return s.groupBy("stream_id").transformWithStateInPandas(
+    return s.groupBy("stream_id").transformWithState(
         ChangeDetector(idle_hours, null_text), TRANSITIONS, "Append", "EventTime")
 
 
