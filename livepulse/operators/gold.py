@@ -125,6 +125,10 @@ def dimensions_of(fact_named: DataFrame, catalogue: DataFrame,
     }
 
 
+#: The columns of a batch that the star is built from.
+STAR_INPUT = ["game_name", "user_name", "language", "viewer_count", "year", "month", "day", "ingestion_hour"]
+
+
 def build_star(batch: DataFrame, catalogue: DataFrame, catalogue_order: Sequence[str] = ("ingestion_ts",),
                inserted_at: Column | None = None) -> dict[str, DataFrame]:
     """All five gold outputs of one batch (the caller persists ``batch`` around this)."""

@@ -11,7 +11,6 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from livepulse.operators import gold
 from livepulse.operators import maintenance as J
 from livepulse.operators import silver as C
 from livepulse.operators.broadcasts import latest_snapshot
@@ -91,6 +90,21 @@ def q_transitions_stream(spark, sf):
     return spark.read.schema(TRANSITIONS).parquet(out)
 
 
+GOLD_BATCHES = 3      # micro-batches of fact_hourly_stream
+
+
+def _stage_files(df, spark, name, least):
+    """Write a job's input at the width of its plan, in ``least`` files or more; (folder, number of files). Only an
+    input of fewer files, which one or two tasks have written, is dealt anew."""
+    path = _stage(df, spark, name)
+    files = [n for n in list_dir(spark, path) if n.startswith("part-")]
+    if len(files) < least:
+        narrow, path = path, _stage(spark.read.schema(df.schema).parquet(path).repartition(least), spark, name)
+        drop_dir(spark, narrow)
+        files = [n for n in list_dir(spark, path) if n.startswith("part-")]
+    return path, max(len(files), 1)
+
+
 def _named_fact(g):
     """The fact with the names its dimensions give."""
     return (g["fact_stream_hourly"].join(g["dim_game"].select("game_id", "game_name"), "game_id")
@@ -105,15 +119,14 @@ def q_fact_hourly_stream(spark, sf):
     """Gold catch-up over silver in several micro-batches; partial hourly rows of different
     batches are merged on read."""
     silver = P.s_silver(spark, sf)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src_path = _stage(silver.repartition(width), spark, "silver_streams")
+    src_path, files = _stage_files(silver, spark, "silver_streams", GOLD_BATCHES)
     root, ckpt = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt", "gold")
     # The catalogue does not change while this job runs, so its latest version per
     # name is computed once and kept for the job's micro-batches (stream-static join).
-    games = gold.dedupe_catalogue(P.s_games(spark, sf), order=P.CATALOGUE_ORDER).persist()
+    games = P.s_latest_games(spark, sf).persist()
     try:
         q = jobs.gold_job(spark, src_path, games, root, ckpt, silver.schema,
-                          catalogue_order=P.CATALOGUE_ORDER, max_files_per_trigger=-(-width // 3))
+                          catalogue_order=P.CATALOGUE_ORDER, max_files_per_trigger=-(-files // GOLD_BATCHES))
         _drain(q)
     finally:
         games.unpersist()
@@ -129,7 +142,7 @@ def q_fact_hourly_folded(spark, sf):
     src_path = _stage(silver, spark, "silver_streams")
     size = J.data_files(spark, src_path).agg(F.sum("length")).first()[0] or 0
     root, ckpt = scratch_dir(spark, "gold"), scratch_dir(spark, "ckpt", "gold")
-    games = gold.dedupe_catalogue(P.s_games(spark, sf), order=P.CATALOGUE_ORDER).persist()
+    games = P.s_latest_games(spark, sf).persist()
     try:
         _drain(jobs.gold_job(spark, src_path, games, root, ckpt, silver.schema, catalogue_order=P.CATALOGUE_ORDER,
                              max_bytes_per_trigger=max(size // 3, 1_000_000), gate=True))

@@ -100,7 +100,7 @@ def gold_batch_writer(catalogue: DataFrame, root: str, checkpoint: str, catalogu
                       gate: bool = False, buckets: int | None = None):
     """foreachBatch function: build the star of one micro-batch, write it, commit it.
 
-    The batch is persisted once for its five outputs and released in ``finally``.
+    The batch's columns that the star needs are persisted once for its five outputs and released in ``finally``.
     The fact is written first (its job fills the cache); the four dimensions,
     which only read the cached batch, are then written as concurrent jobs from
     ``parallel_writes`` driver threads, and the first failure is raised after all
@@ -122,9 +122,9 @@ def gold_batch_writer(catalogue: DataFrame, root: str, checkpoint: str, catalogu
         tables = gold_tables(spark, root, buckets)
         if options is None and tables.state().holds(query_id, batch_id):
             return
-        batch_df.persist()
+        batch = batch_df.select(*gold.STAR_INPUT).persist()
         try:
-            outputs = gold.build_star(batch_df, catalogue, catalogue_order,
+            outputs = gold.build_star(batch, catalogue, catalogue_order,
                                       inserted_at=F.lit(int(batch_id)).cast("long"))
             if options is None:
                 tables.begin({n: df.schema for n, df in outputs.items()})
@@ -150,7 +150,7 @@ def gold_batch_writer(catalogue: DataFrame, root: str, checkpoint: str, catalogu
                     Q.raise_failed(failed)
                 tables.commit(query_id, int(batch_id), {n: folder for n, (folder, _) in done.items()}, failed)
         finally:
-            batch_df.unpersist()
+            batch.unpersist()
     return write
 
 
