@@ -78,3 +78,39 @@ def test_gold_batch_replay_is_idempotent(spark):
     assert g["dim_streamer"].count() == 1
     assert g["dim_streamer"].first().inserted_at == 1
     assert spark.read.parquet(f"{root}/fact_stream_hourly").select(F.countDistinct("batch_id")).first()[0] == 2
+
+
+def _catalogue_tables(spark):
+    """Order lines, orders and parts of two names, one of them with two versions of the newest day."""
+    root = scratch_dir(spark, "test", "catalogue")
+    day = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    rows = {"lineitem": ("l_orderkey long, l_partkey long, l_linenumber int", [(1, 1, 1), (2, 8, 1), (2, 1, 2), (3, 2, 1), (3, 7, 3), (9, 2, 1)]),
+            "orders": ("o_orderkey long, o_orderdate timestamp_ntz", [(k + 1, d) for k, d in enumerate(day)]),
+            "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+                     [(1, "red car", "B1", "T1", 4), (8, "red car", "B2", None, 5), (2, "blue", "B1", "T2", 1), (7, "blue", "B3", "T3", 3)])}
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_latest_games_are_those_of_the_flattened_catalogue(spark):
+    """The versions are compared before their records are made: the same rows, and nothing nested in the aggregate."""
+    from livepulse.plans import profiles as P
+    root = _catalogue_tables(spark)
+    got = P.s_latest_games(spark, root)
+    want = gold.dedupe_catalogue(P.s_games(spark, root), order=P.CATALOGUE_ORDER).select(*got.columns)
+    key = lambda r: r.game_name
+    assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    assert [(r.game_name, r.game_id) for r in sorted(got.collect(), key=key)] == [("blue", "7"), ("red car", "1")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "themes" not in plan[plan.index("Aggregate"):]
+
+
+def test_staged_files_are_dealt_anew_only_when_few(spark):
+    from livepulse.plans.q_streaming import _stage_files
+    from livepulse.session import list_dir
+    for parts, least in ((7, 3), (1, 3)):
+        path, files = _stage_files(spark.range(0, 1000, 1, parts), spark, "test", least)
+        assert files == (parts if parts >= least else least)
+        assert len([n for n in list_dir(spark, path) if n.startswith("part-")]) == files
+        assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(1000))

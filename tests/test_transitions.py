@@ -190,3 +190,20 @@ def test_state_holds_the_polls_of_one_watermark_delay(spark):
     waiting = read("waiting").collect()
     assert len(waiting) <= 2 * (12 + 1) and {r.key.stream_id for r in waiting} == {"a", "b"}     # twelve polls an hour and stream
     assert read("last").count() == 2
+
+
+def test_polls_of_a_micro_batch_are_one_state_element(spark):
+    """120 polls of a stream in one micro-batch wait as one element of its list, with every poll in it."""
+    src, out, ckpt = (scratch_dir(spark, "test", x) for x in ("src", "out", "ckpt"))
+    polls = [(sid, "u", None, "t", None if m % 2 else m, T0 + timedelta(minutes=m)) for sid in ("a", "b") for m in range(120)]
+    df = spark.createDataFrame(polls, SCHEMA)
+    df.coalesce(1).write.parquet(src)
+    q = (detect_transitions_stream(spark.readStream.schema(df.schema).parquet(src), watermark="1 day").writeStream.format("parquet")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    assert q.awaitTermination(300)
+    waiting = spark.read.format("statestore").option("stateVarName", "waiting").load(ckpt).collect()
+    assert sorted(r.key.stream_id for r in waiting) == ["a", "b"]
+    for r in waiting:
+        pack = r.list_element
+        assert len(pack.us) == len(pack.game) == len(pack.viewers) == 120
+        assert sorted(v for v in pack.viewers if v is not None) == list(range(0, 120, 2))
