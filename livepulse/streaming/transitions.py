@@ -22,6 +22,7 @@ from datetime import datetime, timedelta, timezone
 from itertools import islice
 from operator import itemgetter
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -36,7 +37,7 @@ EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 CHUNK = 10_000        # polls of one stream in an element of its list state at most
 
 
-def _events(key: str, last: tuple | None, polls: Iterable[tuple], idle_us: int, null_text: str | None) -> Iterator[Row]:
+def _changes(key: str, last: tuple | None, polls: Iterable[tuple], idle_us: int, null_text: str | None) -> Iterator[Row]:
     """Events between neighbouring polls (sorted by time; ``last`` is the settled poll before them, the baseline)."""
     text = (lambda v: v) if null_text is None else (lambda v: null_text if v is None else v)
     for poll in polls:
@@ -48,9 +49,14 @@ def _events(key: str, last: tuple | None, polls: Iterable[tuple], idle_us: int,
         last = poll
 
 
-def _packed(polls: list[tuple]) -> tuple:
+def _arrays(us, game, title, viewers, user) -> tuple:
     """Polls as one element of the waiting list: a list per column."""
-    return tuple(list(column) for column in zip(*polls))
+    return list(us), list(game), list(title), list(viewers), list(user)
+
+
+def _events(key: str, polls: tuple, idle_us: int, null_text: str | None) -> pd.DataFrame:
+    """Events of one stream's polls (``_arrays``, sorted by time; the first one is the baseline) as a frame, outside a stream."""
+    return pd.DataFrame(list(_changes(key, None, zip(*polls), idle_us, null_text)), columns=OUT_COLS)
 
 
 class ChangeDetector(StatefulProcessor):
@@ -73,7 +79,7 @@ class ChangeDetector(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         oldest = None
         while polls := [(r.us, r.game_name, r.title, r.viewer_count, r.user_name) for r in islice(rows, CHUNK)]:
-            self.waiting.appendValue(_packed(polls))
+            self.waiting.appendValue(_arrays(*zip(*polls)))
             first = min(p[0] for p in polls)
             oldest = first if oldest is None else min(first, oldest)
         if oldest is not None:
@@ -92,12 +98,12 @@ class ChangeDetector(StatefulProcessor):
         polls.sort(key=itemgetter(0))                                   # the last settled poll is older than any waiting
         n = bisect_right(polls, mark_us, key=itemgetter(0))
         if n:
-            yield from _events(str(key[0]), last, polls[:n], self.idle_us, self.null_text)
+            yield from _changes(str(key[0]), last, polls[:n], self.idle_us, self.null_text)
             last = polls[n - 1][:4]
         if n < len(polls):
             if n:
                 self.last.update(last)
-                self.waiting.put([_packed(polls[i:i + CHUNK]) for i in range(n, len(polls), CHUNK)])
+                self.waiting.put([_arrays(*zip(*polls[i:i + CHUNK])) for i in range(n, len(polls), CHUNK)])
             due_us = polls[n][0]
         else:
             if n:
