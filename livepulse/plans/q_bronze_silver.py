@@ -13,6 +13,11 @@ from livepulse.schemas import WIRE_GAME, WIRE_STREAM
 from livepulse.sources.tables import table
 
 
+def _message(record):
+    """A broker message: 5-byte header + JSON record. JSON text is UTF-8 already, so its bytes are taken as they are."""
+    return F.concat(F.unhex(F.lit("0000000001")), F.to_json(record).cast("binary"))
+
+
 def wire_messages(spark, sf):
     """Profile E snapshots encoded as broker messages: 5-byte header + JSON record,
     with the poll time as the message timestamp."""
@@ -22,9 +27,7 @@ def wire_messages(spark, sf):
         F.col("viewer_count").cast("int").alias("viewer_count"),
         F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("started_at"),
         "language", "thumbnail_url")
-    header = F.unhex(F.lit("0000000001"))
-    return s.select(F.concat(header, F.encode(F.to_json(record), "UTF-8")).alias("value"),
-                    F.col("ingestion_ts").alias("timestamp"))
+    return s.select(_message(record).alias("value"), F.col("ingestion_ts").alias("timestamp"))
 
 
 @query("envelope_decode", sql(f"""
@@ -109,12 +112,20 @@ def q_silver_games(spark, sf):
     return g.withColumns({c: F.array_join(c, "|", "NULL") for c in SILVER_GAME_LISTS})
 
 
+TASKS_PER_CORE = 8    # least number of tasks a core gets of the catalogue's messages
+
+
 def game_messages(spark, sf):
     """Catalogue versions encoded as broker messages: 5-byte header + JSON record with the
-    nested metadata; the version rides along in the message key."""
-    g = P.s_bronze_games(spark, sf)
+    nested metadata; the version rides along in the message key.
+
+    A message costs far more time than the plain row it is made of, and tasks cut by the bytes of plain rows (a file's
+    row groups, shuffle partitions that AQE joins to about one a core) leave cores idle. So the rows are dealt to a
+    fixed number of tasks before their records are made."""
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    g = P.s_bronze_games(spark, sf, tasks)
     record = F.struct(F.col("game_id").alias("id"), F.col("game_name").alias("name"), "igdb_id", "igdb_data")
-    return g.select(F.concat(F.unhex(F.lit("0000000001")), F.encode(F.to_json(record), "UTF-8")).alias("value"),
+    return g.select(_message(record).alias("value"),
                     F.col("ingestion_ts").alias("timestamp"), F.col("version_tiebreak").alias("key"))
 
 

@@ -44,3 +44,29 @@ def test_scale_conf():
     c = scale_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_catalogue_messages_are_dealt_to_many_tasks(spark):
+    """One file of order lines, most of them of one part: the messages are made by many tasks of about equal size, and
+    they are those of the versions as they come."""
+    from livepulse.plans import profiles as P
+    from livepulse.plans.q_bronze_silver import TASKS_PER_CORE, game_messages
+    from livepulse.session import scratch_dir
+    root, n = scratch_dir(spark, "test", "messages"), 4000
+    line = spark.range(n).select((F.col("id") / 4).cast("long").alias("l_orderkey"), (F.col("id") % 4).cast("int").alias("l_linenumber"),
+                                 F.when(F.col("id") % 10 == 0, F.col("id") % 9).otherwise(F.lit(1)).alias("l_partkey"))
+    tables = {"lineitem": line,
+              "orders": spark.range(n // 4).select(F.col("id").alias("o_orderkey"), F.expr("timestamp_ntz '2024-01-01'").alias("o_orderdate")),
+              "part": spark.range(9).selectExpr("id p_partkey", "'größe \"' || id p_name", "'B' p_brand", "'T' p_type", "int(id) p_size")}
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{root}/{name}.parquet")
+    got = game_messages(spark, root)
+    per_task = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert len(per_task) > tasks * 0.9 and sum(per_task) == n and max(per_task) < 3 * n / tasks
+    g = P.s_bronze_games(spark, root)
+    record = F.struct(F.col("game_id").alias("id"), F.col("game_name").alias("name"), "igdb_id", "igdb_data")
+    want = g.select(F.concat(F.unhex(F.lit("0000000001")), F.encode(F.to_json(record), "UTF-8")).alias("value"),
+                    F.col("ingestion_ts").alias("timestamp"), F.col("version_tiebreak").alias("key"))
+    rows = lambda df: sorted((r.key, r.timestamp, bytes(r.value)) for r in df.collect())
+    assert rows(got) == rows(want)
